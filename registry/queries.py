@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tallyrow.functions.ordering import with_ordinal, with_shuffled_position
 from tallyrow.functions.text import words
 from tallyrow.operators import batching, lm, objectives, preference, reward, rollouts, slices, templates, tokens
-from tallyrow.session import scratch_path
+from tallyrow.session import scratch_path, written
 from tallyrow.sources import sinks, tables
 from tallyrow.sources.dialogue import KEY, instructions_from_turns
 
@@ -56,9 +56,9 @@ def completions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     given g places further on.
     """
     rows = templates.build_prompt(instructions(spark, sf_dir))
-    ring = with_shuffled_position(rows, list(KEY), SEED, name="prompt_id")
+    ring = written(with_shuffled_position(rows, list(KEY), SEED, name="prompt_id"), "ring")
     prompts = ring.select("prompt_id", "prompt")
-    count = rows.count()
+    count = ring.count()
     wanted = rollouts.fan_out(ring.select("prompt_id"), GENERATIONS)
     answers = ring.select(
         F.col("prompt_id").alias("_place"), F.concat(F.lit(" "), F.col("output")).alias("completion")
@@ -88,8 +88,8 @@ def logprobs(rows: DataFrame, vocab: tokens.Vocabulary, policy, reference, key,
     ids = tokens.tokenize(rows, vocab, text)
     ids = tokens.tokenize(ids, vocab, "prompt", name="prompt_ids")
     ids = ids.select(*key, "input_ids", F.element_at("prompt_ids", -1).alias("last_id"))
-    score = lambda model: lm.sequence_logprob(ids, model, key, first=F.col("last_id"))
-    return objectives.align_logprobs(score(policy), score(reference), key)
+    models = {"policy": policy, "reference": reference}
+    return lm.sequence_logprobs(ids, models, key, first=F.col("last_id"))
 
 
 # ---- sources and sinks ----
@@ -285,7 +285,7 @@ def value_advantage(spark, sf_dir):
 
 def kl_reward(spark, sf_dir):
     vocab, policy, reference = language_models(spark, sf_dir)
-    scored = scored_completions(spark, sf_dir)
+    scored = written(scored_completions(spark, sf_dir), "scored")
     aligned = logprobs(scored, vocab, policy, reference, SEQUENCE, "completion")
     rows = objectives.kl_reward(scored.select(*SEQUENCE, "reward").join(aligned, list(SEQUENCE)))
     return rows.select(*SEQUENCE, "n_tokens", *(F.round(c, 5).alias(c) for c in ("reward", "kl", "kl_reward")))
@@ -374,7 +374,7 @@ def reward_scores(spark, sf_dir):
 
 def model_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "reward-model")
-    reward.save_model(_reward_model(spark, sf_dir), path)
+    reward.fit_reward(preference.reward_pairs(instructions(spark, sf_dir)), path)
     rows = rollouts.attach_completions(*completions(spark, sf_dir))
     return reward.score_reward(reward.load_model(path), rows).select(*SEQUENCE, "reward")
 

@@ -26,7 +26,7 @@ def word_lookup(entries: Sequence[tuple[str, int, int]]):
     """
     if len(entries) > MAX_INLINE_ROWS:
         raise ValueError(f"{len(entries)} words are too many to inline; join the table")
-    buckets = max(1, 2 * len(entries))
+    buckets = max(1, len(entries))
     table: list[dict[str, int]] = [{} for _ in range(buckets)]
     for word, number, digest in entries:
         table[digest % buckets][word] = number

@@ -2,19 +2,25 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key, key_columns
 from tallyrow.functions.lookup import MAX_INLINE_ROWS
+from tallyrow.session import scratch_path
 
 # Log-probabilities are summed as decimals: the total does not depend on the
 # order in which tasks finish.
 LOG_DECIMALS = 9
 LOG_TYPE = f"decimal(38,{LOG_DECIMALS})"
 
+BIGRAM_SCHEMA = "prev int, next int, n bigint"
+CONTEXT_SCHEMA = "prev int, c bigint"
+
 
 @dataclass(frozen=True)
 class BigramModel:
@@ -28,14 +34,10 @@ class BigramModel:
     vocab_size: int
     add_k: float = 0.1
 
-    def save(self, path: str) -> None:
-        self.bigrams.write.mode("overwrite").parquet(f"{path}/bigrams")
-        self.contexts.write.mode("overwrite").parquet(f"{path}/contexts")
-
     @classmethod
     def load(cls, spark: SparkSession, path: str, vocab_size: int, add_k: float = 0.1) -> BigramModel:
-        bigrams = spark.read.schema("prev int, next int, n bigint").parquet(f"{path}/bigrams")
-        contexts = spark.read.schema("prev int, c bigint").parquet(f"{path}/contexts")
+        bigrams = spark.read.schema(BIGRAM_SCHEMA).parquet(f"{path}/bigrams")
+        contexts = spark.read.schema(CONTEXT_SCHEMA).parquet(f"{path}/contexts")
         return cls(bigrams, contexts, vocab_size, add_k)
 
 
@@ -45,51 +47,86 @@ def _bigrams(ids: str, first: Column) -> Column:
     return F.zip_with(shifted, F.col(ids), lambda p, n: F.struct(p.alias("prev"), n.alias("next")))
 
 
-def fit_bigram(df: DataFrame, vocab_size: int, ids: str = "input_ids", bos_id: int = 0, add_k: float = 0.1) -> BigramModel:
-    """Counts bigrams. Pairs are formed inside each row, then combined before the shuffle."""
+def fit_bigram(
+    df: DataFrame, vocab_size: int, path: str | None = None, ids: str = "input_ids", bos_id: int = 0, add_k: float = 0.1
+) -> BigramModel:
+    """Counts bigrams and saves the counts to ``path``, a fresh one below the shared folder unless given.
+
+    Pairs are formed inside each row and combined before the shuffle, so a pair
+    that makes up a third of the text is one row per map task.
+    """
     if add_k <= 0:
         raise ValueError("add_k must be positive: an unseen pair needs a probability")
-    bigrams = (
+    spark = df.sparkSession
+    path = path or scratch_path(spark, "bigram-model")
+    counts = (
         df.select(F.inline(_bigrams(ids, F.lit(bos_id))))
         .groupBy("prev", "next")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    contexts = bigrams.groupBy("prev").agg(F.sum("n").alias("c"))
-    return BigramModel(bigrams, contexts, vocab_size, add_k)
+    counts.write.mode("overwrite").parquet(f"{path}/bigrams")
+    totals = spark.read.schema(BIGRAM_SCHEMA).parquet(f"{path}/bigrams").groupBy("prev").agg(F.sum("n").alias("c"))
+    totals.write.mode("overwrite").parquet(f"{path}/contexts")
+    return BigramModel.load(spark, path, vocab_size, add_k)
 
 
-def sequence_logprob(
+def _merged(tables: Mapping[str, DataFrame], keys: list[str], count: str) -> DataFrame:
+    """Several models' counts side by side, one ``count_model`` column each."""
+    renamed = [t.select(*keys, F.col(count).alias(f"{count}_{name}")) for name, t in tables.items()]
+    return reduce(lambda left, right: left.join(right, keys, "full"), renamed)
+
+
+def sequence_logprobs(
     df: DataFrame,
-    model: BigramModel,
+    models: Mapping[str, BigramModel],
     key: Key,
     ids: str = "input_ids",
     first: Column | None = None,
     bos_id: int = 0,
 ) -> DataFrame:
-    """(key, logprob, n_tokens) of every row; no tokens give 0.0 and 0.
+    """(key, <model>_logprob..., n_tokens) of every row; no tokens give 0.0 and 0.
 
     ``first`` is the id before the first token (say, the last one of the
-    prompt), ``bos_id`` unless given. Context counts are at most one row per
-    vocabulary id, so they are broadcast while the vocabulary is small; the
-    bigram join is left to Catalyst, and AQE splits a hot bigram.
+    prompt), ``bos_id`` unless given. All models are scored in one pass: their
+    counts are put side by side, so the text's pairs are shuffled once. Context
+    counts have at most one row per vocabulary id and are broadcast while the
+    vocabulary is small; the pair join is left to Catalyst, and AQE splits a hot
+    pair.
     """
     names = key_columns(key)
     pairs = df.select(*names, F.inline_outer(_bigrams(ids, F.lit(bos_id) if first is None else first)))
-    small = model.vocab_size <= MAX_INLINE_ROWS
-    contexts = F.broadcast(model.contexts) if small else model.contexts
-    n, c, k = F.coalesce("n", F.lit(0)), F.coalesce("c", F.lit(0)), F.lit(model.add_k)
-    term = F.round(F.log((n + k) / (c + k * model.vocab_size)), LOG_DECIMALS).cast(LOG_TYPE)
+    bigrams = _merged({name: m.bigrams for name, m in models.items()}, ["prev", "next"], "n")
+    contexts = _merged({name: m.contexts for name, m in models.items()}, ["prev"], "c")
+    if all(m.vocab_size <= MAX_INLINE_ROWS for m in models.values()):
+        contexts = F.broadcast(contexts)
+
+    def total(name: str, model: BigramModel) -> Column:
+        seen, context = F.coalesce(f"n_{name}", F.lit(0)), F.coalesce(f"c_{name}", F.lit(0))
+        odds = (seen + model.add_k) / (context + model.add_k * model.vocab_size)
+        term = F.when(F.col("next").isNotNull(), F.round(F.log(odds), LOG_DECIMALS).cast(LOG_TYPE))
+        return F.coalesce(F.sum(term).cast("double"), F.lit(0.0)).alias(f"{name}_logprob")
+
     return (
         pairs.join(contexts, "prev", "left")
-        .join(model.bigrams, ["prev", "next"], "left")
+        .join(bigrams, ["prev", "next"], "left")
         .groupBy(*names)
-        .agg(
-            F.coalesce(F.sum(F.when(F.col("next").isNotNull(), term)).cast("double"), F.lit(0.0)).alias("logprob"),
-            F.count("next").alias("n_tokens"),
-        )
+        .agg(*(total(name, model) for name, model in models.items()), F.count("next").alias("n_tokens"))
     )
 
 
+def sequence_logprob(
+    df: DataFrame,
+    model: BigramModel,
+    key: Key,
+    ids: str = "input_ids",
+    first: Column | None = None,
+    bos_id: int = 0,
+) -> DataFrame:
+    """(key, logprob, n_tokens) of every row under one model; see `sequence_logprobs`."""
+    scored = sequence_logprobs(df, {"model": model}, key, ids, first, bos_id)
+    return scored.withColumnRenamed("model_logprob", "logprob")
+
+
 def eval_loss(scored: DataFrame) -> DataFrame:
     """One row: sequences, tokens, token-weighted negative log-likelihood, perplexity.
 

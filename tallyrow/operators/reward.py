@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyrow.functions.text import shared_words, words
 from tallyrow.operators.rollouts import without_prompt
+from tallyrow.session import scratch_path
 
 HASH_BUCKETS = 1024
 
@@ -58,9 +59,29 @@ def _side_stages(side: str, buckets: int) -> tuple[list, list[str]]:
     return [tf], [f"{side}_tf", f"{side}_length", f"{side}_overlap"]
 
 
-def fit_reward(pairs: DataFrame, buckets: int = HASH_BUCKETS, reg: float = 0.01, max_iter: int = 50) -> PipelineModel:
+def save_model(model: PipelineModel, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_model(path: str) -> PipelineModel:
+    """Loads a saved reward or value model (needs an active session)."""
+    return PipelineModel.load(path)
+
+
+def _saved(model: PipelineModel, path: str) -> PipelineModel:
+    """Saves a model and returns it as loaded. A freshly fitted one carries its
+    training summary, and with it the session, into every scoring task."""
+    save_model(model, path)
+    return load_model(path)
+
+
+def fit_reward(
+    pairs: DataFrame, path: str | None = None, buckets: int = HASH_BUCKETS, reg: float = 0.01, max_iter: int = 50
+) -> PipelineModel:
     """Bradley-Terry fit: P(chosen over rejected) = sigma(score(chosen) - score(rejected)).
 
+    The model is saved to ``path``, a fresh one below the shared folder unless given.
+
     Both sides' features go side by side into a logistic regression without
     intercept, each pair once in either order. By that symmetry the optimum
     gives the two sides opposite weights, so the model is a difference of scores.
@@ -86,7 +107,8 @@ def fit_reward(pairs: DataFrame, buckets: int = HASH_BUCKETS, reg: float = 0.01,
     regression = LogisticRegression(
         featuresCol="features", labelCol="label", fitIntercept=False, regParam=reg, maxIter=max_iter
     )
-    return Pipeline(stages=[*stages_a, *stages_b, assembler, regression]).fit(rows)
+    model = Pipeline(stages=[*stages_a, *stages_b, assembler, regression]).fit(rows)
+    return _saved(model, path or scratch_path(pairs.sparkSession, "reward-model"))
 
 
 def score_reward(
@@ -103,7 +125,12 @@ def score_reward(
 
 
 def fit_value(
-    examples: DataFrame, reward_model: PipelineModel, buckets: int = HASH_BUCKETS, reg: float = 0.01, max_iter: int = 50
+    examples: DataFrame,
+    reward_model: PipelineModel,
+    path: str | None = None,
+    buckets: int = HASH_BUCKETS,
+    reg: float = 0.01,
+    max_iter: int = 50,
 ) -> PipelineModel:
     """Regression of ``label`` on the response, started from the reward model.
 
@@ -113,7 +140,8 @@ def fit_value(
     stages, inputs = _side_stages("v", buckets)
     assembler = VectorAssembler(inputCols=[*inputs, "reward_score"], outputCol="features")
     regression = LinearRegression(featuresCol="features", labelCol="label", regParam=reg, maxIter=max_iter)
-    return Pipeline(stages=[*stages, assembler, regression]).fit(_value_rows(examples, reward_model))
+    model = Pipeline(stages=[*stages, assembler, regression]).fit(_value_rows(examples, reward_model))
+    return _saved(model, path or scratch_path(examples.sparkSession, "value-model"))
 
 
 def _value_rows(df: DataFrame, reward_model: PipelineModel) -> DataFrame:
@@ -130,15 +158,6 @@ def score_value(model: PipelineModel, reward_model: PipelineModel, df: DataFrame
     return scored.select(*df.columns, F.col("prediction").alias(name))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
-
-def load_model(path: str) -> PipelineModel:
-    """Loads a saved reward or value model (needs an active session)."""
-    return PipelineModel.load(path)
-
-
 def preference_metrics(df: DataFrame, chosen: str = "chosen_score", rejected: str = "rejected_score") -> DataFrame:
     """One row: pairs, share of pairs whose chosen side scores higher, mean margin."""
     margin = F.col(chosen) - F.col(rejected)

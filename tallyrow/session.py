@@ -62,3 +62,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a parquet table below the shared folder, for results read more than once.
+
+    Unlike a cache it survives the loss of executors, and later plans start at the table.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
