@@ -5,6 +5,8 @@ from __future__ import annotations
 WORD = r"[^ \n\t\r]+"
 VOCAB_WORDS = 8192
 
+# `round(...) + 0.0` turns DuckDB's -0.0 into the 0.0 that Spark's round gives.
+
 # Common table expressions by name; each lists those it reads.
 CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "ins": (
@@ -293,21 +295,21 @@ ORACLES: dict[str, str] = {
         """
         SELECT prompt_id, gen_id, round(reward, 6) AS reward,
                round((reward - avg(reward) OVER (PARTITION BY prompt_id))
-                     / (coalesce(stddev_samp(reward) OVER (PARTITION BY prompt_id), 0) + CAST(0.0001 AS DOUBLE)), 6) AS advantage
+                     / (coalesce(stddev_samp(reward) OVER (PARTITION BY prompt_id), 0) + CAST(0.0001 AS DOUBLE)), 6) + 0.0 AS advantage
         FROM scored""",
         ("scored",),
     ),
     "value_advantage": _query(
         """
         SELECT prompt_id, gen_id, round(reward, 6) AS reward, round(value, 6) AS value,
-               round(reward - value, 6) AS advantage
+               round(reward - value, 6) + 0.0 AS advantage
         FROM scored""",
         ("scored",),
     ),
     "kl_reward": _query(
         f"""
-        SELECT {SEQ}, n_tokens, round(reward, 5) AS reward, round(p.lp - r.lp, 5) AS kl,
-               round(reward - CAST(0.05 AS DOUBLE) * (p.lp - r.lp), 5) AS kl_reward
+        SELECT {SEQ}, n_tokens, round(reward, 5) AS reward, round(p.lp - r.lp, 5) + 0.0 AS kl,
+               round(reward - CAST(0.05 AS DOUBLE) * (p.lp - r.lp), 5) + 0.0 AS kl_reward
         FROM scored JOIN pol_lp p USING ({SEQ}) JOIN (SELECT {SEQ}, lp FROM ref_lp) r USING ({SEQ})""",
         ("sft", "vocab", "scored"),
         _two_models(

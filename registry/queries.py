@@ -32,6 +32,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instructions_from_turns(table(spark, sf_dir, "conversations"))
 
@@ -78,8 +82,7 @@ def language_models(spark: SparkSession, sf_dir: str):
     """(vocabulary, policy model of the training texts, reference model of the documents)."""
     vocab = vocabulary(spark, sf_dir)
     policy = lm.fit_bigram(tokens.tokenize(sft(spark, sf_dir), vocab, "text"), vocab.size)
-    documents = table(spark, sf_dir, "documents")
-    reference = lm.fit_bigram(tokens.tokenize(documents, vocab, "text"), vocab.size)
+    reference = lm.fit_bigram(tokens.tokenize(documents(spark, sf_dir), vocab, "text"), vocab.size)
     return vocab, policy, reference
 
 
@@ -201,14 +204,13 @@ def fit_vocab(spark, sf_dir):
 
 
 def tokenize(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    ids = tokens.tokenize(documents, vocabulary(spark, sf_dir), "text")
+    ids = tokens.tokenize(documents(spark, sf_dir), vocabulary(spark, sf_dir), "text")
     return ids.select("doc_id", joined("input_ids"), F.size("input_ids").alias("n_tokens"))
 
 
 def detokenize(spark, sf_dir):
     vocab = vocabulary(spark, sf_dir)
-    ids = tokens.tokenize(table(spark, sf_dir, "documents").select("doc_id", "text"), vocab, "text")
+    ids = tokens.tokenize(documents(spark, sf_dir), vocab, "text")
     return tokens.detokenize(ids.select("doc_id", "input_ids"), vocab, "input_ids").select("doc_id", "text")
 
 
@@ -224,8 +226,7 @@ def value_tokens(spark, sf_dir):
 
 
 def truncate_256(spark, sf_dir):
-    documents = table(spark, sf_dir, "documents")
-    ids = tokens.truncate(tokens.tokenize(documents, vocabulary(spark, sf_dir), "text"), "input_ids", 256)
+    ids = tokens.truncate(tokens.tokenize(documents(spark, sf_dir), vocabulary(spark, sf_dir), "text"), "input_ids", 256)
     return ids.select("doc_id", joined("input_ids"), F.size("input_ids").alias("n_tokens"))
 
 
@@ -296,15 +297,15 @@ def kl_reward(spark, sf_dir):
 
 def bigram_fit(spark, sf_dir):
     vocab = vocabulary(spark, sf_dir)
-    ids = tokens.tokenize(table(spark, sf_dir, "documents"), vocab, "text")
+    ids = tokens.tokenize(documents(spark, sf_dir), vocab, "text")
     return lm.fit_bigram(ids, vocab.size).bigrams
 
 
 def seq_logprob(spark, sf_dir):
     vocab = vocabulary(spark, sf_dir)
     policy = lm.fit_bigram(tokens.tokenize(sft(spark, sf_dir), vocab, "text"), vocab.size)
-    documents = tokens.tokenize(table(spark, sf_dir, "documents"), vocab, "text")
-    scored = lm.sequence_logprob(documents, policy, "doc_id")
+    ids = tokens.tokenize(documents(spark, sf_dir), vocab, "text")
+    scored = lm.sequence_logprob(ids, policy, "doc_id")
     return scored.select("doc_id", F.round("logprob", 5).alias("logprob"), "n_tokens")
 
 

@@ -14,6 +14,16 @@ VALUE_SCHEMA = "row_id bigint, text string, label double"
 SPLIT_COLUMN = "split"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scanned table over at least as many partitions as there are cores.
+
+    Meant for heavy per-row work on a table in a few big files. A table that
+    already comes in enough splits, any large one, passes through unshuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def select_split(df: DataFrame, name: str) -> DataFrame:
     """The rows of one named split. On a table partitioned by ``split`` only its folder is listed."""
     return df.where(F.col(SPLIT_COLUMN) == F.lit(name))
