@@ -281,6 +281,14 @@ ORACLES: dict[str, str] = {
     "completion_text": _query(
         "SELECT prompt_id, gen_id, prompt, completion, concat(prompt, completion) AS text FROM comp", ("comp",)
     ),
+    "score_inputs": _query(
+        f"""
+        SELECT {SEQ}, {_joined('list_resize(ids, m, 0)')} AS input_ids,
+               {_joined('list_resize(list_transform(ids, lambda x: 1), m, 0)')} AS attention_mask
+        FROM (SELECT {SEQ}, ids[1:512] AS ids, max(len(ids[1:512])) OVER (PARTITION BY prompt_id) AS m FROM t)""",
+        ("vocab", "comp"),
+        {"texts": f"SELECT {SEQ}, concat(prompt, completion) AS text FROM comp", "t": _lists("texts", SEQ, "text")},
+    ),
     "strip_prompt": _query(
         f"""
         SELECT {KEY}, response, {_joined('ids')} AS response_ids

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyrow.functions.ordering import with_ordinal, with_shuffled_position
 from tallyrow.functions.text import words
 from tallyrow.operators import batching, lm, objectives, preference, reward, rollouts, slices, templates, tokens
+from tallyrow.plans.preference import completion_logprobs, score_pairs
 from tallyrow.session import scratch_path, written
 from tallyrow.sources import sinks, tables
 from tallyrow.sources.dialogue import KEY, instructions_from_turns
@@ -86,15 +87,6 @@ def language_models(spark: SparkSession, sf_dir: str):
     return vocab, policy, reference
 
 
-def logprobs(rows: DataFrame, vocab: tokens.Vocabulary, policy, reference, key, text: str) -> DataFrame:
-    """Both models' log-probabilities of a completion after its prompt."""
-    ids = tokens.tokenize(rows, vocab, text)
-    ids = tokens.tokenize(ids, vocab, "prompt", name="prompt_ids")
-    ids = ids.select(*key, "input_ids", F.element_at("prompt_ids", -1).alias("last_id"))
-    models = {"policy": policy, "reference": reference}
-    return lm.sequence_logprobs(ids, models, key, first=F.col("last_id"))
-
-
 # ---- sources and sinks ----
 
 
@@ -238,8 +230,8 @@ def epoch_batches(spark, sf_dir):
 def pad_batches(spark, sf_dir):
     ids = tokens.prompt_tokens(templates.build_prompt(instructions(spark, sf_dir)), vocabulary(spark, sf_dir), keep=KEY)
     ids = tokens.truncate(ids, "input_ids", 256)
-    batches = batching.assign_batches(ids, KEY, epochs=1, batch_size=4, seed=SEED)
-    padded = batching.pad_batches(batches, "input_ids", "batch_id", tokens.Specials().pad_id)
+    batches = written(batching.assign_batches(ids, KEY, epochs=1, batch_size=4, seed=SEED), "batches")
+    padded = batching.pad_batches(batches, "input_ids", "batch_id", KEY, tokens.Specials().pad_id)
     return padded.select(*KEY, "batch_id", joined("input_ids"), joined("attention_mask"))
 
 
@@ -255,6 +247,14 @@ def completion_text(spark, sf_dir):
     return rollouts.completion_text(rollouts.attach_completions(*completions(spark, sf_dir)))
 
 
+def score_inputs(spark, sf_dir):
+    rows = rollouts.completion_text(rollouts.attach_completions(*completions(spark, sf_dir)))
+    ids = tokens.truncate(tokens.tokenize(rows, vocabulary(spark, sf_dir), "text"), "input_ids", 512)
+    ids = written(ids.select(*SEQUENCE, "input_ids"), "ids")
+    padded = batching.pad_batches(ids, "input_ids", "prompt_id", "gen_id", tokens.Specials().pad_id)
+    return padded.select(*SEQUENCE, joined("input_ids"), joined("attention_mask"))
+
+
 def strip_prompt(spark, sf_dir):
     pairs = preference.reward_pairs(instructions(spark, sf_dir))
     vocab = vocabulary(spark, sf_dir)
@@ -287,7 +287,7 @@ def value_advantage(spark, sf_dir):
 def kl_reward(spark, sf_dir):
     vocab, policy, reference = language_models(spark, sf_dir)
     scored = written(scored_completions(spark, sf_dir), "scored")
-    aligned = logprobs(scored, vocab, policy, reference, SEQUENCE, "completion")
+    aligned = completion_logprobs(scored, SEQUENCE, vocab, policy, reference)
     rows = objectives.kl_reward(scored.select(*SEQUENCE, "reward").join(aligned, list(SEQUENCE)))
     return rows.select(*SEQUENCE, "n_tokens", *(F.round(c, 5).alias(c) for c in ("reward", "kl", "kl_reward")))
 
@@ -304,7 +304,7 @@ def bigram_fit(spark, sf_dir):
 def seq_logprob(spark, sf_dir):
     vocab = vocabulary(spark, sf_dir)
     policy = lm.fit_bigram(tokens.tokenize(sft(spark, sf_dir), vocab, "text"), vocab.size)
-    ids = tokens.tokenize(documents(spark, sf_dir), vocab, "text")
+    ids = written(tokens.tokenize(documents(spark, sf_dir), vocab, "text").select("doc_id", "input_ids"), "ids")
     scored = lm.sequence_logprob(ids, policy, "doc_id")
     return scored.select("doc_id", F.round("logprob", 5).alias("logprob"), "n_tokens")
 
@@ -315,28 +315,16 @@ def lm_eval(spark, sf_dir):
     train, held_out = tables.select_split(texts, "train"), tables.select_split(texts, "validation")
     vocab = tokens.load_vocab(tokens.fit_vocab(train, "text", VOCAB_WORDS))
     model = lm.fit_bigram(tokens.tokenize(train, vocab, "text"), vocab.size)
-    loss = lm.eval_loss(lm.sequence_logprob(tokens.tokenize(held_out, vocab, "text"), model, KEY))
+    ids = written(tokens.tokenize(held_out, vocab, "text").select(*KEY, "input_ids"), "ids")
+    loss = lm.eval_loss(lm.sequence_logprob(ids, model, KEY))
     return loss.select("sequences", "tokens", F.round("nll", 6).alias("nll"), F.round("perplexity", 2).alias("perplexity"))
 
 
 def dpo_metrics(spark, sf_dir):
     vocab, policy, reference = language_models(spark, sf_dir)
     pairs = preference.reward_pairs(instructions(spark, sf_dir), include_prompt=False)
-    sides = F.array(
-        F.struct(F.lit("chosen").alias("side"), F.col("chosen").alias("completion")),
-        F.struct(F.lit("rejected").alias("side"), F.col("rejected").alias("completion")),
-    )
-    key = [*KEY, "side"]
-    scored = logprobs(pairs.select(*KEY, "prompt", F.inline(sides)), vocab, policy, reference, key, "completion")
-    on_side = lambda side, column: F.max(F.when(F.col("side") == side, F.col(column)))
-    rows = scored.groupBy(*KEY).agg(
-        *(
-            on_side(side, f"{model}_logprob").alias(f"{model}_{side}")
-            for model in ("policy", "reference")
-            for side in ("chosen", "rejected")
-        )
-    )
-    metrics = objectives.dpo_metrics(rows)
+    rows = score_pairs(pairs, KEY, vocab, policy, reference)
+    metrics = objectives.dpo_summary(rows)
     return metrics.select("pairs", *(F.round(c, 6).alias(c) for c in ("loss", "margin", "accuracy")))
 
 
@@ -426,6 +414,7 @@ QUERIES: dict[str, Query] = {
     "pad_batches": pad_batches,
     "fan_out": fan_out,
     "completion_text": completion_text,
+    "score_inputs": score_inputs,
     "strip_prompt": strip_prompt,
     "reward_callback": reward_callback,
     "group_advantage": group_advantage,

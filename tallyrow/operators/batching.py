@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key
 from tallyrow.functions.ordering import with_ordinal, with_shuffled_position
+from tallyrow.functions.skew import HOT_ROWS, lookup_join
 
 
 def assign_batches(
@@ -32,17 +33,19 @@ def assign_batches(
     )
 
 
-def pad_batches(df: DataFrame, ids: str, batch: str, pad_id: int) -> DataFrame:
+def pad_batches(df: DataFrame, ids: str, batch: str, key: Key, pad_id: int, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Pads ``ids`` to the longest row of its batch and adds ``attention_mask``.
 
     The mask comes from the lengths: a pad id may be a real token as well.
     Lengths are pre-aggregated per batch and joined back, so no batch is ever
-    gathered into one task.
+    gathered into one task; ``key`` tells the rows of a batch apart. The ids are
+    read twice: give a stored table rather than ids still to be computed.
     """
-    longest = df.groupBy(batch).agg(F.max(F.size(ids)).alias("_longest"))
+    sizes = df.groupBy(batch).agg(F.max(F.size(ids)).alias("_longest"), F.count(F.lit(1)).alias("_n"))
+    longest = sizes.drop("_n")
     missing = F.col("_longest") - F.size(ids)
     return (
-        df.join(longest, batch)
+        lookup_join(df, longest, batch, spread_by=key, counts=sizes, hot_rows=hot_rows)
         .withColumn("attention_mask", F.concat(F.array_repeat(F.lit(1), F.size(ids)), F.array_repeat(F.lit(0), missing)))
         .withColumn(ids, F.concat(F.col(ids), F.array_repeat(F.lit(pad_id), missing)))
         .drop("_longest")

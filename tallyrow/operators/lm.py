@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key, key_columns
 from tallyrow.functions.lookup import MAX_INLINE_ROWS
+from tallyrow.functions.skew import HOT_ROWS, lookup_join
 from tallyrow.session import scratch_path
 
 # Log-probabilities are summed as decimals: the total does not depend on the
@@ -83,6 +84,7 @@ def sequence_logprobs(
     ids: str = "input_ids",
     first: Column | None = None,
     bos_id: int = 0,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """(key, <model>_logprob..., n_tokens) of every row; no tokens give 0.0 and 0.
 
@@ -90,8 +92,9 @@ def sequence_logprobs(
     prompt), ``bos_id`` unless given. All models are scored in one pass: their
     counts are put side by side, so the text's pairs are shuffled once. Context
     counts have at most one row per vocabulary id and are broadcast while the
-    vocabulary is small; the pair join is left to Catalyst, and AQE splits a hot
-    pair.
+    vocabulary is small. Hot pairs (say, unknown after unknown) are counted
+    first and dealt over several tasks, so the ids are read twice: give a stored
+    table rather than ids still to be computed.
     """
     names = key_columns(key)
     pairs = df.select(*names, F.inline_outer(_bigrams(ids, F.lit(bos_id) if first is None else first)))
@@ -107,8 +110,8 @@ def sequence_logprobs(
         return F.coalesce(F.sum(term).cast("double"), F.lit(0.0)).alias(f"{name}_logprob")
 
     return (
-        pairs.join(contexts, "prev", "left")
-        .join(bigrams, ["prev", "next"], "left")
+        lookup_join(pairs, bigrams, ["prev", "next"], spread_by=names, how="left", hot_rows=hot_rows)
+        .join(contexts, "prev", "left")
         .groupBy(*names)
         .agg(*(total(name, model) for name, model in models.items()), F.count("next").alias("n_tokens"))
     )

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key, key_columns
+from tallyrow.functions.skew import HOT_ROWS, lookup_join
 
 
 def align_logprobs(policy: DataFrame, reference: DataFrame, key: Key) -> DataFrame:
@@ -37,7 +38,12 @@ def dpo_terms(df: DataFrame, beta: float = 0.1) -> DataFrame:
 
 def dpo_metrics(df: DataFrame, beta: float = 0.1) -> DataFrame:
     """One row: pairs, mean loss, mean margin, share of pairs with a positive margin."""
-    return dpo_terms(df, beta).agg(
+    return dpo_summary(dpo_terms(df, beta))
+
+
+def dpo_summary(terms: DataFrame) -> DataFrame:
+    """The metrics of rows that already carry margin and loss."""
+    return terms.agg(
         F.count(F.lit(1)).alias("pairs"),
         F.avg("loss").alias("loss"),
         F.avg("margin").alias("margin"),
@@ -67,16 +73,28 @@ def value_advantage(rewards: DataFrame, values: DataFrame, key: Key, whiten: boo
 
 
 def group_advantage(
-    df: DataFrame, group: str = "prompt_id", reward: str = "reward", eps: float = 1e-4, std: str = "samp"
+    df: DataFrame,
+    group: str = "prompt_id",
+    reward: str = "reward",
+    member: str = "gen_id",
+    eps: float = 1e-4,
+    std: str = "samp",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Adds ``advantage`` = (reward - group mean) / (group deviation + eps).
 
-    A group of one gets 0. Group statistics are pre-aggregated and joined back
-    rather than windowed: a group with a third of all rows would put them in
-    one task, while the join can be split.
+    A group of one gets 0. ``member`` tells the rows of a group apart. Group
+    statistics are pre-aggregated and joined back rather than windowed: a window
+    would put a group with a third of all rows into one task, while the join
+    deals it over several.
     """
     deviation = {"samp": F.stddev_samp, "pop": F.stddev_pop}[std]
-    stats = df.groupBy(group).agg(F.avg(reward).alias("_mean"), F.coalesce(deviation(reward), F.lit(0.0)).alias("_dev"))
-    return df.join(stats, group).withColumn(
-        "advantage", (F.col(reward) - F.col("_mean")) / (F.col("_dev") + eps)
-    ).drop("_mean", "_dev")
+    stats = df.groupBy(group).agg(
+        F.avg(reward).alias("_mean"),
+        F.coalesce(deviation(reward), F.lit(0.0)).alias("_dev"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    table = stats.drop("_n")
+    joined = lookup_join(df, table, group, spread_by=member, counts=stats, hot_rows=hot_rows)
+    advantage = (F.col(reward) - F.col("_mean")) / (F.col("_dev") + eps)
+    return joined.withColumn("advantage", advantage).drop("_mean", "_dev")

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from tallyrow.functions.skew import lookup_join
+
 
 def fan_out(df: DataFrame, generations: int = 4) -> DataFrame:
     """Each row once per generation, numbered by ``gen_id``."""
@@ -17,13 +19,11 @@ def fan_out(df: DataFrame, generations: int = 4) -> DataFrame:
     return df.withColumn("gen_id", F.explode(F.sequence(F.lit(0), F.lit(generations - 1))))
 
 
-def attach_completions(prompts: DataFrame, completions: DataFrame, on: str = "prompt_id") -> DataFrame:
-    """Every completion with its prompt.
-
-    Prompts are unique on ``on``, so only the completion side can hold a hot
-    key, and AQE splits that side.
-    """
-    return completions.join(prompts, on)
+def attach_completions(
+    prompts: DataFrame, completions: DataFrame, on: str = "prompt_id", member: str = "gen_id"
+) -> DataFrame:
+    """Every completion with its prompt; a prompt with very many completions is dealt over several tasks."""
+    return lookup_join(completions, prompts, on, spread_by=member)
 
 
 def completion_text(df: DataFrame, prompt: str = "prompt", completion: str = "completion") -> DataFrame:

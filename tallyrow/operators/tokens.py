@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key, key_columns
 from tallyrow.functions.lookup import MAX_INLINE_ROWS, position_lookup, word_lookup
+from tallyrow.functions.skew import lookup_join
 from tallyrow.functions.text import words
 
 
@@ -120,7 +121,8 @@ def tokenize(
         raise ValueError("a joined vocabulary needs the row key")
     names = key_columns(key)
     exploded = df.select(*names, F.posexplode(tokens).alias("_pos", "tok"))
-    numbered = exploded.join(vocab.select("tok", "id"), "tok", "left").select(
+    found = lookup_join(exploded, vocab.select("tok", "id"), "tok", spread_by=[*names, "_pos"], how="left")
+    numbered = found.select(
         *names, F.struct("_pos", F.coalesce("id", F.lit(specials.unk)).alias("id")).alias("_token")
     )
     # One group is the words of one row's text.

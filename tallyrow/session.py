@@ -37,17 +37,18 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: s
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
+    """The folder named by ``spark.checkpoint.dir``, or else the context's checkpoint folder.
 
-    Only a local session without that setting gets a temporary folder: on a
-    cluster a machine-local path is lost with its executor.
+    Only a local session with neither gets a temporary folder: on a cluster a
+    machine-local path is lost with its executor.
     """
-    named = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR)
+    context = spark.sparkContext
+    named = context.getConf().get(CHECKPOINT_DIR) or context.getCheckpointDir()
     if named is None:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder every executor can reach")
-        named = tempfile.mkdtemp(prefix="tallyrow-")
-        spark.conf.set(CHECKPOINT_DIR, named)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallyrow-"))
+        named = context.getCheckpointDir()
     return named.rstrip("/")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyrow.functions.skew import lookup_join
+
 KEY = ("conv_id", "turn")
 
 
@@ -16,8 +18,8 @@ def instructions_from_turns(turns: DataFrame) -> DataFrame:
 
     The answer is found by an equi-join on (conv_id, turn + 1), so one huge
     conversation still spreads over all tasks; a window per conversation would
-    put it into one. The system text joins on conv_id alone; there AQE splits a
-    hot conversation, since only its user side is large.
+    put it into one. The system text joins on conv_id alone, a hot conversation
+    being dealt over several tasks.
     """
     asked = turns.where(F.col("role") == "user").select(*KEY, F.col("text").alias("instruction"))
     answered = turns.where(F.col("role") == "assistant").select(
@@ -27,7 +29,7 @@ def instructions_from_turns(turns: DataFrame) -> DataFrame:
         turns.where(F.col("role") == "system").groupBy("conv_id").agg(F.max("text").alias("_system"))
     )
     return (
-        asked.join(system, "conv_id", "left")
+        lookup_join(asked, system, "conv_id", spread_by="turn", how="left")
         .join(answered, list(KEY))
         .select(
             *KEY,
