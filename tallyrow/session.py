@@ -18,6 +18,9 @@ ADAPTIVE_CONF = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Small data on one machine: keep every core busy instead of merging partitions.
+LOCAL_CONF = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A session for tests and the benchmark; clusters bring their own."""
@@ -29,7 +32,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for name, value in {**ADAPTIVE_CONF, **conf}.items():
+    for name, value in {**ADAPTIVE_CONF, **LOCAL_CONF, **conf}.items():
         builder = builder.config(name, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
