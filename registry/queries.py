@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyrow.functions.ordering import with_ordinal, with_shuffled_position
 from tallyrow.functions.text import words
 from tallyrow.operators import batching, lm, objectives, preference, reward, rollouts, slices, templates, tokens
+from tallyrow.plans.files import FILES, write_files
 from tallyrow.plans.preference import completion_logprobs, score_pairs
 from tallyrow.session import scratch_path, written
 from tallyrow.sources import sinks, tables
@@ -73,10 +74,12 @@ def completions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return prompts, given
 
 
-def scored_completions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def scored_completions(spark: SparkSession, sf_dir: str, *kept: str) -> DataFrame:
+    """Sequence key, reward, value and the columns named, stored: every use reads it more than once."""
     rows = rollouts.attach_completions(*completions(spark, sf_dir))
     featured = reward.response_features(rows, "prompt", "completion")
-    return reward.linear_score(featured, REWARD_WEIGHTS)
+    scored = reward.linear_score(reward.linear_score(featured, REWARD_WEIGHTS), VALUE_WEIGHTS, "value")
+    return written(scored.select(*SEQUENCE, "reward", "value", *kept), "scored")
 
 
 def language_models(spark: SparkSession, sf_dir: str):
@@ -111,17 +114,8 @@ def jsonl_roundtrip(spark, sf_dir):
 
 
 def write_counts(spark, sf_dir):
-    rows = instructions(spark, sf_dir).persist()
-    outputs = {
-        "ppo_prompts": templates.build_prompt(rows).select(*KEY, "prompt"),
-        "grpo_items": templates.build_prompt(rows).select(*KEY, "prompt"),
-        "dpo_pairs": preference.dpo_pairs(rows),
-        "reward_pairs": preference.reward_pairs(rows),
-        "value_data": preference.value_examples(rows),
-    }
-    counts = [(name, sinks.write_jsonl(df, scratch_path(spark, name))) for name, df in outputs.items()]
-    rows.unpersist()
-    return spark.createDataFrame(counts, "sink string, rows bigint")
+    counts = write_files(instructions(spark, sf_dir), KEY, scratch_path(spark, "files"), list(FILES), "train")
+    return spark.createDataFrame(list(counts.items()), "sink string, rows bigint")
 
 
 def to_jsonl(spark, sf_dir):
@@ -279,14 +273,13 @@ def group_advantage(spark, sf_dir):
 
 def value_advantage(spark, sf_dir):
     scored = scored_completions(spark, sf_dir)
-    values = reward.linear_score(scored, VALUE_WEIGHTS, "value").select(*SEQUENCE, "value")
-    rows = objectives.value_advantage(scored.select(*SEQUENCE, "reward"), values, SEQUENCE)
+    rows = objectives.value_advantage(scored.select(*SEQUENCE, "reward"), scored.select(*SEQUENCE, "value"), SEQUENCE)
     return rows.select(*SEQUENCE, *(F.round(c, 6).alias(c) for c in ("reward", "value", "advantage")))
 
 
 def kl_reward(spark, sf_dir):
     vocab, policy, reference = language_models(spark, sf_dir)
-    scored = written(scored_completions(spark, sf_dir), "scored")
+    scored = scored_completions(spark, sf_dir, "prompt", "completion")
     aligned = completion_logprobs(scored, SEQUENCE, vocab, policy, reference)
     rows = objectives.kl_reward(scored.select(*SEQUENCE, "reward").join(aligned, list(SEQUENCE)))
     return rows.select(*SEQUENCE, "n_tokens", *(F.round(c, 5).alias(c) for c in ("reward", "kl", "kl_reward")))
