@@ -19,19 +19,23 @@ from tallyrow.session import scratch_path
 LOG_DECIMALS = 9
 LOG_TYPE = f"decimal(38,{LOG_DECIMALS})"
 
+# Models of up to this many distinct pairs, some 100 MB in memory, are broadcast.
+BROADCAST_PAIRS = 1_000_000
+
 BIGRAM_SCHEMA = "prev int, next int, n bigint"
 CONTEXT_SCHEMA = "prev int, c bigint"
 
 
 @dataclass(frozen=True)
 class BigramModel:
-    """Bigram counts ``(prev, next, n)`` and context counts ``(prev, c)``.
+    """Bigram counts ``(prev, next, n)``, how many there are, and context counts ``(prev, c)``.
 
     p(next | prev) = (n + add_k) / (c + add_k * vocab_size)
     """
 
     bigrams: DataFrame
     contexts: DataFrame
+    pairs: int
     vocab_size: int
     add_k: float = 0.1
 
@@ -39,7 +43,8 @@ class BigramModel:
     def load(cls, spark: SparkSession, path: str, vocab_size: int, add_k: float = 0.1) -> BigramModel:
         bigrams = spark.read.schema(BIGRAM_SCHEMA).parquet(f"{path}/bigrams")
         contexts = spark.read.schema(CONTEXT_SCHEMA).parquet(f"{path}/contexts")
-        return cls(bigrams, contexts, vocab_size, add_k)
+        # Counted from the file footers.
+        return cls(bigrams, contexts, bigrams.count(), vocab_size, add_k)
 
 
 def _bigrams(ids: str, first: Column) -> Column:
@@ -84,17 +89,21 @@ def sequence_logprobs(
     ids: str = "input_ids",
     first: Column | None = None,
     bos_id: int = 0,
+    broadcast_pairs: int = BROADCAST_PAIRS,
     hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """(key, <model>_logprob..., n_tokens) of every row; no tokens give 0.0 and 0.
 
     ``first`` is the id before the first token (say, the last one of the
     prompt), ``bos_id`` unless given. All models are scored in one pass: their
-    counts are put side by side, so the text's pairs are shuffled once. Context
-    counts have at most one row per vocabulary id and are broadcast while the
-    vocabulary is small. Hot pairs (say, unknown after unknown) are counted
-    first and dealt over several tasks, so the ids are read twice: give a stored
-    table rather than ids still to be computed.
+    counts are put side by side. Context counts have at most one row per
+    vocabulary id and are broadcast while the vocabulary is small.
+
+    Models of together at most ``broadcast_pairs`` pairs are broadcast, and the
+    text's pairs never leave their task. Larger ones are joined: the text's pairs
+    are shuffled, hot ones (say, unknown after unknown) counted first and dealt
+    over several tasks. That reads the ids twice: give a stored table rather than
+    ids still to be computed.
     """
     names = key_columns(key)
     pairs = df.select(*names, F.inline_outer(_bigrams(ids, F.lit(bos_id) if first is None else first)))
@@ -109,9 +118,13 @@ def sequence_logprobs(
         term = F.when(F.col("next").isNotNull(), F.round(F.log(odds), LOG_DECIMALS).cast(LOG_TYPE))
         return F.coalesce(F.sum(term).cast("double"), F.lit(0.0)).alias(f"{name}_logprob")
 
+    pair = ["prev", "next"]
+    if sum(m.pairs for m in models.values()) <= broadcast_pairs:
+        counted = pairs.join(F.broadcast(bigrams), pair, "left")
+    else:
+        counted = lookup_join(pairs, bigrams, pair, spread_by=names, how="left", hot_rows=hot_rows)
     return (
-        lookup_join(pairs, bigrams, ["prev", "next"], spread_by=names, how="left", hot_rows=hot_rows)
-        .join(contexts, "prev", "left")
+        counted.join(contexts, "prev", "left")
         .groupBy(*names)
         .agg(*(total(name, model) for name, model in models.items()), F.count("next").alias("n_tokens"))
     )

@@ -42,6 +42,15 @@ def test_logprobs_match_brute_force(spark, model):
         assert scored[k] == (pytest.approx(logprob(ids, 0, bigrams), abs=1e-7), len(ids))
 
 
+def test_a_large_model_is_joined_with_the_same_result(spark, model):
+    df = spark.createDataFrame(HELD_OUT, IDS)
+    score = lambda **options: lm.sequence_logprobs(df, {"policy": model, "reference": model}, "k", **options)
+    small, large = score(), score(broadcast_pairs=model.pairs * 2 - 1)
+    assert sorted(small.collect()) == sorted(large.collect())
+    plan = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    assert "_salt" in plan(large) and "_salt" not in plan(small)
+
+
 def test_first_token_follows_the_prompt(spark, model):
     df = spark.createDataFrame([(1, [2, 3], 3)], "k bigint, input_ids array<int>, last int")
     row = lm.sequence_logprob(df, model, "k", first=F.col("last")).first()
