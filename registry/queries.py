@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrow.functions.ordering import with_ordinal, with_shuffled_position
-from tallyrow.functions.text import words
 from tallyrow.operators import batching, lm, objectives, preference, reward, rollouts, slices, templates, tokens
 from tallyrow.plans.files import FILES, write_files
 from tallyrow.plans.preference import completion_logprobs, score_pairs

@@ -82,17 +82,19 @@ def keys_at(
     return found
 
 
-def with_ordinal(df: DataFrame, key: Key, name: str = "ordinal") -> DataFrame:
+def with_ordinal(df: DataFrame, key: Key, name: str = "ordinal", partitions: int | None = None) -> DataFrame:
     """Adds the 0-based position of each row in key order.
 
     Keys alone are range-sorted and checkpointed (range bounds are sampled, so a
     second run could cut them elsewhere), each partition's start is the running
     count of those before it, and the other columns join on by key.
+    ``partitions`` is the number of key ranges, the session's shuffle partitions
+    unless given.
     """
     names = key_columns(key)
     sorted_keys = (
         df.select(*names)
-        .repartitionByRange(_partitions(df), *names)
+        .repartitionByRange(partitions or _partitions(df), *names)
         .sortWithinPartitions(*names)
         .withColumn("_at", F.monotonically_increasing_id())
     )

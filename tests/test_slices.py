@@ -1,4 +1,6 @@
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from tallyrow.functions.ordering import keys_at, with_ordinal, with_shuffled_position
 from tallyrow.operators.slices import slice_rows, slice_spec, train_val_split
@@ -62,6 +64,12 @@ def test_a_key_is_required(ten):
         slice_rows(ten, [], 0, 3)
 
 
+@settings(max_examples=12, deadline=None)
+@given(start=st.integers(0, 14), stop=st.one_of(st.none(), st.integers(0, 14)), limit=st.sampled_from([2, 100]))
+def test_slices_are_python_slices(ten, start, stop, limit):
+    assert ks(slice_rows(ten, "k", start, stop, direct_limit=limit)) == list(range(10))[start:stop]
+
+
 def test_head_and_tail_are_disjoint_and_complete(skewed):
     head, tail = slice_rows(skewed, ["c", "i"], 0, 123), slice_rows(skewed, ["c", "i"], 123)
     assert head.count() == 123 and tail.count() == 367
@@ -122,6 +130,11 @@ def test_ordinal_of_a_hot_first_key(skewed):
     assert all(r.v == r.c * 1000 + r.i for r in rows)
 
 
+@pytest.mark.parametrize("partitions", [1, 3, 40])
+def test_ordinal_does_not_depend_on_the_ranges(ten, partitions):
+    assert all(r.k == r.ordinal for r in with_ordinal(ten, "k", partitions=partitions).collect())
+
+
 def test_ordinal_of_bare_keys(ten):
     assert {r.k: r.ordinal for r in with_ordinal(ten.select("k"), "k").collect()} == {k: k for k in range(10)}
 

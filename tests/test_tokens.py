@@ -51,6 +51,18 @@ def test_a_joined_vocabulary_gives_the_same_ids(texts, vocab):
         tokens.tokenize(texts, table, "text")
 
 
+def test_awkward_words_survive_the_inline_table(spark):
+    awkward = ['"', "\\", "\\n", "a\u00a0b", "\u0001", "\U0001f600", "${x}", "'", "null", "{}", "\u2028", "\x0b", "é", "e\u0301"]
+    df = spark.createDataFrame([(1, " ".join(awkward)), (2, "\r\n\t ".join(reversed(awkward)))], "k bigint, text string")
+    table = tokens.fit_vocab(df, "text", 100)
+    vocab = tokens.load_vocab(table)
+    ids = by_key(tokens.tokenize(df, vocab, "text"), "input_ids")
+    assert sorted(ids[1]) == list(range(2, 2 + len(awkward))) and ids[2] == ids[1][::-1]
+    assert by_key(tokens.tokenize(df, table, "text", key="k"), "input_ids") == ids
+    back = tokens.detokenize(tokens.tokenize(df, vocab, "text"), vocab, "input_ids", name="back")
+    assert by_key(back, "back")[1] == " ".join(awkward)
+
+
 def test_inline_lookup_does_not_shuffle(texts, vocab):
     plan = tokens.tokenize(texts, vocab, "text")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "Python" not in plan
