@@ -10,6 +10,7 @@ from tallyrow.operators.lm import BigramModel, sequence_logprobs
 from tallyrow.operators.objectives import dpo_terms
 from tallyrow.operators.tokens import Vocabulary, tokenize
 from tallyrow.session import written
+from tallyrow.sources.tables import spread
 
 SIDES = ("chosen", "rejected")
 
@@ -22,7 +23,7 @@ def completion_logprobs(
     ids = tokenize(ids, vocab, "prompt", name="_prompt_ids").select(
         *key_columns(key), "input_ids", F.coalesce(F.get("_prompt_ids", F.size("_prompt_ids") - 1), F.lit(vocab.specials.eos)).alias("_first")
     )
-    return sequence_logprobs(written(ids, "completion-ids"), {"policy": policy, "reference": reference}, key, first=F.col("_first"))
+    return sequence_logprobs(spread(written(ids, "completion-ids")), {"policy": policy, "reference": reference}, key, first=F.col("_first"))
 
 
 def score_pairs(
