@@ -3,7 +3,9 @@
 import oracle
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from registry.oracles import ORACLES
+from registry.queries import QUERIES
 
 ROWS_ONLY = {"reward_fit", "reward_scores", "model_roundtrip", "value_fit", "value_scores"}
 
@@ -14,22 +16,22 @@ def database(sf_dir):
 
 
 def test_only_model_fits_lack_sql():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY
+    assert set(ORACLES) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_sql(spark, sf_dir, database, name):
-    df = queries()[name](spark, sf_dir)
+    df = QUERIES[name](spark, sf_dir)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert ("Python" in plan) == (name == "reward_callback")
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    assert oracle.difference(df, database, oracle_sql()[name]) is None
+    assert oracle.difference(df, database, ORACLES[name]) is None
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_model_queries_give_finite_rows(spark, sf_dir, name):
-    rows = queries()[name](spark, sf_dir).collect()
+    rows = QUERIES[name](spark, sf_dir).collect()
     assert rows
     assert all(value is not None and value == value for row in rows for value in row)
 
