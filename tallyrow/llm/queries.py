@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrow.llm import kneser_ney
+from tallyrow.llm import clauses, hypervectors, kneser_ney, subwords
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,8 +24,33 @@ def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score(docs, kneser_ney.fit(docs.where(~F.col("held_out")).select("text")))
 
 
+def _judged(scored: DataFrame, held_out: Column) -> DataFrame:
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    weights = clauses.fit(docs, _table(spark, sf_dir, "labels"), "toxic", fold(5) != 0)
+    return _judged(clauses.score(docs, weights), fold(5) == 0)
+
+
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = subwords.fit(docs, _table(spark, sf_dir, "labels"), "quality", fold(3) != 1)
+    return _judged(subwords.score(docs, model), fold(3) == 1)
+
+
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = hypervectors.predict(docs.select("doc_id", "text"), hypervectors.fit(docs, fold(5) != 0))
+    return found.select("doc_id", (fold(5) == 0).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
+    "op5_toxicity": op5_toxicity,
+    "op6_quality": op6_quality,
+    "op8_language": op8_language,
 }
 
 ORACLES: dict[str, str] = {}

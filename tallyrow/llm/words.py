@@ -34,6 +34,13 @@ _FOLDED = _BYTE.copy()
 _FOLDED[65:91] = _BYTE[97:123]  # A-Z count as a-z
 _PLACE = numbered(1 << 12, 2) | np.uint64(1)
 
+
+def byte_value(letters: np.ndarray, place: int) -> np.ndarray:
+    """What letters at one place of a word add to its hash, A-Z as a-z."""
+    with np.errstate(over="ignore"):
+        return _FOLDED[letters] * _PLACE[place]
+
+
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[32, *range(9, 14)]] = False
 LETTER = np.zeros(256, bool)  # letters of any script: every byte of a non-ASCII character counts
