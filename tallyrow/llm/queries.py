@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrow.llm import clauses, hypervectors, kneser_ney, subwords
+from tallyrow.llm import clauses, hypervectors, kneser_ney, mixing, packing, subwords
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,33 @@ def _judged(scored: DataFrame, held_out: Column) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+# The targets of op3_mix and of the pipeline: whole-number weights among siblings.
+DOMAIN_SQL = "concat('domain', cast(coalesce(try_cast(substring(source, 4) as int), 0) % 4 as string))"
+MIX_LEVELS = ("domain", "lang", "source")
+DOMAIN_WEIGHTS = {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1}
+LANG_WEIGHTS = {"en": 5, "de": 2, "fr": 2, "es": 1}
+MIX_EPOCHS, MIX_SEED = 4, 17
+
+
+def _case(column: str, weights: dict[str, int]) -> str:
+    return f"case {column} " + " ".join(f"when '{k}' then {v}" for k, v in weights.items()) + " else 1 end"
+
+
+MIX_WEIGHTS_SQL = (_case("domain", DOMAIN_WEIGHTS), _case("lang", LANG_WEIGHTS), "1")
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """What the standing targets keep of ``docs`` (doc_id, lang, source, n_tokens)."""
+    with_domain = docs.withColumn("domain", F.expr(DOMAIN_SQL))
+    weights = [F.expr(w) for w in MIX_WEIGHTS_SQL]
+    return mixing.mix(with_domain, MIX_LEVELS, weights, max_epochs=MIX_EPOCHS, seed=MIX_SEED)
+
+
+def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return mixed(docs.select("doc_id", "lang", "source", mixing.n_tokens().alias("n_tokens")))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = clauses.fit(docs, _table(spark, sf_dir, "labels"), "toxic", fold(5) != 0)
@@ -46,11 +73,84 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return packing.pack(docs.select("doc_id", mixing.n_tokens().alias("n_tokens")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
+    "op3_mix": op3_mix,
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
     "op8_language": op8_language,
+    "op10_pack": op10_pack,
 }
 
-ORACLES: dict[str, str] = {}
+def _budget_sql(depth: int) -> str:
+    """CTEs nodes, ranked and given of one level, from those of the level above."""
+    names = ", ".join(MIX_LEVELS[:depth])
+    parents = ", ".join(MIX_LEVELS[: depth - 1])
+    by = f"partition by {parents}, late" if parents else "partition by late"
+    whole = f"partition by {parents}" if parents else ""
+    above = (
+        f"(select {parents}, budget from given{depth - 1})" if parents else "(select sum(cap) // {e} as budget from leaves)".format(e=MIX_EPOCHS)
+    )
+    join = f"join {above} p using ({parents})" if parents else f"cross join {above} p"
+    return f"""
+    nodes{depth} as (
+      select n.*, p.budget as b, (w <= 0)::int as late, case when w > 0 then w else 1 end as v
+      from (select {names}, sum(cap) as cap, max(w{depth}) as w from leaves group by {names}) n {join}
+    ),
+    rooms{depth} as (
+      select * replace (case when late = 0 then least(b, room) else greatest(b - room, 0) end as b)
+      from (select *, coalesce(sum(cap) filter (where late = 0) over ({whole}), 0) as room from nodes{depth})
+    ),
+    ranked{depth} as (
+      select *, (cap::hugeint * sum(v) over ({by} order by cap / v, {names} rows between current row and unbounded following)
+        <= (b - coalesce(sum(cap) over ({by} order by cap / v, {names} rows between unbounded preceding and 1 preceding), 0))::hugeint * v)::int as is_full
+      from rooms{depth}
+    ),
+    opened{depth} as (
+      select *, sum(case when is_full = 0 then v else 0 end) over ({by}) as open_w,
+        b - sum(case when is_full = 1 then cap else 0 end) over ({by}) as open_b from ranked{depth}
+    ),
+    shared{depth} as (
+      select *, case when is_full = 1 then cap else open_b::hugeint * v // open_w end as share from opened{depth}
+    ),
+    given{depth} as (
+      select {names}, share + (is_full = 0 and turn <= spare)::int as budget
+      from (select *, b - sum(share) over ({by}) as spare, row_number() over ({by} order by is_full, v desc, {names}) as turn from shared{depth})
+    )"""
+
+
+_ORDER_SQL = "('0x' || substr(md5('{seed}:' || epochs || ':' || doc_id), 1, 15))::bigint"
+
+OP3_SQL = f"""
+    with docs as (
+      select doc_id, 'domain' || (coalesce(try_cast(substring(source, 4) as int), 0) % 4) as domain, lang, source,
+        len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as n_tokens
+      from documents
+    ),
+    leaves as (
+      select *, {", ".join(f"{w} as w{i}" for i, w in enumerate(MIX_WEIGHTS_SQL, 1))}
+      from (select domain, lang, source, sum(n_tokens) as supply, sum(n_tokens) * {MIX_EPOCHS} as cap from docs group by all)
+    ),
+    {",".join(_budget_sql(d) for d in (1, 2, 3))},
+    placed as (
+      select *, {_ORDER_SQL.format(seed=MIX_SEED)} as place
+      from (
+        select d.*, case when supply > 0 then budget // supply else 0 end as epochs, case when supply > 0 then budget % supply else 0 end as rest
+        from docs d join leaves using (domain, lang, source) join given3 using (domain, lang, source)
+      )
+    )
+    select doc_id, domain, lang, source, n_tokens, (epochs + (sofar < rest)::int)::bigint as copies
+    from (
+      select *, coalesce(sum(n_tokens) over (
+        partition by domain, lang, source order by place, doc_id rows between unbounded preceding and 1 preceding), 0) as sofar
+      from placed
+    )
+    where epochs + (sofar < rest)::int > 0
+"""
+
+ORACLES: dict[str, str] = {"op3_mix": OP3_SQL}
