@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrow.llm import clauses, hypervectors, kneser_ney, mixing, packing, subwords
+from tallyrow.llm import clauses, darts, hypervectors, kneser_ney, mixing, packing, subwords, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -55,6 +55,10 @@ def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed(docs.select("doc_id", "lang", "source", mixing.n_tokens().alias("n_tokens")))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return darts.classes(_table(spark, sf_dir, "documents"))
+
+
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     weights = clauses.fit(docs, _table(spark, sf_dir, "labels"), "toxic", fold(5) != 0)
@@ -73,6 +77,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(5) == 0).alias("held_out"), "lang_pred", "score")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(_table(spark, sf_dir, "pages"))
+    return warc.read(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return packing.pack(docs.select("doc_id", mixing.n_tokens().alias("n_tokens")))
@@ -81,9 +90,11 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op3_mix": op3_mix,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
     "op8_language": op8_language,
+    "op9_warc": op9_warc,
     "op10_pack": op10_pack,
 }
 
@@ -153,4 +164,13 @@ OP3_SQL = f"""
     where epochs + (sofar < rest)::int > 0
 """
 
-ORACLES: dict[str, str] = {"op3_mix": OP3_SQL}
+OP9_SQL = """
+    with heads as (select page_id, strlen(coalesce(html, ''))::bigint as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+    kept as (select *, max(page_id) over (partition by payload_digest) as original from heads)
+    select page_id, payload_bytes, payload_digest,
+      case when payload_bytes >= 1000 and page_id <> original then 'revisit' else 'response' end as record_type,
+      case when payload_bytes >= 1000 and page_id <> original then original end as refers_to
+    from kept
+"""
+
+ORACLES: dict[str, str] = {"op3_mix": OP3_SQL, "op9_warc": OP9_SQL}
