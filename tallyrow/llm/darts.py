@@ -24,7 +24,7 @@ With 32 bands of 5 a pair of similarity 0.8 shares no bucket with probability
 Null texts count as empty; empty texts are equal. Texts of white space alone have no
 shingles: they are in a class with equal texts only. Null doc_ids are no documents
 and get no row. Repeated doc_ids: the rows of an id are one document, whose text is
-its smallest. An empty table gives an empty result.
+the one with the smallest md5. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -169,7 +169,7 @@ def _sets(docs: DataFrame, ids: DataFrame, weights: str, size: int) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.ListArray.from_arrays(pa.array(ends), values)], names=["doc_id", "shingles"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    chosen = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    chosen = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi").groupBy("doc_id").agg(F.min_by("text", F.md5("text")).alias("text"))
     return chosen.mapInArrow(run, f"doc_id {kind}, shingles array<int>")
 
 
