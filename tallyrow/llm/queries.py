@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrow.llm import clauses, darts, hypervectors, kneser_ney, mixing, packing, subwords, warc
+from tallyrow.llm import clauses, darts, hypervectors, kneser_ney, mixing, neighbours, packing, subwords, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -71,6 +71,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _judged(subwords.score(docs, model), fold(3) == 1)
 
 
+def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     found = hypervectors.predict(docs.select("doc_id", "text"), hypervectors.fit(docs, fold(5) != 0))
@@ -93,6 +97,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_toxicity": op5_toxicity,
     "op6_quality": op6_quality,
+    "op7_near_vectors": op7_near_vectors,
     "op8_language": op8_language,
     "op9_warc": op9_warc,
     "op10_pack": op10_pack,
