@@ -28,6 +28,7 @@ documents by broadcast only where counted to be small, else by a salted join.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -55,6 +56,10 @@ def order_key(seed: int, epoch: Column, key: str) -> Column:
     return F.conv(F.substring(F.md5(joined), 1, _DIGITS), 16, 10).cast("long")
 
 
+def _slice(place: Column, width: int) -> Column:
+    return F.call_function("div", place, F.lit(width).cast("long"))
+
+
 def _nodes(leaves: DataFrame, levels: Sequence[str], depth: int) -> DataFrame:
     """Nodes of one level: capacity and weight (the largest given below it)."""
     names = list(levels[:depth])
@@ -122,7 +127,32 @@ def _attach(docs: DataFrame, leaves: DataFrame, count: int, key: str) -> DataFra
     return lookup_join(docs, leaves, "_leaf", key)
 
 
-def mix(
+def _leaf(levels: Sequence[str]) -> Column:
+    return F.xxhash64(*(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in levels))
+
+
+@dataclass(frozen=True)
+class Mixture:
+    """How often each document is kept: per leaf the full epochs and where the next one's prefix ends."""
+
+    leaves: DataFrame
+    n_leaves: int
+    levels: tuple[str, ...]
+    seed: int
+    key: str
+
+    def copies(self, docs: DataFrame, name: str = "copies", levels: Sequence[str] = ()) -> DataFrame:
+        """The rows of ``docs`` that are kept, with how often; ``levels`` if the columns have other names.
+
+        No row moves where the leaves are broadcast.
+        """
+        at = order_key(self.seed, F.col("_epochs"), self.key)
+        in_prefix = F.coalesce(F.struct(at.alias("_at"), F.col(self.key).alias("_id")) <= F.col("_end"), F.lit(False))
+        chosen = _attach(docs.withColumn("_leaf", _leaf(levels or self.levels)), self.leaves, self.n_leaves, self.key)
+        return chosen.withColumn(name, F.col("_epochs") + in_prefix.cast("long")).where(F.col(name) > 0).select(*docs.columns, name)
+
+
+def plan(
     docs: DataFrame,
     levels: Sequence[str],
     weights: Sequence[Column],
@@ -131,16 +161,15 @@ def mix(
     seed: int = 0,
     key: str = "doc_id",
     tokens: str = "n_tokens",
-) -> DataFrame:
-    """(key, levels, tokens, copies) of every document that is kept, ``copies`` at least 1.
+) -> Mixture:
+    """The mixture of ``docs`` (key, levels, tokens).
 
     ``weights`` has one whole-number expression per level, over the level columns:
     the node's weight among its siblings. ``total`` is the budget in tokens, by
     default as many as there are.
     """
     levels = list(levels)
-    leaf = F.xxhash64(*(F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("-")) for c in levels))
-    rows = written(docs.select(key, *levels, tokens).withColumn("_leaf", leaf), "mixing-rows")
+    rows = written(docs.select(key, *levels, tokens).withColumn("_leaf", _leaf(levels)), "mixing-rows")
     supply = written(
         rows.groupBy("_leaf", *levels).agg(F.sum(tokens).alias("_supply"), F.count(F.lit(1)).alias("_docs")).select(
             "*",
@@ -153,44 +182,33 @@ def mix(
     budget = min(facts["tokens"] or 0 if total is None else total, facts["cap"] or 0)
     slices = max(1, -(-(facts["most"] or 0) // SLICE_ROWS))
     width = (16**_DIGITS) // slices + 1
-    plan = written(
+    shares = written(
         budgets(supply, levels, budget).select(
             "_leaf",
             F.when(F.col("_supply") > 0, F.expr("_budget div _supply")).otherwise(F.lit(0)).cast("long").alias("_epochs"),
             F.when(F.col("_supply") > 0, F.col("_budget") % F.col("_supply")).otherwise(F.lit(0)).cast("long").alias("_rest"),
         ),
-        "mixing-plan",
-    )
-    placed = (
-        _attach(rows, plan, facts["n"], key)
-        .withColumn("_at", order_key(seed, F.col("_epochs"), key))
-        .withColumn("_slice", F.expr(f"_at div {width}"))
+        "mixing-shares",
     )
+    place = order_key(seed, F.col("_epochs"), key)
+    sliced = _attach(rows, shares.where("_rest > 0"), facts["n"], key).withColumn("_slice", _slice(place, width))
     earlier = Window.partitionBy("_leaf").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     # Of each leaf the slice in which its prefix ends, and what the slices before it hold.
     ends = (
-        placed.where("_rest > 0")
-        .groupBy("_leaf", "_slice", "_rest")
+        sliced.groupBy("_leaf", "_slice", "_rest")
         .agg(F.sum(tokens).alias("_in"))
         .withColumn("_before", F.coalesce(F.sum("_in").over(earlier), F.lit(0)))
         .where("_before < _rest and _before + _in >= _rest")
         .select("_leaf", F.col("_slice").alias("_last"), "_before")
     )
-    ends = written(plan.join(ends, "_leaf", "left"), "mixing-ends")
-    inside = _attach(rows, ends.where("_rest > 0"), facts["n"], key).withColumn("_at", order_key(seed, F.col("_epochs"), key))
+    ends = written(shares.join(ends, "_leaf", "left"), "mixing-ends")
+    inside = _attach(rows, ends.where("_rest > 0"), facts["n"], key).withColumn("_at", place).where(_slice(F.col("_at"), width) == F.col("_last"))
     running = Window.partitionBy("_leaf").orderBy("_at", key).rowsBetween(Window.unboundedPreceding, -1)
     bounds = (
-        inside.where(F.expr(f"_at div {width}") == F.col("_last"))
-        .withColumn("_sofar", F.col("_before") + F.coalesce(F.sum(tokens).over(running), F.lit(0)))
+        inside.withColumn("_sofar", F.col("_before") + F.coalesce(F.sum(tokens).over(running), F.lit(0)))
         .where("_sofar < _rest")
         .groupBy("_leaf")
         .agg(F.max(F.struct("_at", F.col(key).alias("_id"))).alias("_end"))
     )
     final = written(ends.join(bounds, "_leaf", "left").select("_leaf", "_epochs", "_end"), "mixing-bounds")
-    chosen = _attach(rows, final, facts["n"], key).withColumn("_at", order_key(seed, F.col("_epochs"), key))
-    in_prefix = F.coalesce(F.struct("_at", F.col(key).alias("_id")) <= F.col("_end"), F.lit(False))
-    return (
-        chosen.withColumn("copies", (F.col("_epochs") + in_prefix.cast("long")).cast("long"))
-        .where("copies > 0")
-        .select(key, *levels, tokens, "copies")
-    )
+    return Mixture(final, facts["n"], tuple(levels), seed, key)

@@ -43,16 +43,17 @@ def _case(column: str, weights: dict[str, int]) -> str:
 MIX_WEIGHTS_SQL = (_case("domain", DOMAIN_WEIGHTS), _case("lang", LANG_WEIGHTS), "1")
 
 
-def mixed(docs: DataFrame) -> DataFrame:
-    """What the standing targets keep of ``docs`` (doc_id, lang, source, n_tokens)."""
-    with_domain = docs.withColumn("domain", F.expr(DOMAIN_SQL))
+def mixture(docs: DataFrame) -> tuple[DataFrame, mixing.Mixture]:
+    """``docs`` with domain and n_tokens, and what the standing targets keep of them."""
+    measured = docs.withColumns({"domain": F.expr(DOMAIN_SQL), "n_tokens": mixing.n_tokens()})
     weights = [F.expr(w) for w in MIX_WEIGHTS_SQL]
-    return mixing.mix(with_domain, MIX_LEVELS, weights, max_epochs=MIX_EPOCHS, seed=MIX_SEED)
+    return measured, mixing.plan(measured, MIX_LEVELS, weights, max_epochs=MIX_EPOCHS, seed=MIX_SEED)
 
 
 def op3_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
-    return mixed(docs.select("doc_id", "lang", "source", mixing.n_tokens().alias("n_tokens")))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text")
+    measured, found = mixture(docs)
+    return found.copies(measured.drop("text"))
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
