@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrow.llm import clauses, darts, hypervectors, kneser_ney, mixing, neighbours, packing, subwords, warc
+from tallyrow.llm import clauses, darts, hypervectors, kneser_ney, mixing, neighbours, packing, search, subwords, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,6 +28,12 @@ def _judged(scored: DataFrame, held_out: Column) -> DataFrame:
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op2_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    asked = docs.where("doc_id % 100 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    return search.search(search.build(docs), asked)
+
+
 # The targets of op3_mix and of the pipeline: whole-number weights among siblings.
 DOMAIN_SQL = "concat('domain', cast(coalesce(try_cast(substring(source, 4) as int), 0) % 4 as string))"
 MIX_LEVELS = ("domain", "lang", "source")
@@ -94,6 +100,7 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
+    "op2_search": op2_search,
     "op3_mix": op3_mix,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_toxicity": op5_toxicity,
