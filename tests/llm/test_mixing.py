@@ -1,0 +1,114 @@
+"""Budgets and prefixes against a plain recursion; the query against its SQL."""
+
+import hashlib
+from collections import defaultdict
+from fractions import Fraction
+
+import oracle
+import pytest
+from pyspark.sql import functions as F
+
+from tallyrow.llm import mixing
+from tallyrow.llm.queries import ORACLES, QUERIES
+
+LEVELS = ("domain", "lang", "source")
+WEIGHTS = ("case domain when 'a' then 5 when 'b' then 3 when 'z' then 0 else 1 end", "case lang when 'en' then 4 else 1 end", "cast(substring(source, 2) as int)")
+WEIGHT_OF = (
+    lambda v: {"a": 5, "b": 3, "z": 0}.get(v, 1),
+    lambda v: 4 if v == "en" else 1,
+    lambda v: int(v[1:]) if v else 0,
+)
+
+
+def shares(children, budget):
+    """children: name -> (capacity, weight)."""
+    out = {}
+    heavy = {n: c for n, c in children.items() if c[1] > 0}
+    light = {n: (c, 1) for n, (c, w) in children.items() if w <= 0}
+    for group in (heavy, light):
+        left, open_ = min(budget, sum(c for c, _ in group.values())), dict(group)
+        budget -= left
+        while open_:
+            total = sum(w for _, w in open_.values())
+            full = {n: c for n, (c, w) in open_.items() if c <= Fraction(left * w, total)}
+            if not full:
+                floor = {n: left * w // total for n, (_, w) in open_.items()}
+                spare = left - sum(floor.values())
+                order = sorted(open_, key=lambda n: (-open_[n][1], n is not None, n or ""))
+                out |= {n: floor[n] + (i < spare) for i, n in enumerate(order)}
+                break
+            out |= full
+            left -= sum(full.values())
+            open_ = {n: v for n, v in open_.items() if n not in full}
+    return out
+
+
+def brute(rows, total, epochs, seed):
+    supply = defaultdict(int)
+    for _, *leaf, n in rows:
+        supply[tuple(leaf)] += n
+    budget = {(): min(total, epochs * sum(supply.values()))}
+    for depth in range(1, 4):
+        deeper = {}
+        for parent, b in budget.items():
+            names = {leaf[depth - 1] for leaf in supply if leaf[: depth - 1] == parent}
+            below = {n: (epochs * sum(s for leaf, s in supply.items() if leaf[:depth] == (*parent, n)), WEIGHT_OF[depth - 1](n)) for n in names}
+            deeper |= {(*parent, n): s for n, s in shares(below, b).items()}
+        budget = deeper
+    out = []
+    for leaf, s in supply.items():
+        q, rest = divmod(budget[leaf], s) if s else (0, 0)
+        key = lambda i: (int(hashlib.md5(f"{seed}:{q}:{i}".encode()).hexdigest()[:15], 16), i)
+        so_far = 0
+        for i, n in sorted(((r[0], r[4]) for r in rows if tuple(r[1:4]) == leaf), key=lambda x: key(x[0])):
+            copies = q + (so_far < rest)
+            so_far += n
+            if copies:
+                out.append((i, *leaf, n, copies))
+    return sorted(out, key=str)
+
+
+ROWS = [
+    (i, "abbcz"[i % 5], ("en", "de", None)[i % 3], f"s{i % 4}" if i % 11 else None, (i * 7919) % 90 * (i % 13 > 0))
+    for i in range(700)
+]
+
+
+@pytest.mark.parametrize("total", [0, 1, 777, 9_000, 27_000, 70_000, 10**9])
+def test_mixture_equals_the_recursion(spark, total, monkeypatch):
+    monkeypatch.setattr(mixing, "SLICE_ROWS", 9)
+    docs = spark.createDataFrame(ROWS, "doc_id long, domain string, lang string, source string, n_tokens long").withColumn("copies", F.lit("clash"))
+    found = mixing.plan(docs, LEVELS, [F.expr(w) for w in WEIGHTS], total=total, max_epochs=3, seed=5)
+    got = found.copies(docs.drop("copies")).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(ROWS, total, 3, 5)
+
+
+def test_salted_join_gives_the_same(spark, monkeypatch):
+    docs = spark.createDataFrame(ROWS, "doc_id long, domain string, lang string, source string, n_tokens long")
+    monkeypatch.setattr(mixing, "BROADCAST_LEAVES", 0)
+    got = mixing.plan(docs, LEVELS, [F.expr(w) for w in WEIGHTS], total=9_000, max_epochs=3, seed=5).copies(docs).collect()
+    assert sorted((tuple(r) for r in got), key=str) == brute(ROWS, 9_000, 3, 5)
+
+
+def test_empty_table_and_nulls(spark):
+    docs = spark.createDataFrame([], "doc_id long, domain string, lang string, source string, n_tokens long")
+    assert mixing.plan(docs, LEVELS, [F.expr(w) for w in WEIGHTS]).copies(docs).collect() == []
+    odd = [(None, None, None, None, 3), (1, None, None, None, 0), (1, "a", "en", "s1", 5), (1, "a", "en", "s1", 5)]
+    docs = spark.createDataFrame(odd, docs.schema)
+    got = mixing.plan(docs, LEVELS, [F.expr(w) for w in WEIGHTS], max_epochs=2, total=26).copies(docs).collect()
+    assert sorted(tuple(r)[-2:] for r in got) == [(0, 2), (3, 2), (5, 2), (5, 2)]
+
+
+def test_words_are_counted(spark):
+    rows = [(None,), ("",), ("a b\tc\x0bd",), (" x ",)]
+    got = spark.createDataFrame(rows, "text string").select(mixing.n_tokens()).collect()
+    assert [r[0] for r in got] == [0, 0, 4, 1]
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_equals_sql(spark, sf_dir, name):
+    df = QUERIES[name](spark, sf_dir)
+    if name == "op3_mix":
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+    assert oracle.difference(df, oracle.connect(sf_dir), ORACLES[name]) is None
