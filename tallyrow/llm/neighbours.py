@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrow.llm.components import components
-from tallyrow.llm.words import mix64
+from tallyrow.llm.words import grouped, mix64
 from tallyrow.session import written
 
 LEAST = 0.98
@@ -133,28 +133,12 @@ def _edges(parts: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(u), pa.array(v), pa.array(c.astype(np.float32)), pa.array(made)], names=["u", "v", "cosine", "made"])
 
 
-def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.RecordBatch]]:
-    """Rows of one key after the other, from rows that come ordered by it."""
-    held: list[pa.RecordBatch] = []
-    for batch in batches:
-        keys = np.asarray(batch.column(key))
-        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), batch.num_rows]
-        for a, b in zip(cuts, cuts[1:]):
-            if b > a:
-                if held and held[0].column(key)[0].as_py() != keys[a]:
-                    yield held[0].column(key)[0].as_py(), pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                    held = []
-                held.append(batch.slice(a, b - a))
-    if held:
-        yield held[0].column(key)[0].as_py(), pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-
-
 def _compare(keep: int, least: float):
     """Compares the points of each group; those with a bound hand on what beats it."""
 
     def run(batches: Iterator[pa.RecordBatch]):
         waiting, n = [], 0
-        for _, group in _grouped(batches, "cell"):
+        for _, group in grouped(batches, "cell"):
             if group.num_rows < 2:
                 continue
             ids = np.asarray(group.column("u"))
@@ -277,7 +261,7 @@ def counted_links(table: DataFrame, comps: DataFrame, least: float, block: int =
     )
 
     def run(batches: Iterator[pa.RecordBatch]):
-        for _, group in _grouped(batches, "cell"):
+        for _, group in grouped(batches, "cell"):
             ids, sizes, mine = (np.asarray(group.column(c)) for c in ("u", "size", "mine"))
             x = _matrix(group.column("unit"), "<f8")
             sides = [np.flatnonzero(mine == m) for m in np.unique(mine)]

@@ -126,6 +126,22 @@ def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", most: int =
             at = to
 
 
+def grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """Rows of one key after the other, from rows that come ordered by it."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        keys = np.asarray(batch.column(key))
+        cuts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1).tolist(), batch.num_rows]
+        for a, b in zip(cuts, cuts[1:]):
+            if b > a:
+                if held and held[0].column(key)[0].as_py() != keys[a]:
+                    yield held[0].column(key)[0].as_py(), pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+                    held = []
+                held.append(batch.slice(a, b - a))
+    if held:
+        yield held[0].column(key)[0].as_py(), pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+
+
 def counted(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order and how often each stands."""
     keys = np.sort(keys)
