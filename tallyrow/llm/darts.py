@@ -14,9 +14,11 @@ the start, and so are texts of equal signatures' whole band list only once their
 similarity is checked: every link is verified on the exact shingle sets.
 
 Within a bucket pairs are not all formed. The member that shares most buckets is
-its hub and is compared with the others; then only members that are still in
-different classes are compared with each other, so that no link between classes is
-lost. Classes are the connected components of links with similarity >= ``least``.
+its hub and is compared with the others. Members of all buckets of one hub make a
+group; those that are not yet in the hub's class (outsiders) are compared with the
+whole group, block by block inside tasks that hand on links alone, so that no link
+between classes is lost. Classes are the connected components of links with
+similarity >= ``least``.
 
 With 32 bands of 5 a pair of similarity 0.8 shares no bucket with probability
 3e-6, one of 0.9 with 1e-12.
@@ -37,12 +39,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrow.llm.components import components
-from tallyrow.llm.words import blocks, mix64, text_buffer, word_hashes
+from tallyrow.llm.words import blocks, grouped, mix64, text_buffer, word_hashes
 from tallyrow.session import written
 
 SHINGLE = 5
 LEAST = 0.8
 BANDS, ROWS = 32, 5
+# Members of a block.
+BLOCK = 256
 
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _NEXT = np.uint64(0xD1B54A32D192ED03)
@@ -173,7 +177,7 @@ def _sets(docs: DataFrame, ids: DataFrame, weights: str, size: int) -> DataFrame
     return chosen.mapInArrow(run, f"doc_id {kind}, shingles array<int>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
+def linked(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     """The pairs (a, b) whose shingle sets are at least ``least`` alike."""
     left = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("_left"))
     right = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("_right"))
@@ -184,6 +188,68 @@ def verified(pairs: DataFrame, sets: DataFrame, least: float) -> DataFrame:
     return with_left.join(right, "b").where(near).where(shared >= (sizes - shared) * least).select("a", "b")
 
 
+def shared_counts(rows: np.ndarray, columns: np.ndarray, n: int, first: np.ndarray, width: int = 4096) -> np.ndarray:
+    """How many elements each of the ``first`` sets shares with each of n sets, given as (set, element) pairs."""
+    _, columns, times = np.unique(columns, return_inverse=True, return_counts=True)
+    common = times[columns] > 1
+    rows, columns = rows[common], np.cumsum(times > 1)[columns[common]] - 1
+    order = np.argsort(columns, kind="stable")
+    rows, columns = rows[order], columns[order]
+    out = np.zeros((len(first), n), np.float32)
+    total = int(columns[-1]) + 1 if len(columns) else 0
+    for at in range(0, total, width):
+        part = slice(*np.searchsorted(columns, [at, at + width]))
+        table = np.zeros((n, min(width, total - at)), np.float32)
+        table[rows[part], columns[part] - at] = 1
+        out += table[first] @ table.T
+    return out
+
+
+def _links_of_cells(least: float):
+    """Links of a cell's outsiders to members of other classes: of each outsider one per class."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for _, cell in grouped(batches, "cell"):
+            ids, of = np.asarray(cell.column("id")), np.asarray(cell.column("class"))
+            lists = cell.column("shingles")
+            sizes = np.asarray(lists.value_lengths()).astype(np.int64)
+            first = np.flatnonzero(np.asarray(cell.column("outside").cast(pa.int8())))
+            rows = np.repeat(np.arange(len(ids)), sizes)
+            shared = shared_counts(rows, np.asarray(lists.flatten()), len(ids), first)
+            either = sizes[first][:, None] + sizes[None, :] - shared
+            near = (shared > 0) & (shared >= either * least) & (of[first][:, None] != of[None, :])
+            a, b = np.nonzero(near)
+            if len(a):
+                _, one = np.unique(np.stack([a, of[b]]), axis=1, return_index=True)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[first[a[one]]]), pa.array(ids[b[one]])], names=["a", "b"])
+
+    return run
+
+
+def links_across(groups: DataFrame, sets: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """Links (a, b) between members of different classes of a group (hub, id, class, outside).
+
+    Outsiders and the rest of a group are cut into blocks; each block of outsiders meets
+    every block of the group in a cell.
+    """
+    sizes = groups.groupBy("hub").agg(
+        F.ceil(F.sum(F.col("outside").cast("int")) / block).cast("int").alias("_out"),
+        F.ceil(F.sum((~F.col("outside")).cast("int")) / block).cast("int").alias("_in"),
+    )
+    open_ = groups.join(written(sizes.where("_out > 0"), "dart-open"), "hub")
+    placed = open_.withColumn("_block", F.pmod(F.xxhash64("id"), F.greatest(F.when(F.col("outside"), F.col("_out")).otherwise(F.col("_in")), F.lit(1))).cast("int"))
+    to = lambda n: F.sequence(F.lit(0), F.greatest(n, F.lit(1)) - 1)
+    mine = F.col("_block")
+    with_outside = F.transform(to(F.col("_out")), lambda o: F.xxhash64("hub", F.lit("o"), F.least(mine, o), F.greatest(mine, o)))
+    with_inside = F.transform(to(F.col("_in")), lambda i: F.xxhash64("hub", F.lit("i"), mine, i))
+    from_inside = F.transform(to(F.col("_out")), lambda o: F.xxhash64("hub", F.lit("i"), o, mine))
+    cells = F.when(F.col("outside"), F.concat(with_outside, with_inside)).otherwise(from_inside)
+    spread = written(placed.select("id", "class", "outside", F.explode(cells).alias("cell")), "dart-cells")
+    parts = int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = spread.join(sets.withColumnRenamed("doc_id", "id"), "id").select("cell", "id", "class", "outside", "shingles")
+    return met.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(_links_of_cells(least), "a bigint, b bigint")
+
+
 def classes(
     docs: DataFrame, weights: str = "set", least: float = LEAST, size: int = SHINGLE, n_bands: int = BANDS, rows: int = ROWS
 ) -> DataFrame:
@@ -200,21 +266,14 @@ def classes(
     degree = written(members.groupBy("id").agg(F.sum("_n").alias("_degree")), "dart-degrees")
     ranked = written(members.select("bucket", "id").join(degree, "id"), "dart-ranked")
     hubs = written(ranked.groupBy("bucket").agg(F.max_by("id", F.struct("_degree", -F.col("id"))).alias("hub")), "dart-hubs")
-    to_hub = members.select("bucket", "id").join(hubs, "bucket").where("id != hub")
-    first = written(to_hub.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct(), "dart-first")
+    groups = written(members.select("bucket", "id").join(hubs, "bucket").select("hub", "id").distinct(), "dart-groups")
+    pairs = groups.where("id != hub").select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
     sets = written(_sets(texts, degree.select(F.col("id").alias("doc_id")), weights, size), "dart-sets")
-    links = written(verified(first, sets, least), "dart-links")
-    known = written(components(links), "dart-known")
-    # Buckets whose members are still in several classes: only pairs across classes are left to compare.
-    placed = written(
-        members.select("bucket", "id").join(known.withColumnRenamed("node", "id"), "id", "left").select("bucket", "id", F.coalesce("component", "id").alias("_class")),
-        "dart-placed",
-    )
-    mixed = placed.groupBy("bucket").agg(F.min("_class").alias("_low"), F.max("_class").alias("_high")).where("_low != _high").select("bucket")
-    open_ = written(placed.join(mixed, "bucket", "left_semi"), "dart-open")
-    other = open_.select("bucket", F.col("id").alias("b"), F.col("_class").alias("_other"))
-    across = open_.withColumnRenamed("id", "a").join(other, "bucket").where("a < b and _class != _other").select("a", "b").distinct()
-    second = written(verified(written(across.join(first, ["a", "b"], "left_anti"), "dart-second"), sets, least), "dart-links")
+    known = written(components(linked(pairs, sets, least)), "dart-known")
+    class_of = lambda name, to: known.select(F.col("node").alias(name), F.col("component").alias(to))
+    of_id = written(groups.join(class_of("id", "class"), "id", "left").select("hub", "id", F.coalesce("class", "id").alias("class")), "dart-placed")
+    of_hub = of_id.join(class_of("hub", "_hubs"), "hub", "left").select("hub", "id", "class", (F.col("class") != F.coalesce("_hubs", "hub")).alias("outside"))
+    second = written(links_across(written(of_hub, "dart-sided"), sets, least), "dart-links")
     found = known.select(F.col("node").alias("a"), F.col("component").alias("b")).union(second.select("a", "b"))
     final = written(components(found), "dart-classes").withColumnRenamed("node", "text_id")
     of_text = written(

@@ -115,3 +115,10 @@ def test_components_of_paths_stars_and_cycles(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     want = {i: 100 for i in range(100, 161)} | {500: 500} | {600 + i: 500 for i in range(50)} | {7: 7, 8: 7, 9: 7}
     assert got == want | {i: 960 for i in range(960, 1001)}
+
+
+def test_blocks_of_a_group_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(darts.links_across, "__defaults__", (3,))
+    rows = [r for r in corpus() if r[0] is not None][:-1]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r["doc_id"]: r["class_id"] for r in darts.classes(docs).collect()} == brute_classes(rows)
