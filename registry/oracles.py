@@ -169,13 +169,16 @@ def _two_models(scored: dict[str, str], keys: str) -> dict[str, str]:
     }
 
 
+# Position of the first validation row: three quarters of the rows train.
+N_TRAIN = "(SELECT round_even(count(*) * 75 / 100, 0) FROM ins)"
+
 # The last prompt word is always 'Response:', so its id comes before every completion.
 LAST_PROMPT_ID = "(SELECT coalesce(max(id), 1) FROM vocab WHERE tok = 'Response:')"
 
 ORACLES: dict[str, str] = {
     "read_instructions": _query("SELECT * FROM ins", ("ins",)),
     "select_split": _query(
-        f"SELECT {KEY}, instruction, input, output, 'validation' AS split FROM pos WHERE ordinal >= 150 AND ordinal < 200",
+        f"SELECT {KEY}, instruction, input, output, 'validation' AS split FROM pos WHERE ordinal >= {N_TRAIN}",
         ("pos",),
     ),
     "jsonl_roundtrip": _query("SELECT * FROM pairs", ("pairs",)),
@@ -188,6 +191,45 @@ ORACLES: dict[str, str] = {
         ("ins",),
     ),
     "to_jsonl": _query("SELECT * FROM ins", ("ins",)),
+    "write_modes": _query(
+        """
+        SELECT mode, n * factor AS rows FROM (SELECT count(*) AS n FROM ins)
+        CROSS JOIN (VALUES ('errorifexists', 1), ('append', 2), ('overwrite', 1)) m(mode, factor)""",
+        ("ins",),
+    ),
+    "contract_report": _query(
+        f"""
+        SELECT rule, field, CAST(rows AS BIGINT) AS rows FROM (
+          {' UNION ALL '.join(
+              f"SELECT 'missing' AS rule, '{c}' AS field, 0 AS rows UNION ALL SELECT 'type', '{c}', 0 "
+              f"UNION ALL SELECT 'null', '{c}', count(*) - count({c}) FROM pairs"
+              for c in ("conv_id", "turn", "prompt", "chosen", "rejected"))}
+          UNION ALL SELECT 'missing', 'score', count(*) FROM pairs
+          {' '.join(
+              f"UNION ALL SELECT 'prompt_prefix', '{c}', count(*) FILTER (NOT starts_with({c}, prompt)) FROM pairs "
+              f"UNION ALL SELECT 'empty_completion', '{c}', "
+              f"count(*) FILTER (len(regexp_extract_all(substr({c}, length(prompt) + 1), '{WORD}')) = 0) FROM pairs"
+              for c in ("chosen", "rejected"))}
+          UNION ALL SELECT 'repeated_key', 'conv_id, turn', count(*) - count(DISTINCT (conv_id, turn)) FROM pairs)""",
+        ("pairs",),
+    ),
+    "length_report": _query(
+        f"""
+        SELECT field, "limit", count(*) AS rows, count(*) FILTER (n > "limit") AS over,
+               CAST(max(n) AS BIGINT) AS longest, CAST(sum(n) AS BIGINT) AS tokens
+        FROM ({' UNION ALL '.join(f"SELECT '{c}' AS field, len(regexp_extract_all({c}, '{WORD}')) AS n FROM sft" for c in ("instruction", "output", "text"))})
+        CROSS JOIN (SELECT CAST(unnest([32, 256, 512]) AS BIGINT) AS "limit")
+        GROUP BY field, "limit\"""",
+        ("sft",),
+    ),
+    "split_overlap": _query(
+        f"""
+        SELECT 'key' AS by, CAST(0 AS BIGINT) AS shared, count(*) AS only FROM pos WHERE ordinal >= {N_TRAIN}
+        UNION ALL
+        SELECT 'text', count(*) FILTER (known), count(*) FILTER (NOT known)
+        FROM (SELECT md5(output) IN (SELECT md5(output) FROM pos WHERE ordinal < {N_TRAIN}) AS known FROM pos WHERE ordinal >= {N_TRAIN})""",
+        ("pos",),
+    ),
     "with_ordinal": _query(f"SELECT {KEY}, instruction, ordinal FROM pos", ("pos",)),
     "slice_head": _query(f"SELECT {KEY}, prompt FROM prm ORDER BY {KEY} LIMIT 200", ("prm",)),
     "slice_range": _query("SELECT * EXCLUDE (ordinal) FROM pos WHERE ordinal >= 200 AND ordinal < 400", ("pos",)),
@@ -205,13 +247,9 @@ ORACLES: dict[str, str] = {
     "build_prompt": _query(f"SELECT {KEY}, prompt FROM prm", ("prm",)),
     "build_infer_prompt": _query(f"SELECT {KEY}, concat(prompt, chr(10)) AS prompt FROM prm", ("prm",)),
     "chat_prompt": """
-        SELECT conv_id, part, string_agg(piece, '' ORDER BY turn) AS prompt
-        FROM (SELECT conv_id, turn, turn // 4096 AS part,
-                     concat('<|im_start|>', role, chr(10), text, '<|im_end|>', chr(10)) AS piece FROM conversations
-              UNION ALL
-              SELECT conv_id, max(turn) + 1, (max(turn) + 1) // 4096, concat('<|im_start|>assistant', chr(10))
-              FROM conversations GROUP BY conv_id)
-        GROUP BY conv_id, part""",
+        SELECT conv_id, concat(string_agg(concat('<|im_start|>', role, chr(10), text, '<|im_end|>', chr(10)), '' ORDER BY turn),
+                               '<|im_start|>assistant', chr(10)) AS prompt
+        FROM conversations GROUP BY conv_id""",
     "dpo_pairs": _query(
         f"""
         SELECT {KEY}, prompt, ' This response is more helpful and complete.' AS chosen,
@@ -221,6 +259,13 @@ ORACLES: dict[str, str] = {
     ),
     "reward_pairs": _query("SELECT * FROM pairs", ("pairs",)),
     "value_examples": _query(f"SELECT {KEY}, text, label FROM vals", ("vals",)),
+    "pairs_best_worst": """
+        SELECT p.lang, p.source, chosen_id, rejected_id, c.text AS chosen, r.text AS rejected
+        FROM (SELECT lang, source, min(doc_id) FILTER (quality = best) AS chosen_id, min(doc_id) FILTER (quality = worst) AS rejected_id
+              FROM (SELECT doc_id, lang, source, quality, max(quality) OVER w AS best, min(quality) OVER w AS worst
+                    FROM documents JOIN labels USING (doc_id) WINDOW w AS (PARTITION BY lang, source))
+              WHERE best > worst GROUP BY lang, source) p
+        JOIN documents c ON c.doc_id = chosen_id JOIN documents r ON r.doc_id = rejected_id""",
     "fit_vocab": _query("SELECT tok, id FROM vocab", ("vocab",)),
     "tokenize": _query(
         f"SELECT doc_id, {_joined('ids')} AS input_ids, CAST(len(ids) AS INTEGER) AS n_tokens FROM t",
@@ -269,7 +314,21 @@ ORACLES: dict[str, str] = {
         {
             "t": _lists("prm", KEY, "prompt"),
             "b": f"""
-            SELECT {KEY}, ids[1:256] AS ids, (row_number() OVER (ORDER BY
+            SELECT {KEY}, ids, (row_number() OVER (ORDER BY
+                       md5(concat('42:0:', CAST(conv_id AS VARCHAR), ':', CAST(turn AS VARCHAR))), {KEY}) - 1) // 4 AS batch_id
+            FROM t""",
+        },
+    ),
+    "pad_own_token": _query(
+        f"""
+        SELECT {KEY}, batch_id, {_joined('list_resize(ids, m, 2)')} AS input_ids,
+               {_joined('list_resize(list_transform(ids, lambda x: 1), m, 0)')} AS attention_mask
+        FROM (SELECT *, max(len(ids)) OVER (PARTITION BY batch_id) AS m FROM b)""",
+        ("vocab",),
+        {
+            "t": _lists("prm", KEY, "prompt"),
+            "b": f"""
+            SELECT {KEY}, list_transform(ids, lambda x: CASE WHEN x > 1 THEN x + 1 ELSE x END) AS ids, (row_number() OVER (ORDER BY
                        md5(concat('42:0:', CAST(conv_id AS VARCHAR), ':', CAST(turn AS VARCHAR))), {KEY}) - 1) // 4 AS batch_id
             FROM t""",
         },
@@ -351,9 +410,9 @@ ORACLES: dict[str, str] = {
                      CAST(sum(CAST(lp AS DECIMAL(38,9))) AS DOUBLE) AS total FROM lp)""",
         ("pos", "sft"),
         {
-            "part": f"SELECT sft.conv_id, sft.turn, text, ordinal FROM sft JOIN pos USING ({KEY}) WHERE ordinal < 200",
-            "train": "SELECT * FROM part WHERE ordinal < 150",
-            "held": "SELECT * FROM part WHERE ordinal >= 150",
+            "part": f"SELECT sft.conv_id, sft.turn, text, ordinal FROM sft JOIN pos USING ({KEY})",
+            "train": f"SELECT * FROM part WHERE ordinal < {N_TRAIN}",
+            "held": f"SELECT * FROM part WHERE ordinal >= {N_TRAIN}",
             "vocab": CTES["vocab"][1].replace("FROM sft", "FROM train"),
             "train_ids": _ids("train", KEY, "text"),
             "train_b": _bigrams("train_ids", KEY),
@@ -414,4 +473,18 @@ ORACLES: dict[str, str] = {
             FROM vals"""
         },
     ),
+    # Facts that hold of any fit, so that SQL need not fit.
+    "model_roundtrip": _query(
+        f"SELECT {SEQ}, CAST(0 AS DOUBLE) AS reward_difference, CAST(0 AS DOUBLE) AS logprob_difference FROM comp", ("comp",)
+    ),
+    "model_facts": _query(
+        """
+        SELECT fact, n * factor AS rows, CAST(0 AS DOUBLE) AS error FROM (SELECT count(*) AS n FROM ins)
+        CROSS JOIN (VALUES ('reward of nothing', 1), ('mean value less mean label', 2)) f(fact, factor)""",
+        ("ins",),
+    ),
+    "grpo_scores": _query(
+        "SELECT prompt_id, count(*) AS n, CAST(0 AS DOUBLE) AS mean_advantage FROM comp GROUP BY prompt_id", ("comp",)
+    ),
+    "ppo_scores": _query(f"SELECT {SEQ}, CAST(0 AS DOUBLE) AS gap FROM comp", ("comp",)),
 }

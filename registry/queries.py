@@ -8,9 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrow.functions.ordering import with_ordinal, with_shuffled_position
-from tallyrow.operators import batching, lm, objectives, preference, reward, rollouts, slices, templates, tokens
+from tallyrow.operators import batching, contracts, lm, objectives, preference, reward, rollouts, slices, templates, tokens
 from tallyrow.plans.files import FILES, write_files
 from tallyrow.plans.preference import completion_logprobs, score_pairs
+from tallyrow.plans.rollout import score_groups, score_sequences
 from tallyrow.session import scratch_path, written
 from tallyrow.sources import sinks, tables
 from tallyrow.sources.dialogue import KEY, instructions_from_turns
@@ -21,6 +22,8 @@ VOCAB_WORDS = 8192
 SEED = 42
 GENERATIONS = 4
 N_TRAIN, N_VAL = 150, 50
+# Share of the rows that train where a query splits the whole table.
+TRAIN_PERCENT = 75
 # Weights of the reward that the SQL side can compute as well.
 REWARD_WEIGHTS = {"n_words": 0.01, "n_shared": 0.1}
 VALUE_WEIGHTS = {"n_words": 0.005, "n_shared": 0.05}
@@ -41,6 +44,11 @@ def instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return instructions_from_turns(table(spark, sf_dir, "conversations"))
 
 
+def stored_instructions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The instructions as a table of their own, for queries that read them more than once."""
+    return written(instructions(spark, sf_dir), "instructions")
+
+
 def sft(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.format_sft(instructions(spark, sf_dir))
 
@@ -97,7 +105,7 @@ def read_instructions(spark, sf_dir):
 
 
 def select_split(spark, sf_dir):
-    rows = slices.train_val_split(instructions(spark, sf_dir), KEY, N_TRAIN, N_VAL)
+    rows = slices.split_by_share(stored_instructions(spark, sf_dir), KEY, TRAIN_PERCENT)
     path = scratch_path(spark, "splits")
     rows.write.partitionBy(tables.SPLIT_COLUMN).parquet(path)
     schema = "conv_id bigint, turn bigint, instruction string, input string, output string"
@@ -123,6 +131,43 @@ def to_jsonl(spark, sf_dir):
     return rows.select(*KEY, parsed).select(*KEY, "_parsed.*")
 
 
+def write_modes(spark, sf_dir):
+    """Rows in a folder after each mode has written the instructions to it once more."""
+    rows = stored_instructions(spark, sf_dir)
+    path = scratch_path(spark, "modes")
+    found = []
+    for mode in ("errorifexists", "append", "overwrite"):
+        sinks.write_jsonl(rows, path, mode)
+        found.append((mode, tables.read_jsonl(spark, path, rows.schema).count()))
+    return spark.createDataFrame(found, "mode string, rows bigint")
+
+
+# ---- reports ----
+
+
+PAIR_CONTRACT = contracts.Contract.of(
+    "conv_id bigint, turn bigint, prompt string, chosen string, rejected string, score double",
+    KEY,
+    after_prompt=("chosen", "rejected"),
+    completions=("chosen", "rejected"),
+)
+
+
+def contract_report(spark, sf_dir):
+    return contracts.contract_report(preference.reward_pairs(stored_instructions(spark, sf_dir)), PAIR_CONTRACT)
+
+
+def length_report(spark, sf_dir):
+    rows = sft(spark, sf_dir)
+    return contracts.length_report(rows, ["instruction", "output", "text"], [32, 256, 512])
+
+
+def split_overlap(spark, sf_dir):
+    rows = written(slices.split_by_share(stored_instructions(spark, sf_dir), KEY, TRAIN_PERCENT), "splits")
+    train, held_out = tables.select_split(rows, "train"), tables.select_split(rows, "validation")
+    return contracts.split_overlap(train, held_out, KEY, "output")
+
+
 # ---- slices ----
 
 
@@ -131,19 +176,19 @@ def ordinal(spark, sf_dir):
 
 
 def slice_head(spark, sf_dir):
-    return templates.build_prompt(slices.slice_spec(instructions(spark, sf_dir), "train[:200]", KEY)).select(*KEY, "prompt")
+    return templates.build_prompt(slices.slice_spec(stored_instructions(spark, sf_dir), "train[:200]", KEY)).select(*KEY, "prompt")
 
 
 def slice_range(spark, sf_dir):
-    return slices.slice_spec(instructions(spark, sf_dir), "train[200:400]", KEY)
+    return slices.slice_spec(stored_instructions(spark, sf_dir), "train[200:400]", KEY)
 
 
 def slice_percent(spark, sf_dir):
-    return slices.slice_spec(instructions(spark, sf_dir), "train[:10%]", KEY)
+    return slices.slice_spec(stored_instructions(spark, sf_dir), "train[:10%]", KEY)
 
 
 def train_val_split(spark, sf_dir):
-    return slices.train_val_split(instructions(spark, sf_dir), KEY, N_TRAIN, N_VAL)
+    return slices.train_val_split(stored_instructions(spark, sf_dir), KEY, N_TRAIN, N_VAL)
 
 
 # ---- texts and pairs ----
@@ -181,6 +226,11 @@ def value_examples(spark, sf_dir):
     return preference.value_examples(instructions(spark, sf_dir))
 
 
+def pairs_best_worst(spark, sf_dir):
+    rated = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text").join(table(spark, sf_dir, "labels"), "doc_id")
+    return preference.pairs_best_worst(rated, ["lang", "source"], "quality", "doc_id", "text")
+
+
 # ---- tokens and batches ----
 
 
@@ -222,12 +272,22 @@ def epoch_batches(spark, sf_dir):
 
 def pad_batches(spark, sf_dir):
     ids = tokens.prompt_tokens(templates.build_prompt(instructions(spark, sf_dir)), vocabulary(spark, sf_dir), keep=KEY)
-    ids = tokens.truncate(ids, "input_ids", 256)
     batches = written(batching.assign_batches(ids, KEY, epochs=1, batch_size=4, seed=SEED), "batches")
     padded = batching.pad_batches(batches, "input_ids", "batch_id", KEY, tokens.Specials().pad_id)
     return padded.select(*KEY, "batch_id", joined("input_ids"), joined("attention_mask"))
 
 
+def pad_own_token(spark, sf_dir):
+    """Batches padded with a pad token of their own instead of the end of text."""
+    specials = tokens.Specials(eos=0, unk=1, pad=2)
+    texts = written(sft(spark, sf_dir), "texts")
+    vocab = tokens.load_vocab(tokens.fit_vocab(texts, "text", VOCAB_WORDS, specials), specials)
+    ids = tokens.prompt_tokens(templates.build_prompt(texts), vocab, keep=KEY)
+    batches = written(batching.assign_batches(ids, KEY, epochs=1, batch_size=4, seed=SEED), "batches")
+    padded = batching.pad_batches(batches, "input_ids", "batch_id", KEY, specials.pad_id)
+    return padded.select(*KEY, "batch_id", joined("input_ids"), joined("attention_mask"))
+
+
 def fan_out(spark, sf_dir):
     prompts = templates.build_prompt(instructions(spark, sf_dir)).select(*KEY, "prompt")
     return rollouts.fan_out(prompts, GENERATIONS)
@@ -302,8 +362,7 @@ def seq_logprob(spark, sf_dir):
 
 
 def lm_eval(spark, sf_dir):
-    rows = slices.train_val_split(instructions(spark, sf_dir), KEY, N_TRAIN, N_VAL)
-    texts = templates.format_sft(rows)
+    texts = templates.format_sft(slices.split_by_share(stored_instructions(spark, sf_dir), KEY, TRAIN_PERCENT))
     train, held_out = tables.select_split(texts, "train"), tables.select_split(texts, "validation")
     vocab = tokens.load_vocab(tokens.fit_vocab(train, "text", VOCAB_WORDS))
     model = lm.fit_bigram(tokens.tokenize(train, vocab, "text"), vocab.size)
@@ -354,10 +413,26 @@ def reward_scores(spark, sf_dir):
 
 
 def model_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "reward-model")
-    reward.fit_reward(preference.reward_pairs(instructions(spark, sf_dir)), path)
-    rows = rollouts.attach_completions(*completions(spark, sf_dir))
-    return reward.score_reward(reward.load_model(path), rows).select(*SEQUENCE, "reward")
+    """How far scores of the saved reward model, vocabulary and language model are from those of the fitted ones."""
+    rows = stored_instructions(spark, sf_dir)
+    answers = written(rollouts.attach_completions(*completions(spark, sf_dir)), "rollouts")
+    path = scratch_path(spark, "models")
+    fitted = reward.fit_reward(preference.reward_pairs(rows), f"{path}/reward")
+    texts = written(templates.format_sft(rows), "texts")
+    vocab = tokens.load_vocab(tokens.fit_vocab(texts, "text", VOCAB_WORDS))
+    tokens.save_vocab(vocab, f"{path}/vocab")
+    policy = lm.fit_bigram(tokens.tokenize(texts, vocab, "text"), vocab.size, f"{path}/policy", add_k=0.25)
+
+    def scores(model, words, language, name):
+        rewards = reward.score_reward(model, answers, name=f"{name}_reward").select(*SEQUENCE, f"{name}_reward")
+        ids = written(tokens.tokenize(answers, words, "completion").select(*SEQUENCE, "input_ids"), "ids")
+        logprobs = lm.sequence_logprobs(ids, {name: language}, SEQUENCE).select(*SEQUENCE, f"{name}_logprob")
+        return rewards.join(logprobs, list(SEQUENCE))
+
+    before = scores(fitted, vocab, policy, "a")
+    after = scores(reward.load_model(f"{path}/reward"), tokens.read_vocab(spark, f"{path}/vocab"), lm.BigramModel.load(spark, f"{path}/policy"), "b")
+    both = before.join(after, list(SEQUENCE))
+    return both.select(*SEQUENCE, *(F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")).alias(f"{c}_difference") for c in ("reward", "logprob")))
 
 
 def _value_model(spark, sf_dir):
@@ -377,12 +452,43 @@ def value_scores(spark, sf_dir):
     return reward.score_value(value_model, reward_model, rows).select(*SEQUENCE, "value")
 
 
+def model_facts(spark, sf_dir):
+    """What must hold of any fit: saying nothing earns nothing, and a regression with an intercept is right on average."""
+    value_model, reward_model, examples = _value_model(spark, sf_dir)
+    nothing = instructions(spark, sf_dir).select(F.lit("").alias("prompt"), F.lit("").alias("completion"))
+    silent = reward.score_reward(reward_model, nothing).agg(F.count(F.lit(1)).alias("rows"), (F.round(F.max(F.abs("reward")), 9) + 0.0).alias("error"))
+    values = reward.score_value(value_model, reward_model, examples)
+    mean = values.agg(F.count(F.lit(1)).alias("rows"), F.round(F.abs(F.avg(F.col("value") - F.col("label"))), 6).alias("error"))
+    return silent.select(F.lit("reward of nothing").alias("fact"), "*").union(mean.select(F.lit("mean value less mean label"), "*"))
+
+
+def grpo_scores(spark, sf_dir):
+    """Fitted rewards of every group: its size and the mean of its advantages, which is 0."""
+    prompts, given = completions(spark, sf_dir)
+    scored = score_groups(prompts, given, _reward_model(spark, sf_dir))
+    return scored.groupBy("prompt_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.abs(F.avg("advantage")), 6).alias("mean_advantage"))
+
+
+def ppo_scores(spark, sf_dir):
+    """Every completion scored with fitted models: how far its advantage is from penalised reward less value."""
+    value_model, reward_model, _ = _value_model(spark, sf_dir)
+    vocab, policy, reference = language_models(spark, sf_dir)
+    prompts, given = completions(spark, sf_dir)
+    scored = score_sequences(prompts, given, reward_model, value_model, vocab, policy, reference)
+    gap = F.col("raw_reward") - 0.05 * F.col("kl") - F.col("value") - F.col("advantage")
+    return scored.select(*SEQUENCE, F.round(F.abs(gap), 9).alias("gap"))
+
+
 QUERIES: dict[str, Query] = {
     "read_instructions": read_instructions,
     "select_split": select_split,
     "jsonl_roundtrip": jsonl_roundtrip,
     "write_counts": write_counts,
     "to_jsonl": to_jsonl,
+    "write_modes": write_modes,
+    "contract_report": contract_report,
+    "length_report": length_report,
+    "split_overlap": split_overlap,
     "with_ordinal": ordinal,
     "slice_head": slice_head,
     "slice_range": slice_range,
@@ -396,6 +502,7 @@ QUERIES: dict[str, Query] = {
     "dpo_pairs": dpo_pairs,
     "reward_pairs": reward_pairs,
     "value_examples": value_examples,
+    "pairs_best_worst": pairs_best_worst,
     "fit_vocab": fit_vocab,
     "tokenize": tokenize,
     "detokenize": detokenize,
@@ -404,6 +511,7 @@ QUERIES: dict[str, Query] = {
     "truncate_256": truncate_256,
     "epoch_batches": epoch_batches,
     "pad_batches": pad_batches,
+    "pad_own_token": pad_own_token,
     "fan_out": fan_out,
     "completion_text": completion_text,
     "score_inputs": score_inputs,
@@ -423,4 +531,7 @@ QUERIES: dict[str, Query] = {
     "model_roundtrip": model_roundtrip,
     "value_fit": value_fit,
     "value_scores": value_scores,
+    "model_facts": model_facts,
+    "grpo_scores": grpo_scores,
+    "ppo_scores": ppo_scores,
 }

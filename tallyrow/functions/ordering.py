@@ -1,7 +1,8 @@
 """Row positions without a global sort in one task.
 
 A table has no order, so every position is defined by a declared key. Keys must
-be unique and non-null; only key columns travel through the ordering steps.
+be unique and non-null, which is checked; only key columns travel through the
+ordering steps.
 """
 
 from __future__ import annotations
@@ -30,6 +31,24 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def check_key(df: DataFrame, key: Key) -> DataFrame:
+    """``df`` if every row has a key of its own without a null; else ValueError.
+
+    Rows are counted per key with a combine before the shuffle; key columns alone travel.
+    """
+    names = key_columns(key)
+    nothing = F.greatest(*(F.col(n).isNull() for n in names)) if len(names) > 1 else F.col(names[0]).isNull()
+    found = (
+        df.groupBy(*names)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.sum(F.when(nothing, F.col("_n")).otherwise(0)).alias("nulls"), F.sum(F.when(nothing, 0).otherwise(F.col("_n") - 1)).alias("again"))
+        .first()
+    )
+    if found["nulls"] or found["again"]:
+        raise ValueError(f"key ({', '.join(names)}): {found['nulls']} rows without one, {found['again']} rows that repeat one")
+    return df
+
+
 def _key_ranges(keys: DataFrame, names: list[str], parts: int) -> list[tuple[int, tuple]]:
     """(row count, smallest key) of each range partition, in key order: one row per partition."""
     ranges = (
@@ -89,9 +108,10 @@ def with_ordinal(df: DataFrame, key: Key, name: str = "ordinal", partitions: int
     second run could cut them elsewhere), each partition's start is the running
     count of those before it, and the other columns join on by key.
     ``partitions`` is the number of key ranges, the session's shuffle partitions
-    unless given.
+    unless given. Null or repeated keys are refused.
     """
     names = key_columns(key)
+    check_key(df, key)
     sorted_keys = (
         df.select(*names)
         .repartitionByRange(partitions or _partitions(df), *names)

@@ -15,19 +15,18 @@ from tallyrow.functions.keys import Key, key_columns
 # Rows of one key that a single task may take.
 HOT_ROWS = 200_000
 
-# The hottest keys that get salts. A key past this many holds at most one
-# 10,000th of the rows, so it needs none.
-MAX_HOT_KEYS = 10_000
-
 
 def _copies(counts: DataFrame, on: list[str], hot_rows: int) -> DataFrame:
-    """Hot keys and how many parts each is split into: at most MAX_HOT_KEYS rows."""
-    return (
-        counts.where(F.col("_n") > hot_rows)
-        .orderBy(F.desc("_n"), *on)
-        .limit(MAX_HOT_KEYS)
-        .select(*on, F.ceil(F.col("_n") / hot_rows).cast("int").alias("_copies"))
-    )
+    """Hot keys and how many parts each is split into.
+
+    A key is hot if it has more rows than ``hot_rows`` and than an even share of all
+    rows over the shuffle partitions. No more keys than partitions can have that, so
+    the table is small at any size and no key is left out.
+    """
+    parts = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    share = counts.agg(F.coalesce(F.sum("_n"), F.lit(0)) / parts).scalar()
+    most = F.greatest(F.lit(float(hot_rows)), share)
+    return counts.where(F.col("_n") > most).select(*on, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_copies"))
 
 
 def salted(

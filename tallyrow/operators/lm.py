@@ -10,7 +10,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key, key_columns
-from tallyrow.functions.lookup import MAX_INLINE_ROWS
 from tallyrow.functions.skew import HOT_ROWS, lookup_join
 from tallyrow.session import scratch_path
 
@@ -24,6 +23,7 @@ BROADCAST_PAIRS = 1_000_000
 
 BIGRAM_SCHEMA = "prev int, next int, n bigint"
 CONTEXT_SCHEMA = "prev int, c bigint"
+META_SCHEMA = "vocab_size bigint, add_k double"
 
 
 @dataclass(frozen=True)
@@ -40,11 +40,13 @@ class BigramModel:
     add_k: float = 0.1
 
     @classmethod
-    def load(cls, spark: SparkSession, path: str, vocab_size: int, add_k: float = 0.1) -> BigramModel:
+    def load(cls, spark: SparkSession, path: str) -> BigramModel:
+        """The model saved at ``path``, with the vocabulary size and smoothing it was fitted with."""
         bigrams = spark.read.schema(BIGRAM_SCHEMA).parquet(f"{path}/bigrams")
         contexts = spark.read.schema(CONTEXT_SCHEMA).parquet(f"{path}/contexts")
+        meta = spark.read.schema(META_SCHEMA).parquet(f"{path}/meta").first()
         # Counted from the file footers.
-        return cls(bigrams, contexts, bigrams.count(), vocab_size, add_k)
+        return cls(bigrams, contexts, bigrams.count(), meta["vocab_size"], meta["add_k"])
 
 
 def _bigrams(ids: str, first: Column) -> Column:
@@ -73,7 +75,9 @@ def fit_bigram(
     counts.write.mode("overwrite").parquet(f"{path}/bigrams")
     totals = spark.read.schema(BIGRAM_SCHEMA).parquet(f"{path}/bigrams").groupBy("prev").agg(F.sum("n").alias("c"))
     totals.write.mode("overwrite").parquet(f"{path}/contexts")
-    return BigramModel.load(spark, path, vocab_size, add_k)
+    meta = spark.createDataFrame([(vocab_size, float(add_k))], META_SCHEMA)
+    meta.coalesce(1).write.mode("overwrite").parquet(f"{path}/meta")
+    return BigramModel.load(spark, path)
 
 
 def _merged(tables: Mapping[str, DataFrame], keys: list[str], count: str) -> DataFrame:
@@ -96,38 +100,35 @@ def sequence_logprobs(
 
     ``first`` is the id before the first token (say, the last one of the
     prompt), ``bos_id`` unless given. All models are scored in one pass: their
-    counts are put side by side. Context counts have at most one row per
-    vocabulary id and are broadcast while the vocabulary is small.
-
-    Models of together at most ``broadcast_pairs`` pairs are broadcast, and the
-    text's pairs never leave their task. Larger ones are joined: the text's pairs
-    are shuffled, hot ones (say, unknown after unknown) counted first and dealt
-    over several tasks. That reads the ids twice: give a stored table rather than
-    ids still to be computed.
+    counts are put side by side.
+
+    Models of together at most ``broadcast_pairs`` pairs are broadcast with their
+    contexts, of which there are no more, and the text's pairs never leave their
+    task. Larger ones are joined: each row's equal pairs are first counted, then
+    shuffled by pair and by context, hot ones (say, after unknown) dealt over
+    several tasks. That reads the ids more than once: give a stored table rather
+    than ids still to be computed.
     """
     names = key_columns(key)
     pairs = df.select(*names, F.inline_outer(_bigrams(ids, F.lit(bos_id) if first is None else first)))
     bigrams = _merged({name: m.bigrams for name, m in models.items()}, ["prev", "next"], "n")
     contexts = _merged({name: m.contexts for name, m in models.items()}, ["prev"], "c")
-    if all(m.vocab_size <= MAX_INLINE_ROWS for m in models.values()):
-        contexts = F.broadcast(contexts)
 
     def total(name: str, model: BigramModel) -> Column:
         seen, context = F.coalesce(f"n_{name}", F.lit(0)), F.coalesce(f"c_{name}", F.lit(0))
         odds = (seen + model.add_k) / (context + model.add_k * model.vocab_size)
-        term = F.when(F.col("next").isNotNull(), F.round(F.log(odds), LOG_DECIMALS).cast(LOG_TYPE))
+        term = F.when(F.col("next").isNotNull(), F.round(F.log(odds), LOG_DECIMALS).cast("decimal(18,9)") * F.col("_times").cast("decimal(18,0)"))
         return F.coalesce(F.sum(term).cast("double"), F.lit(0.0)).alias(f"{name}_logprob")
 
     pair = ["prev", "next"]
     if sum(m.pairs for m in models.values()) <= broadcast_pairs:
-        counted = pairs.join(F.broadcast(bigrams), pair, "left")
+        counted = pairs.withColumn("_times", F.lit(1)).join(F.broadcast(bigrams), pair, "left").join(F.broadcast(contexts), "prev", "left")
     else:
-        counted = lookup_join(pairs, bigrams, pair, spread_by=names, how="left", hot_rows=hot_rows)
-    return (
-        counted.join(contexts, "prev", "left")
-        .groupBy(*names)
-        .agg(*(total(name, model) for name, model in models.items()), F.count("next").alias("n_tokens"))
-    )
+        pairs = pairs.groupBy(*names, *pair).agg(F.count(F.lit(1)).alias("_times"))
+        with_pair = lookup_join(pairs, bigrams, pair, spread_by=names, how="left", hot_rows=hot_rows)
+        counted = lookup_join(with_pair, contexts, "prev", spread_by=[*names, "next"], how="left", hot_rows=hot_rows)
+    tokens = F.sum(F.when(F.col("next").isNotNull(), F.col("_times")).otherwise(0)).cast("long").alias("n_tokens")
+    return counted.groupBy(*names).agg(*(total(name, model) for name, model in models.items()), tokens)
 
 
 def sequence_logprob(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -51,3 +53,20 @@ def value_examples(df: DataFrame, bad: str = REFUSAL, keep_prompt: bool = False)
     )
     kept = [*_others(df), *(["prompt"] if keep_prompt else [])]
     return build_prompt(df).select(*kept, F.inline(rows))
+
+
+def pairs_best_worst(rated: DataFrame, group: Sequence[str], score: str, key: str, response: str) -> DataFrame:
+    """(group, chosen_id, rejected_id, chosen, rejected): of each group's rated responses the best against the worst.
+
+    Ties go to the smaller key. Groups whose scores are all equal give no pair;
+    unrated rows do not count. One aggregation finds the ids, which then fetch
+    their texts: no group is gathered.
+    """
+    known = rated.where(F.col(score).isNotNull())
+    ends = known.groupBy(*group).agg(
+        F.max(F.struct(F.col(score).alias("_score"), (-F.col(key)).alias("_id"))).alias("_best"),
+        F.min(F.struct(F.col(score).alias("_score"), F.col(key).alias("_id"))).alias("_worst"),
+    )
+    pairs = ends.where("_best._score > _worst._score").select(*group, (-F.col("_best._id")).alias("chosen_id"), F.col("_worst._id").alias("rejected_id"))
+    texts = lambda side: rated.select(F.col(key).alias(f"{side}_id"), F.coalesce(response, F.lit("")).alias(side))
+    return pairs.join(texts("chosen"), "chosen_id").join(texts("rejected"), "rejected_id").select(*group, "chosen_id", "rejected_id", "chosen", "rejected")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key, at_or_after, before
-from tallyrow.functions.ordering import DIRECT_LIMIT, keys_at
+from tallyrow.functions.ordering import DIRECT_LIMIT, check_key, keys_at
 from tallyrow.sources.tables import SPLIT_COLUMN, select_split
 
 _BOUND = r"(\d+%?)?"
@@ -29,10 +29,12 @@ def slice_rows(
 ) -> DataFrame:
     """Rows at positions [start, stop) of the key order.
 
-    Bounds past the end are clamped; ``strict`` raises instead.
+    Bounds past the end are clamped; ``strict`` raises instead. Null or repeated
+    keys raise ValueError: no position is theirs.
     """
     if start < 0 or (stop is not None and stop < 0):
         raise ValueError("slice bounds must not be negative")
+    check_key(df, key)
     wanted = [start] if start else []
     if stop is not None:
         wanted += [stop, stop - 1] if strict and stop else [stop]
@@ -82,6 +84,7 @@ def train_val_split(df: DataFrame, key: Key, n_train: int, n_val: int) -> DataFr
 
     Later rows are in neither.
     """
+    check_key(df, key)
     bounds = keys_at(df, key, [n_train, n_train + n_val])
     if n_train + n_val in bounds:
         df = df.where(before(key, bounds[n_train + n_val]))
@@ -89,3 +92,13 @@ def train_val_split(df: DataFrame, key: Key, n_train: int, n_val: int) -> DataFr
     if n_train in bounds:
         name = F.when(before(key, bounds[n_train]), name).otherwise(F.lit("validation"))
     return df.withColumn(SPLIT_COLUMN, name)
+
+
+def split_by_share(df: DataFrame, key: Key, percent: int) -> DataFrame:
+    """Every row, the first ``percent`` of the key order as split ``train``, the others as ``validation``.
+
+    Rounded like a percent slice: halves to even.
+    """
+    rows = df.count()
+    n_train = _position(f"{percent}%", rows)
+    return train_val_split(df, key, n_train, rows - n_train)

@@ -19,8 +19,8 @@ GENERATION_HEADER = "<|im_start|>assistant\n"
 
 SFT_STYLES = {"plain": "", "padded": "\n"}
 
-# Turns rendered per output row of `chat_prompt_from_turns`.
-PART_TURNS = 4096
+# Turns that are put together at a time; the result does not depend on it.
+BLOCK_TURNS = 4096
 
 
 def prompt_text(tail: str = "") -> Column:
@@ -81,21 +81,21 @@ def chat_prompt(
 
 
 def chat_prompt_from_turns(
-    turns: DataFrame, add_generation_prompt: bool = True, part_turns: int = PART_TURNS
+    turns: DataFrame, add_generation_prompt: bool = True, block_turns: int = BLOCK_TURNS
 ) -> DataFrame:
-    """Chat texts from (conv_id, turn, role, text) rows: (conv_id, part, prompt).
+    """Chat texts from (conv_id, turn, role, text) rows: one row (conv_id, prompt) per conversation.
 
-    A conversation of up to ``part_turns`` turns is one row, part 0. A longer
-    one comes out as several rows whose prompts, put together in part order, are
-    its whole text: no task ever gathers more than ``part_turns`` turns.
+    Turns are rendered and put together block by block, then the blocks in order:
+    a hot conversation's turns are gathered by many tasks, and only its finished
+    text, which is one value of the result, comes together in one. A null role or
+    text counts as empty.
     """
-    pieces = turns.select("conv_id", "turn", _turn_text(F.col("role"), F.col("text")).alias("piece"))
-    if add_generation_prompt:
-        closing = turns.groupBy("conv_id").agg((F.max("turn") + 1).alias("turn"))
-        pieces = pieces.union(closing.select("conv_id", "turn", F.lit(GENERATION_HEADER)))
-    part = F.floor(F.col("turn") / part_turns).alias("part")
-    return (
-        pieces.groupBy("conv_id", part)
-        .agg(F.array_sort(F.collect_list(F.struct("turn", "piece"))).alias("_pieces"))
-        .select("conv_id", "part", F.array_join("_pieces.piece", "").alias("prompt"))
+    pieces = turns.select(
+        "conv_id", "turn", F.floor(F.col("turn") / block_turns).alias("_block"), _turn_text(F.coalesce("role", F.lit("")), F.col("text")).alias("piece")
+    )
+    blocks = pieces.groupBy("conv_id", "_block").agg(
+        F.array_join(F.array_sort(F.collect_list(F.struct("turn", "piece")))["piece"], "").alias("_text")
     )
+    whole = F.array_join(F.array_sort(F.collect_list(F.struct("_block", "_text")))["_text"], "")
+    closing = F.lit(GENERATION_HEADER if add_generation_prompt else "")
+    return blocks.groupBy("conv_id").agg(F.concat(whole, closing).alias("prompt"))

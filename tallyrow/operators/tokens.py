@@ -6,10 +6,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyrow.functions.keys import Key, key_columns
 from tallyrow.functions.lookup import MAX_INLINE_ROWS, position_lookup, word_lookup
 from tallyrow.functions.skew import lookup_join
 from tallyrow.functions.text import words
@@ -55,15 +54,21 @@ def fit_vocab(df: DataFrame, columns: str | Sequence[str], size: int, specials:
 
 @dataclass(frozen=True)
 class Vocabulary:
-    """A vocabulary small enough to travel inside the plan."""
+    """Words with their ids, and the ids of the special tokens.
 
-    entries: tuple[tuple[str, int, int], ...]  # word, id, xxhash64(word)
+    The table is what counts. A small one also has its rows inline, to be looked up
+    row by row without a shuffle; results are the same either way.
+    """
+
+    table: DataFrame = field(repr=False, compare=False)  # tok, id
+    words: int
     specials: Specials = field(default_factory=Specials)
+    entries: tuple[tuple[str, int, int], ...] | None = field(default=None, repr=False)  # word, id, xxhash64(word)
 
     @property
     def size(self) -> int:
         """Number of ids, specials included."""
-        return self.specials.first_word + len(self.entries)
+        return self.specials.first_word + self.words
 
     @cached_property
     def _find(self):
@@ -76,59 +81,68 @@ class Vocabulary:
             listed[number] = word
         return position_lookup(listed)
 
+    @property
+    def marks(self) -> dict[int, str]:
+        """How the special tokens are written."""
+        return {self.specials.pad_id: "<pad>", self.specials.unk: "<unk>", self.specials.eos: "</s>"}
+
     def ids(self, tokens: Column) -> Column:
-        """Ids of an array of words."""
+        """Ids of an array of words, where the vocabulary is inline."""
         unknown = F.lit(self.specials.unk)
         return F.transform(tokens, lambda t: F.coalesce(self._find(t), unknown))
 
     def text(self, ids: Column, skip_special: bool = True) -> Column:
-        """Words of an array of ids, joined by single spaces."""
-        marks = {self.specials.eos: "</s>", self.specials.unk: "<unk>"}
-        if self.specials.pad_id not in marks:
-            marks[self.specials.pad_id] = "<pad>"
+        """Words of an array of ids, joined by single spaces, where the vocabulary is inline."""
         if skip_special:
-            ids = F.filter(ids, lambda i: ~i.isin(*marks))
-            return F.array_join(F.transform(ids, self._word_at), " ")
-        named = lambda i: reduce(lambda rest, m: F.when(i == m, marks[m]).otherwise(rest), marks, self._word_at(i))
-        return F.array_join(F.transform(ids, named), " ")
+            return F.array_join(F.transform(F.filter(ids, lambda i: ~i.isin(*self.marks)), self._word_at), " ")
+        return F.array_join(F.transform(ids, lambda i: self._marked(i, self._word_at(i))), " ")
 
+    def _marked(self, number: Column, word: Column) -> Column:
+        return reduce(lambda rest, m: F.when(number == m, self.marks[m]).otherwise(rest), self.marks, word)
 
-def load_vocab(table: DataFrame, specials: Specials = Specials(), limit: int = MAX_INLINE_ROWS) -> Vocabulary | DataFrame:
-    """The vocabulary ready for use: inline if it has at most ``limit`` words, else the table itself."""
+
+def load_vocab(table: DataFrame, specials: Specials = Specials(), limit: int = MAX_INLINE_ROWS) -> Vocabulary:
+    """The vocabulary ready for use, with its rows inline if there are at most ``limit``."""
     rows = table.select("tok", "id", F.xxhash64("tok").alias("h")).limit(limit + 1).collect()
     if len(rows) > limit:
-        return table
-    return Vocabulary(tuple((r["tok"], r["id"], r["h"]) for r in rows), specials)
-
-
-def tokenize(
-    df: DataFrame,
-    vocab: Vocabulary | DataFrame,
-    text: str,
-    key: Key | None = None,
-    name: str = "input_ids",
-    specials: Specials = Specials(),
-) -> DataFrame:
-    """Adds the token ids of a text column; words outside the vocabulary become ``unk``.
-
-    An inline vocabulary is looked up row by row, without a shuffle. A table is
-    joined: then ``key`` must name each row.
+        return Vocabulary(table.select("tok", "id"), table.count(), specials)
+    return Vocabulary(table.select("tok", "id"), len(rows), specials, tuple((r["tok"], r["id"], r["h"]) for r in rows))
+
+
+def save_vocab(vocab: Vocabulary, path: str) -> None:
+    """The words and the special ids, as a table with one row of specials."""
+    vocab.table.write.parquet(f"{path}/words")
+    s = vocab.specials
+    vocab.table.sparkSession.createDataFrame([(s.eos, s.unk, s.pad)], "eos int, unk int, pad int").coalesce(1).write.parquet(f"{path}/specials")
+
+
+def read_vocab(spark: SparkSession, path: str, limit: int = MAX_INLINE_ROWS) -> Vocabulary:
+    row = spark.read.parquet(f"{path}/specials").first()
+    return load_vocab(spark.read.schema("tok string, id int").parquet(f"{path}/words"), Specials(row["eos"], row["unk"], row["pad"]), limit)
+
+
+def _joined(df: DataFrame, items: Column, found: DataFrame, on: str, result: Column, name: str, empty: Column) -> DataFrame:
+    """``df`` with the joined-up values of each row's items.
+
+    Equal item lists are looked up once, so no row key is needed, and rows may repeat.
     """
+    same = F.md5(F.to_json(F.struct(items.alias("_items"))))
+    keyed = df.withColumn("_same", same)
+    lists = keyed.select("_same", items.alias("_items")).dropDuplicates(["_same"])
+    exploded = lists.select("_same", F.posexplode("_items").alias("_pos", on))
+    matched = lookup_join(exploded, found, on, spread_by=["_same", "_pos"], how="left")
+    # One group is the items of one list.
+    listed = matched.groupBy("_same").agg(F.array_sort(F.collect_list(F.struct("_pos", result.alias("_value"))))["_value"].alias("_values"))
+    return keyed.join(listed, "_same", "left").withColumn(name, F.coalesce("_values", empty)).drop("_values", "_same")
+
+
+def tokenize(df: DataFrame, vocab: Vocabulary, text: str, name: str = "input_ids") -> DataFrame:
+    """Adds the token ids of a text column; words outside the vocabulary become ``unk``."""
     tokens = words(F.col(text))
-    if isinstance(vocab, Vocabulary):
+    if vocab.entries is not None:
         return df.withColumn(name, vocab.ids(tokens))
-    if key is None:
-        raise ValueError("a joined vocabulary needs the row key")
-    names = key_columns(key)
-    exploded = df.select(*names, F.posexplode(tokens).alias("_pos", "tok"))
-    found = lookup_join(exploded, vocab.select("tok", "id"), "tok", spread_by=[*names, "_pos"], how="left")
-    numbered = found.select(
-        *names, F.struct("_pos", F.coalesce("id", F.lit(specials.unk)).alias("id")).alias("_token")
-    )
-    # One group is the words of one row's text.
-    listed = numbered.groupBy(*names).agg(F.array_sort(F.collect_list("_token"))["id"].alias("_ids"))
-    empty = F.array().cast("array<int>")
-    return df.join(listed, names, "left").withColumn(name, F.coalesce("_ids", empty)).drop("_ids")
+    known = F.coalesce("id", F.lit(vocab.specials.unk))
+    return _joined(df, tokens, vocab.table, "tok", known, name, F.array().cast("array<int>"))
 
 
 def truncate(df: DataFrame, ids: str, limit: int) -> DataFrame:
@@ -142,7 +156,12 @@ def attention_mask(ids: str) -> Column:
 
 def detokenize(df: DataFrame, vocab: Vocabulary, ids: str, skip_special: bool = True, name: str = "text") -> DataFrame:
     """Adds the text of token ids. A row of specials only gives the empty text."""
-    return df.withColumn(name, vocab.text(F.col(ids), skip_special))
+    if vocab.entries is not None:
+        return df.withColumn(name, vocab.text(F.col(ids), skip_special))
+    wanted = F.filter(ids, lambda i: ~i.isin(*vocab.marks)) if skip_special else F.col(ids)
+    word = F.col("tok") if skip_special else vocab._marked(F.col("id"), F.col("tok"))
+    listed = _joined(df, wanted, vocab.table, "id", word, "_words", F.array().cast("array<string>"))
+    return listed.withColumn(name, F.array_join("_words", " ")).drop("_words")
 
 
 def prompt_tokens(df: DataFrame, vocab: Vocabulary, keep: Sequence[str] = ()) -> DataFrame:

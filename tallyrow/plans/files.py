@@ -14,10 +14,6 @@ from tallyrow.session import written
 from tallyrow.sources.sinks import write_jsonl
 from tallyrow.sources.tables import read_jsonl
 
-# Fixed value: the slice every file is made from.
-DEFAULT_SLICE = "train[:200]"
-
-
 def _prompts(rows: DataFrame) -> DataFrame:
     others = [c for c in rows.columns if c not in ("instruction", "input", "output")]
     return build_prompt(rows).select(*others, "prompt")
@@ -41,9 +37,9 @@ FIELDS: Mapping[str, str] = {
 
 
 def write_files(
-    instructions: DataFrame, key: Key, folder: str, names: list[str], spec: str = DEFAULT_SLICE, mode: str = "overwrite"
+    instructions: DataFrame, key: Key, folder: str, names: list[str], spec: str = "train", mode: str = "overwrite"
 ) -> dict[str, int]:
-    """Writes the named files of one slice and returns their row counts.
+    """Writes the named files of one slice (every row unless ``spec`` says less) and returns their row counts.
 
     The slice is computed once; every file reads that table.
     """

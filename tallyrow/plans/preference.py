@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key, key_columns
+from tallyrow.functions.text import WORD_PATTERN
 from tallyrow.operators.lm import BigramModel, sequence_logprobs
 from tallyrow.operators.objectives import dpo_terms
 from tallyrow.operators.tokens import Vocabulary, tokenize
@@ -19,9 +20,9 @@ def completion_logprobs(
     rows: DataFrame, key: Key, vocab: Vocabulary, policy: BigramModel, reference: BigramModel, completion: str = "completion"
 ) -> DataFrame:
     """(key, policy_logprob, reference_logprob, n_tokens) of each completion, read on from its prompt's last token."""
-    ids = tokenize(rows, vocab, completion)
-    ids = tokenize(ids, vocab, "prompt", name="_prompt_ids").select(
-        *key_columns(key), "input_ids", F.coalesce(F.get("_prompt_ids", F.size("_prompt_ids") - 1), F.lit(vocab.specials.eos)).alias("_first")
+    last = rows.withColumn("_last", F.regexp_extract(F.coalesce("prompt", F.lit("")), f"({WORD_PATTERN})[ \\n\\t\\r]*$", 1))
+    ids = tokenize(tokenize(last, vocab, completion), vocab, "_last", name="_last_id").select(
+        *key_columns(key), "input_ids", F.coalesce(F.get("_last_id", F.lit(0)), F.lit(vocab.specials.eos)).alias("_first")
     )
     return sequence_logprobs(spread(written(ids, "completion-ids")), {"policy": policy, "reference": reference}, key, first=F.col("_first"))
 

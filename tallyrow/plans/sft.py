@@ -7,16 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from tallyrow.functions.keys import Key
+from tallyrow.functions.lookup import MAX_INLINE_ROWS
 from tallyrow.operators.lm import BigramModel, eval_loss, fit_bigram, sequence_logprob
 from tallyrow.operators.slices import train_val_split
 from tallyrow.operators.templates import format_sft
-from tallyrow.operators.tokens import Vocabulary, fit_vocab, load_vocab, tokenize
+from tallyrow.operators.tokens import Specials, Vocabulary, fit_vocab, load_vocab, tokenize
 from tallyrow.session import written
 from tallyrow.sources.tables import select_split
 
-# The reference run's rows.
-TRAIN_ROWS, VALIDATION_ROWS = 1000, 200
-
 
 @dataclass(frozen=True)
 class SftRun:
@@ -26,19 +24,17 @@ class SftRun:
 
 
 def prepare(
-    instructions: DataFrame, key: Key, n_train: int = TRAIN_ROWS, n_val: int = VALIDATION_ROWS, style: str = "plain"
+    instructions: DataFrame, key: Key, n_train: int, n_val: int, style: str = "plain"
 ) -> DataFrame:
     """Training and validation texts, named by the ``split`` column."""
     return format_sft(train_val_split(instructions, key, n_train, n_val), style)
 
 
-def fit(texts: DataFrame, key: Key, vocab_words: int) -> SftRun:
+def fit(texts: DataFrame, key: Key, vocab_words: int, specials: Specials = Specials(), inline: int = MAX_INLINE_ROWS) -> SftRun:
     """Vocabulary and count model of the training texts, and the loss on the validation texts."""
     texts = written(texts, "sft-texts")
     train = select_split(texts, "train")
-    vocab = load_vocab(fit_vocab(train, "text", vocab_words))
-    if not isinstance(vocab, Vocabulary):
-        raise ValueError(f"{vocab_words} words are more than a model vocabulary can hold")
+    vocab = load_vocab(fit_vocab(train, "text", vocab_words, specials), specials, inline)
     model = fit_bigram(tokenize(train, vocab, "text"), vocab.size)
     held_out = written(tokenize(select_split(texts, "validation"), vocab, "text"), "held-out-ids")
     return SftRun(vocab, model, eval_loss(sequence_logprob(held_out, model, key)))

@@ -16,25 +16,22 @@ def instructions_from_turns(turns: DataFrame) -> DataFrame:
     ``turns`` has (conv_id, turn, role, text), ``turn`` numbering the messages
     of a conversation without gaps. ``input`` is the conversation's system text.
 
-    The answer is found by an equi-join on (conv_id, turn + 1), so one huge
-    conversation still spreads over all tasks; a window per conversation would
-    put it into one. The system text joins on conv_id alone, a hot conversation
-    being dealt over several tasks.
+    Question and answer meet in one group per (conv_id, asked turn), an answer being
+    filed under the turn before it: one scan, one shuffle on a key that no other row
+    shares, so a huge conversation spreads over all tasks. The system text joins on
+    conv_id alone, a hot conversation being dealt over several tasks.
     """
-    asked = turns.where(F.col("role") == "user").select(*KEY, F.col("text").alias("instruction"))
-    answered = turns.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output")
+    asks = F.col("role") == "user"
+    filed = turns.where(F.col("role").isin("user", "assistant")).select(
+        "conv_id", F.when(asks, F.col("turn")).otherwise(F.col("turn") - 1).alias("turn"), asks.alias("_asks"), F.coalesce("text", F.lit("")).alias("_text")
     )
-    system = (
-        turns.where(F.col("role") == "system").groupBy("conv_id").agg(F.max("text").alias("_system"))
+    paired = filed.groupBy(*KEY).agg(
+        F.max(F.when(F.col("_asks"), F.col("_text"))).alias("instruction"), F.max(F.when(~F.col("_asks"), F.col("_text"))).alias("output")
     )
-    return (
-        lookup_join(asked, system, "conv_id", spread_by="turn", how="left")
-        .join(answered, list(KEY))
-        .select(
-            *KEY,
-            F.coalesce("instruction", F.lit("")).alias("instruction"),
-            F.coalesce("_system", F.lit("")).alias("input"),
-            F.coalesce("output", F.lit("")).alias("output"),
-        )
+    answered = paired.where("instruction is not null and output is not null")
+    system = turns.where(F.col("role") == "system").groupBy("conv_id").agg(F.max("text").alias("_system"))
+    # Counted on the narrow scan: at least as many rows as will be joined.
+    counts = turns.where(asks).groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
+    return lookup_join(answered, system, "conv_id", spread_by="turn", how="left", counts=counts).select(
+        *KEY, "instruction", F.coalesce("_system", F.lit("")).alias("input"), "output"
     )

@@ -41,7 +41,7 @@ def instructions(spark):
     rows = [
         (0, "A", "", "B"),
         (1, "A", None, "B"),
-        (2, "Translate to French", "Good Morning", "Bonjour"),
+        (2, "Name the capital", "Of Norway", "Oslo"),
         (3, 'é 日本 "q"', "line\n\ttab", "ü\\n"),
     ]
     return spark.createDataFrame(rows, "row_id bigint, instruction string, input string, output string")

@@ -69,7 +69,7 @@ def test_a_saved_model_scores_alike(spark, model):
     df = spark.createDataFrame(HELD_OUT, IDS)
     path = scratch_path(spark, "lm")
     lm.fit_bigram(spark.createDataFrame(TRAIN, IDS), V, path)
-    loaded = lm.BigramModel.load(spark, path, V)
+    loaded = lm.BigramModel.load(spark, path)
     assert sorted(lm.sequence_logprob(df, loaded, "k").collect()) == sorted(lm.sequence_logprob(df, model, "k").collect())
 
 

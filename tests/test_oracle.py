@@ -7,7 +7,7 @@ from __spark_entry__ import entry
 from registry.oracles import ORACLES
 from registry.queries import QUERIES
 
-ROWS_ONLY = {"reward_fit", "reward_scores", "model_roundtrip", "value_fit", "value_scores"}
+ROWS_ONLY = {"reward_fit", "reward_scores", "value_fit", "value_scores"}
 
 
 @pytest.fixture(scope="module")

@@ -18,12 +18,14 @@ def test_row_local_texts_add_no_shuffle(spark, sf_dir):
         assert physical(QUERIES[name](spark, sf_dir)).count("Exchange") == base, name
 
 
-def test_role_filters_and_columns_reach_the_scan(spark, sf_dir):
+def test_instructions_read_their_table_three_times_at_most(spark, sf_dir):
     turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
-    plan = physical(instructions_from_turns(turns).select("conv_id", "turn", "instruction"))
-    assert "EqualTo(role,user)" in plan and plan.count("EqualTo(role,assistant)") == 1
-    answers = next(line for line in plan.splitlines() if "EqualTo(role,assistant)" in line)
-    assert "text" not in answers.split("ReadSchema")[1]
+    plan = physical(instructions_from_turns(turns))
+    scans = [line for line in plan.splitlines() if "FileScan parquet" in line]
+    texts = [line for line in scans if "text" in line.split("ReadSchema")[1]]
+    assert len(texts) == 2 and all("EqualTo(role," in line or "In(role," in line for line in scans)
+    # Questions and answers come together by one shuffle.
+    assert "SortMergeJoin" not in plan.split("HashAggregate")[-1]
 
 
 @pytest.fixture
@@ -45,6 +47,20 @@ def test_a_hot_key_is_dealt_over_salts_and_its_row_repeated(spark, hot):
     assert copies.count() == 180 + 16  # one row per group; the 8,040 rows of group 7 are in 17 parts
 
 
+def test_no_key_over_the_threshold_stays_whole(spark):
+    rows = spark.range(0, 40000, 1, 8).select((F.col("id") % 4).alias("k"), "id")
+    counts = rows.groupBy("k").agg(F.count(F.lit(1)).alias("_n"))
+    for hot_rows in (100, 5000, 9999):
+        dealt, _ = salted(rows, counts, "k", "id", hot_rows=hot_rows)
+        sizes = dealt.groupBy("k", "_salt").count().collect()
+        # An even share of 4 partitions is 10,000 rows: no key is over it.
+        assert max(r["count"] for r in sizes) <= 10000
+    more = rows.union(rows.where("k = 1"))
+    dealt, _ = salted(more, counts, "k", "id", hot_rows=3000)
+    assert max(r["count"] for r in dealt.where("k = 1").groupBy("_salt").count().collect()) < 3400
+    assert "NestedLoop" not in physical(dealt)
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_a_salted_join_equals_the_plain_join(spark, hot, how):
     table = hot.where("prompt_id < 200").groupBy("prompt_id").agg(F.max("reward").alias("top"))

@@ -3,6 +3,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tallyrow.functions.ordering import keys_at, with_ordinal, with_shuffled_position
+from tallyrow.operators import slices
 from tallyrow.operators.slices import slice_rows, slice_spec, train_val_split
 from tallyrow.sources.tables import read_instructions, select_split
 
@@ -147,3 +148,24 @@ def test_shuffled_position_is_the_digest_order(skewed, digits):
     order = sorted(keys, key=lambda k: (hashlib.md5(f"7:{k[0]}:{k[1]}".encode()).hexdigest(), k))
     rows = with_shuffled_position(skewed, ["c", "i"], 7, bucket_digits=digits).collect()
     assert {(r.c, r.i): r.position for r in rows} == {k: n for n, k in enumerate(order)}
+
+
+@pytest.mark.parametrize("keys", [[None, None, None], [1, 1, 1, 2], [1, None]])
+def test_rows_without_a_key_of_their_own_are_refused(spark, keys):
+    df = spark.createDataFrame([(k, "x") for k in keys], "k long, v string")
+    for use in (
+        lambda: with_ordinal(df, "k"),
+        lambda: slices.slice_rows(df, "k", 0, 2),
+        lambda: slices.slice_spec(df, "train[:50%]", "k"),
+        lambda: slices.train_val_split(df, "k", 1, 1),
+    ):
+        with pytest.raises(ValueError, match="rows without one"):
+            use()
+    with pytest.raises(ValueError):
+        with_ordinal(df.selectExpr("k", "1 as j"), ["j", "k"])
+
+
+def test_split_by_share_keeps_every_row(spark):
+    df = spark.range(0, 11).toDF("k")
+    got = {r.k: r.split for r in slices.split_by_share(df, "k", 75).collect()}
+    assert got == {i: "train" if i < 8 else "validation" for i in range(11)}

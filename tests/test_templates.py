@@ -35,7 +35,7 @@ def test_prompt_has_no_newline_after_the_response_header(instructions):
 
 
 def test_inference_prompt_ends_with_a_newline(instructions):
-    expected = "### Instruction:\nTranslate to French\n\n### Input:\nGood Morning\n\n### Response:\n"
+    expected = "### Instruction:\nName the capital\n\n### Input:\nOf Norway\n\n### Response:\n"
     assert column(templates.build_prompt(instructions, "\n"), "prompt")[2] == expected
 
 
@@ -100,12 +100,14 @@ def test_chat_from_turns_equals_the_message_list(spark):
     assert rows == {r.id: r.prompt for r in templates.chat_prompt(lists).collect()}
 
 
-def test_a_long_conversation_comes_in_parts_that_make_the_whole(spark):
-    turns = spark.createDataFrame([(1, t, "user", f"m{t}") for t in range(25)] + [(2, 0, "user", "x")], TURNS)
-    whole = {r.conv_id: r.prompt for r in templates.chat_prompt_from_turns(turns).collect()}
-    parts = templates.chat_prompt_from_turns(turns, part_turns=4).orderBy("part").collect()
-    assert max(r.prompt.count("<|im_start|>") for r in parts) == 4
-    assert {c: "".join(r.prompt for r in parts if r.conv_id == c) for c in (1, 2)} == whole
+def test_a_long_conversation_is_one_row_whatever_the_block(spark):
+    rows = [(1, t, "user", f"m{t}") for t in range(25)] + [(2, 0, "user", "x"), (3, 5000, "user", "y"), (3, 4999, None, None)]
+    turns = spark.createDataFrame(rows, TURNS)
+    whole = sorted((r.conv_id, r.prompt) for r in templates.chat_prompt_from_turns(turns).collect())
+    assert [c for c, _ in whole] == [1, 2, 3]
+    assert whole[0][1].count("<|im_start|>") == 26 and whole[0][1].endswith("assistant\n")
+    for block in (1, 4, 25):
+        assert sorted((r.conv_id, r.prompt) for r in templates.chat_prompt_from_turns(turns, block_turns=block).collect()) == whole
 
 
 def test_instructions_need_an_answer_in_the_next_turn(spark):

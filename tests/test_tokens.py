@@ -4,7 +4,7 @@ import pytest
 
 from tallyrow.functions.lookup import MAX_INLINE_ROWS, word_lookup
 from tallyrow.operators import batching, preference, templates, tokens
-from tallyrow.operators.tokens import Specials, Vocabulary
+from tallyrow.operators.tokens import Specials
 
 TEXTS = [(1, "b a  b\tc\nb"), (2, "a é 日本 \"q\" a"), (3, ""), (4, None), (5, "zz b")]
 
@@ -42,13 +42,41 @@ def test_ids_and_unknown_words(texts, vocab):
     assert ids[5] == [1, 2]
 
 
-def test_a_joined_vocabulary_gives_the_same_ids(texts, vocab):
-    table = tokens.load_vocab(tokens.fit_vocab(texts, "text", 3), limit=2)
-    assert not isinstance(table, Vocabulary)
-    inline = by_key(tokens.tokenize(texts, vocab, "text"), "input_ids")
-    assert by_key(tokens.tokenize(texts, table, "text", key="k"), "input_ids") == inline
-    with pytest.raises(ValueError):
-        tokens.tokenize(texts, table, "text")
+SPECIALS = Specials(eos=3, unk=5, pad=7)
+
+
+def test_a_joined_vocabulary_gives_the_same(spark, texts):
+    inline = tokens.load_vocab(tokens.fit_vocab(texts, "text", 3, SPECIALS), SPECIALS)
+    joined = tokens.load_vocab(tokens.fit_vocab(texts, "text", 3, SPECIALS), SPECIALS, limit=2)
+    assert inline.entries and joined.entries is None and inline.size == joined.size == 11
+    prompts = texts.withColumnRenamed("text", "prompt").union(texts)  # keys repeat
+    examples = preference.value_examples(spark.createDataFrame([(1, "a", None, "b q"), (2, "zz", "b", "")], "k long, instruction string, input string, output string"))
+
+    def all_of(vocab):
+        ids = tokens.tokenize(texts, vocab, "text")
+        special = ids.selectExpr("k", "concat(array(3, 5, 7), input_ids, array(7, 99)) as ids")
+        return [
+            sorted(map(tuple, df.collect()), key=str)
+            for df in (
+                ids,
+                tokens.detokenize(special, vocab, "ids"),
+                tokens.detokenize(special, vocab, "ids", skip_special=False),
+                tokens.prompt_tokens(prompts, vocab, keep=["k"]),
+                tokens.value_tokens(examples, vocab),
+            )
+        ]
+
+    assert all_of(inline) == all_of(joined)
+    assert by_key(tokens.tokenize(texts, joined, "text"), "input_ids")[5] == [5, 8]
+
+
+def test_a_saved_vocabulary_comes_back(spark, texts, tmp_path):
+    vocab = tokens.load_vocab(tokens.fit_vocab(texts, "text", 4, SPECIALS), SPECIALS)
+    tokens.save_vocab(vocab, str(tmp_path / "v"))
+    for limit in (100, 1):
+        again = tokens.read_vocab(spark, str(tmp_path / "v"), limit)
+        assert (again.size, again.specials) == (vocab.size, SPECIALS)
+        assert tokens.tokenize(texts, again, "text").collect() == tokens.tokenize(texts, vocab, "text").collect() or limit == 1
 
 
 def test_awkward_words_survive_the_inline_table(spark):
@@ -58,7 +86,7 @@ def test_awkward_words_survive_the_inline_table(spark):
     vocab = tokens.load_vocab(table)
     ids = by_key(tokens.tokenize(df, vocab, "text"), "input_ids")
     assert sorted(ids[1]) == list(range(2, 2 + len(awkward))) and ids[2] == ids[1][::-1]
-    assert by_key(tokens.tokenize(df, table, "text", key="k"), "input_ids") == ids
+    assert by_key(tokens.tokenize(df, tokens.load_vocab(table, limit=1), "text"), "input_ids") == ids
     back = tokens.detokenize(tokens.tokenize(df, vocab, "text"), vocab, "input_ids", name="back")
     assert by_key(back, "back")[1] == " ".join(awkward)
 
