@@ -308,10 +308,12 @@ def regress(x: np.ndarray, y: np.ndarray, start: Weights, penalty: float = 0.1,
     return Weights(float(w[0]), w[1:], start.stems)
 
 
-def explain(toxic: list[np.ndarray], clean: dict[int, int]) -> list[int]:
+def explain(toxic: list[np.ndarray], clean: dict[int, int], length: dict[int, int]) -> list[int]:
     """Pattern hashes, chosen one by one by how many toxic texts they newly explain.
 
-    ``toxic`` has each text's distinct patterns, ``clean`` in how many other texts a pattern stands.
+    ``toxic`` has each text's distinct patterns, ``clean`` in how many other texts a
+    pattern stands, ``length`` its bytes. Of patterns that explain equally much the
+    narrowest is chosen: a whole word before a beginning, a longer one before a shorter.
     """
     if not toxic:
         return []
@@ -319,14 +321,14 @@ def explain(toxic: list[np.ndarray], clean: dict[int, int]) -> list[int]:
     patterns, place = np.unique(np.concatenate(toxic), return_inverse=True)
     total = np.bincount(place, minlength=len(patterns))
     other = np.fromiter((clean.get(int(p), 0) for p in patterns), np.int64, len(patterns))
+    narrow = np.fromiter((length[int(p)] or 1 << 30 for p in patterns), np.int64, len(patterns))
     open_, chosen = np.ones(len(toxic), bool), []
     fit_ = total >= STEM_SHARE * (total + other)
     while True:
         gain = np.where(fit_, np.bincount(place[open_[text]], minlength=len(patterns)), 0)
         if not len(gain) or gain.max() < STEM_TEXTS:
             return chosen
-        # Of equals the one in most toxic texts, then the smallest hash.
-        best = min(np.flatnonzero(gain == gain.max()), key=lambda i: (-total[i], patterns[i]))
+        best = min(np.flatnonzero(gain == gain.max()), key=lambda i: (-total[i], -narrow[i], patterns[i]))
         chosen.append(int(patterns[best]))
         open_[text[place == best]] = False
 
@@ -362,7 +364,7 @@ def learn_stems(chosen: DataFrame) -> Stems:
     toxic.sort(key=lambda t: t.tolist())
     patterns, texts = np.unique(np.concatenate(toxic), return_counts=True)
     wanted = patterns[texts >= STEM_TEXTS]
-    lengths = {h: n for r in found for h, n in zip(r["hash"], r["n"])}
+    lengths = {int(np.int64(h).view(np.uint64)): n for r in found for h, n in zip(r["hash"], r["n"])}
 
     def elsewhere(batches):
         total = np.zeros(len(wanted), np.int64)
@@ -377,8 +379,8 @@ def learn_stems(chosen: DataFrame) -> Stems:
     if len(wanted):
         for r in unlike.where("label = 0").select("text").mapInArrow(elsewhere, "counts array<bigint>").collect():
             clean += np.array(r["counts"])
-    picked = explain([t[np.isin(t, wanted)] for t in toxic], dict(zip(wanted.tolist(), clean.tolist())))
-    return tuple((lengths[int(np.uint64(h).view(np.int64))], h) for h in picked)
+    picked = explain([t[np.isin(t, wanted)] for t in toxic], dict(zip(wanted.tolist(), clean.tolist())), lengths)
+    return tuple((lengths[h], h) for h in picked)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, sample: int = SAMPLE) -> Weights:

@@ -125,13 +125,14 @@ def test_composition_equals_the_machines_one_after_another():
 def test_stems_explain_what_the_lexicon_misses(spark):
     random = np.random.default_rng(2)
     clean = [" ".join(f"word{random.integers(300)}" for _ in range(20)) for _ in range(300)]
-    toxic = [f"{t} grobi{random.integers(1000)}an" for t in clean[:30]] + [f"{t} vilx" for t in clean[30:50]]
+    ending = lambda: "".join(random.choice(list("abcdefgh"), 4))
+    toxic = [f"{t} grobi{ending()}" for t in clean[:30]] + [f"{t} vilx" for t in clean[30:50]]
     rows = [(i, t, 0) for i, t in enumerate(clean)] + [(1000 + i, t, 1) for i, t in enumerate(toxic)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, l int")
     weights = clauses.fit(docs.drop("l"), docs.selectExpr("doc_id", "l as toxic"), "toxic", F.lit(True))
-    assert 2 <= len(weights.stems) <= 4
-    unseen = ["some grobixyz here", "a VILX b", "word1 word2", "robi vil"]
-    assert (weights.scores(pa.array(unseen)) > 0.5).tolist() == [True, True, False, False]
+    assert [n for n, _ in weights.stems] == [5, clauses.WHOLE]  # grobi..., vilx
+    unseen = ["some grobixyz here", "a VILX b", "word1 word2", "robi vil", "grob vilxa"]
+    assert (weights.scores(pa.array(unseen)) > 0.5).tolist() == [True, True, False, False, False]
 
 
 def test_score_of_a_text_is_the_mean_over_its_features():
