@@ -9,9 +9,11 @@ statistics.
 Search: queries are stored in blocks with their global term weights; each pair of
 shard and query block is a task. For a query, postings of its rarer terms are added
 up exactly; its most frequent terms contribute, per block of documents, the largest
-value they reach there (block-max). A document whose sum of the two stays below
-the k-th best score known is never scored (WAND's test). The others are scored in
-full. The shards' best are merged exactly.
+value they reach there (block-max). The block of largest bound is scored first and
+gives a k-th best score; a block whose bound stays below it is never scored (WAND's
+test). The others are, for all queries that need them at once, in single precision;
+what comes within its error of the k best is scored again in double precision. The
+shards' best are merged exactly.
 
 score = sum over query terms of qtf * idf * tf (k1 + 1) / (tf + k1 (1 - b + b * length / mean length)),
 idf = ln(1 + (N - df + 0.5) / (df + 0.5)), rounded to 6 decimals so that equal
@@ -43,11 +45,14 @@ from tallyrow.session import written
 
 K1, B = 1.2, 0.75
 # Tokens of a shard, documents of a block, queries of a query block.
-SHARD_TOKENS, BLOCK, QUERIES = 6_000_000, 64, 2048
+SHARD_TOKENS, BLOCK, QUERIES = 8_000_000, 64, 1024
+# Shards that a task searches one after the other, about.
+SHARDS = 4
+# Queries that are scored together.
+_AT_ONCE = 128
 # Terms of a query block whose postings a shard holds as a table, most frequent first.
 DENSE = 384
 DECIMALS = 6
-_SLACK = 1e-5
 
 HITS = "query_id bigint, doc_id bigint, score double"
 
@@ -195,8 +200,22 @@ def _write_queries(folder: str, statistics: Statistics):
     return run
 
 
-def search_shard(name: str, queries: str, mean: float, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """(query_id, doc_id, score) of the best k of each query of a block in a shard, and how many documents were scored."""
+def _lower(rough: np.ndarray) -> np.ndarray:
+    """No more than what a score in single precision stands for."""
+    return np.where(rough > -np.inf, rough * (1 - 1e-4) - 1e-3, -np.inf)
+
+
+def _postings(start: np.ndarray, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places of all postings of the terms, how many each has)."""
+    begin, many = start[terms], start[terms + 1] - start[terms]
+    return np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum()), many
+
+
+def search_shard(name: str, queries: str, mean: float, k: int, least: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(query's place, doc_id, score) of the best k of each query of a block in a shard, and how many pairs were scored.
+
+    ``least`` is a score that each query's hits must reach, known from other shards.
+    """
     doc, length, terms, start, known = (sh.mapped(f"{name}/{p}.npy") for p in ("doc", "length", "term", "start", "known"))
     q_id, q_start, q_term, q_weight = (sh.mapped(f"{queries}.{p}.npy") for p in ("id", "start", "term", "weight"))
     nothing = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), 0
@@ -211,8 +230,8 @@ def search_shard(name: str, queries: str, mean: float, k: int) -> tuple[np.ndarr
     wanted, at = wanted[here], at[here]
     if not len(wanted):
         return nothing
-    size = start[at + 1] - start[at]
     # The most frequent terms as a table of documents x terms, with the blocks' largest values.
+    size = start[at + 1] - start[at]
     frequent = np.argsort(-size, kind="stable")[:DENSE]
     frequent = frequent[size[frequent] * 32 >= n]
     column = np.full(len(wanted), -1)
@@ -221,42 +240,78 @@ def search_shard(name: str, queries: str, mean: float, k: int) -> tuple[np.ndarr
     for c, t in enumerate(at[frequent]):
         part = slice(start[t], start[t + 1])
         table[rows[part], c] = impact[part]
-    n_blocks = -(-n // BLOCK)
-    peaks = np.maximum.reduceat(table, np.arange(n_blocks) * BLOCK, axis=0) if len(frequent) else np.zeros((n_blocks, 0))
-    block = np.arange(n) // BLOCK
-    found_q, found_d, found_s, scored = [], [], [], 0
-    for q in range(len(q_id)):
-        term, weight = q_term[q_start[q] : q_start[q + 1]], q_weight[q_start[q] : q_start[q + 1]]
-        place = np.minimum(np.searchsorted(wanted, term), len(wanted) - 1)
-        hit = wanted[place] == term
-        place, weight = place[hit], weight[hit]
-        if not len(place):
-            continue
-        dense = column[place] >= 0
-        often = np.zeros(len(frequent))
-        often[column[place[dense]]] = weight[dense]
-        rare, w = at[place[~dense]], weight[~dense]
-        begin, many = start[rare], start[rare + 1] - start[rare]
-        posting = np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(many.sum())
-        exact = np.bincount(rows[posting], np.repeat(w, many) * impact[posting], minlength=n)
-        bound = exact + (peaks @ often)[block]
-        bound[~known] = -1.0
-        floor = 0.0
-        if n > k:
-            first = np.argpartition(bound, n - k)[n - k :]
-            floor = float((exact[first] + table[first] @ often).min()) - _SLACK if known[first].all() else 0.0
-        # The test: what cannot reach the k-th best of the first ones is not scored.
-        left = np.flatnonzero(bound >= max(floor, 1e-12))
-        score = np.round(exact[left] + table[left] @ often, DECIMALS)
-        scored += len(left)
-        left, score = left[score > 0], score[score > 0]
-        best = np.lexsort((doc[left], -score))[:k]
-        found_q.append(np.full(len(best), q_id[q]))
-        found_d.append(doc[left[best]])
-        found_s.append(score[best])
-    if not found_q:
+    table_rough = table.astype(np.float32)
+    edges = np.arange(0, n, BLOCK)
+    peaks = np.maximum.reduceat(table, edges, axis=0) if len(frequent) else np.zeros((len(edges), 0))
+    found, scored = [], 0
+    for first in range(0, len(q_id), _AT_ONCE):
+        chosen = range(first, min(first + _AT_ONCE, len(q_id)))
+        often, exact = np.zeros((len(chosen), len(frequent))), np.zeros((len(chosen), n))
+        for i, q in enumerate(chosen):
+            term, weight = q_term[q_start[q] : q_start[q + 1]], q_weight[q_start[q] : q_start[q + 1]]
+            place = np.minimum(np.searchsorted(wanted, term), len(wanted) - 1)
+            hit = wanted[place] == term
+            place, weight = place[hit], weight[hit]
+            dense = column[place] >= 0
+            often[i, column[place[dense]]] = weight[dense]
+            posting, many = _postings(start, at[place[~dense]])
+            exact[i] = np.bincount(rows[posting], np.repeat(weight[~dense], many) * impact[posting], minlength=n)
+        exact[:, ~known] = -np.inf
+        # A block's bound: its best sum over rarer terms and the largest values of the frequent ones.
+        bound = np.maximum.reduceat(exact, edges, axis=1) + often @ peaks.T
+        known_floor = np.zeros(len(chosen)) if least is None else least[first : first + len(chosen)] * (1 - 1e-4) - 1e-3
+        todo = (bound > 0) & (bound >= known_floor[:, None])
+        # The blocks of largest bound give each query a k-th best score to beat.
+        here = np.zeros_like(todo)
+        np.put_along_axis(here, np.argsort(-bound, axis=1)[:, : 1 + k // BLOCK], True, axis=1)
+        here &= todo
+        rough, often_rough = np.full((len(chosen), n), -np.inf, np.float32), often.astype(np.float32)
+        for turn in range(2):
+            for b in np.flatnonzero(here.any(axis=0)):
+                who = np.flatnonzero(here[:, b])
+                part = slice(edges[b], min(edges[b] + BLOCK, n))
+                rough[who, part] = exact[who, part] + often_rough[who] @ table_rough[part].T
+                scored += len(who) * (part.stop - part.start)
+            floor = _lower(np.partition(rough, n - k, axis=1)[:, n - k]) if n >= k else np.zeros(len(chosen))
+            floor = np.maximum(floor, known_floor)
+            # The test: a block that cannot reach it is not scored.
+            todo &= ~here
+            here = todo & (bound >= floor[:, None])
+        i, j = np.nonzero((rough >= floor[:, None]) & (rough > -np.inf))
+        for at_once in range(0, len(i), 1 << 14):
+            x, y = i[at_once : at_once + (1 << 14)], j[at_once : at_once + (1 << 14)]
+            score = np.round(exact[x, y] + np.einsum("ij,ij->i", often[x], table[y]), DECIMALS)
+            good = score > 0
+            found.append((first + x[good], y[good], score[good]))
+    if not found:
         return nothing
-    return np.concatenate(found_q), np.concatenate(found_d), np.concatenate(found_s), scored
+    q, d, s = (np.concatenate([f[i] for f in found]) for i in range(3))
+    return *best(q, doc[d], s, k), scored
+
+
+def best(query: np.ndarray, doc: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each query's k best hits: by score, then the smaller doc_id."""
+    order = np.lexsort((doc, -score, query))
+    query, doc, score = query[order], doc[order], score[order]
+    new = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else np.zeros(0, np.int64)
+    kept = np.arange(len(query)) - np.repeat(new, np.diff(new, append=len(query))) < k
+    return query[kept], doc[kept], score[kept]
+
+
+def search_shards(names: list[str], queries: str, mean: float, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(query_id, doc_id, score) of the best k of each query of a block in several shards, one after the other.
+
+    A query with k hits so far only takes what is no worse in the next shard.
+    """
+    ids = sh.mapped(f"{queries}.id.npy")
+    q, d, s = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+    for name in names:
+        filled = np.bincount(q, minlength=len(ids)) >= k
+        least = np.full(len(ids), np.inf)
+        np.minimum.at(least, q, s)
+        more = search_shard(name, queries, mean, k, np.where(filled, least, 0.0))
+        q, d, s = best(*(np.concatenate(x) for x in zip((q, d, s), more[:3])), k)
+    return ids[q], d, s
 
 
 def search(index: Index, queries: DataFrame, k: int = 10, per_block: int = QUERIES) -> DataFrame:
@@ -267,20 +322,22 @@ def search(index: Index, queries: DataFrame, k: int = 10, per_block: int = QUERI
     n_blocks = max(1, -(-asked.count() // per_block))
     dealt = asked.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)).cast("int"))
     stored = written(dealt.repartition(n_blocks, "block").mapInArrow(_write_queries(folder, index.statistics), "block int"), "search-blocks")
-    # A task for every shard and block of queries: file names, no rows of either.
+    # A task for some shards and a block of queries: file names, no rows of either.
     names = sorted(r["block"] for r in stored.collect())
-    tasks = written(index.shards.select("name", F.explode(F.array(*map(F.lit, names or [0]))).alias("block")), "search-tasks")
+    groups = max(1, -(-index.shards.count() // SHARDS))
+    some = index.shards.groupBy(F.pmod(F.xxhash64("name"), F.lit(groups)).alias("group")).agg(F.sort_array(F.collect_list("name")).alias("names"))
+    tasks = written(some.select("names", F.explode(F.array(*map(F.lit, names or [0]))).alias("block")), "search-tasks")
     if not names:
         tasks = tasks.where("false")
     mean = max(index.statistics.n_tokens / max(index.statistics.n_docs, 1), 1e-9)
 
     def run(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for name, block in zip(batch.column("name").to_pylist(), batch.column("block").to_pylist()):
-                q, d, s, _ = search_shard(name, f"{folder}/{block}", mean, k)
+            for names, block in zip(batch.column("names").to_pylist(), batch.column("block").to_pylist()):
+                q, d, s = search_shards(names, f"{folder}/{block}", mean, k)
                 yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(d, pa.int64()), pa.array(s, pa.float64())], names=["query_id", "doc_id", "score"])
 
-    hits = tasks.repartition(max(1, tasks.count()), "name", "block").mapInArrow(run, HITS)
+    hits = tasks.repartition(max(1, tasks.count()), "names", "block").mapInArrow(run, HITS)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id")
-    # At most k rows per shard and query come together here.
+    # At most k rows per group of shards and query come together here.
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
