@@ -285,6 +285,9 @@ def prior(stems: Stems = ()) -> Weights:
 
 def regress(x: np.ndarray, y: np.ndarray, start: Weights, penalty: float = 0.1, steps: int = 30) -> Weights:
     """Logistic regression by Newton's method, drawn towards ``start``."""
+    # Equal rows count together: most texts hold no event.
+    both, times = np.unique(np.c_[x, y], axis=0, return_counts=True)
+    x, y = both[:, :-1], both[:, -1]
     design = np.c_[np.ones(len(x)), np.log1p(x)]
     origin = np.r_[start.bias, start.features]
     w = origin.copy()
@@ -292,12 +295,12 @@ def regress(x: np.ndarray, y: np.ndarray, start: Weights, penalty: float = 0.1,
 
     def loss(v: np.ndarray) -> float:
         z = design @ v
-        return float(np.logaddexp(0, z).sum() - z @ y + (ridge * (v - origin) ** 2).sum() / 2)
+        return float(times @ (np.logaddexp(0, z) - z * y) + (ridge * (v - origin) ** 2).sum() / 2)
 
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -40, 40)))
-        gradient = design.T @ (p - y) + ridge * (w - origin)
-        hessian = (design * (p * (1 - p))[:, None]).T @ design + np.diag(ridge)
+        gradient = design.T @ (times * (p - y)) + ridge * (w - origin)
+        hessian = (design * (times * p * (1 - p))[:, None]).T @ design + np.diag(ridge)
         step = np.linalg.solve(hessian, gradient)
         size = 1.0
         while size > 1e-4 and loss(w - size * step) > loss(w):
@@ -354,17 +357,20 @@ def learn_stems(chosen: DataFrame) -> Stems:
             rows, _ = counts(batch.column("text"))
             n, hashes, row = _patterns(batch.column("text"))
             for i in np.setdiff1d(np.arange(batch.num_rows), rows):
-                mine = np.unique(np.stack([hashes[row == i], n[row == i].astype(np.uint64)]), axis=1)
-                yield pa.RecordBatch.from_pydict({"hash": pa.array([mine[0].view(np.int64)], pa.list_(pa.int64())), "n": pa.array([mine[1].astype(np.int64)], pa.list_(pa.int64()))})
+                mine, first = np.unique(hashes[row == i], return_index=True)
+                sizes = n[row == i][first].astype(np.uint8)
+                yield pa.RecordBatch.from_pydict({"hashes": pa.array([mine.tobytes()], pa.binary()), "sizes": pa.array([sizes.tobytes()], pa.binary())})
 
-    found = unlike.where("label > 0").select("text").mapInArrow(missed, "hash array<bigint>, n array<bigint>").collect()
-    toxic = [np.array(r["hash"], np.int64).view(np.uint64) for r in found]
+    found = unlike.where("label > 0").select("text").mapInArrow(missed, "hashes binary, sizes binary").collect()
+    found = sorted((bytes(r["hashes"]), bytes(r["sizes"])) for r in found)
+    toxic = [np.frombuffer(h, np.uint64) for h, _ in found]
     if not toxic:
         return ()
-    toxic.sort(key=lambda t: t.tolist())
-    patterns, texts = np.unique(np.concatenate(toxic), return_counts=True)
-    wanted = patterns[texts >= STEM_TEXTS]
-    lengths = {int(np.int64(h).view(np.uint64)): n for r in found for h, n in zip(r["hash"], r["n"])}
+    patterns, place, texts = np.unique(np.concatenate(toxic), return_index=True, return_counts=True)
+    often = texts >= STEM_TEXTS
+    wanted = patterns[often]
+    sizes = np.concatenate([np.frombuffer(n, np.uint8) for _, n in found])[place[often]]
+    lengths = dict(zip(wanted.tolist(), sizes.tolist()))
 
     def elsewhere(batches):
         total = np.zeros(len(wanted), np.int64)

@@ -194,8 +194,10 @@ def fit(
         .collect()
     )
     rows.sort(key=lambda r: r["doc_id"])
-    data = [(np.cumsum(unpack(r["features"], r["n"])).astype(np.int64), unpack(r["counts"], r["n"]).astype(np.int64)) for r in rows]
-    return train(data, np.array([int(r["label"] > 0) for r in rows], int), bits, dim, passes, rate, seed)
+    data = [(np.cumsum(unpack(r["features"], r["n"])).astype(np.uint32), unpack(r["counts"], r["n"]).astype(np.uint32)) for r in rows]
+    marks = np.array([int(r["label"] > 0) for r in rows], int)
+    del rows
+    return train(data, marks, bits, dim, passes, rate, seed)
 
 
 def score(docs: DataFrame, model: SubwordModel, name: str = "score", keep: bool = False) -> DataFrame:
