@@ -13,7 +13,9 @@ holds a null or non-finite component links with nothing. Equal vectors of a labe
 3. Every comparison also hands on threshold edges: a forest over those points that
    met and are alike, so that a class larger than a list stays connected.
 4. Audit: of a fixed number of points, all links are counted by brute force. While
-   fewer than ``audit`` of them are found, lists are enlarged and the descent goes on.
+   fewer than ``audit`` of them are found, lists are enlarged, up to ``WIDEST`` times,
+   and the descent goes on with as many rounds again; if that does not do, all points
+   of a label are compared with each other in blocks.
 5. Components of the verified threshold edges; within each, links are counted in
    blocks (the list that an enlarged list would end at), in double precision. Counts,
    not pairs, leave a task. Copies count with their number.
@@ -44,9 +46,12 @@ LIST = 8
 CELL, CUTS = 64, 8
 # Points whose links the audit counts by brute force, and the share that must be found.
 AUDIT_POINTS, AUDIT_SHARE = 128, 0.999
-ROUNDS = 12
+# Rounds for each length of the lists, and up to how many times ``keep`` lists grow.
+ROUNDS, WIDEST = 12, 4
 # Points of a block in the exact count.
 BLOCK = 512
+# Points of a block at most where all points of a label are compared.
+WIDE = 4096
 # Single precision may be off by so much.
 SLACK = 1e-5
 
@@ -288,6 +293,74 @@ def _alike(x: np.ndarray, y: np.ndarray, least: float) -> np.ndarray:
     return near
 
 
+def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of links that join whatever the links of a rectangle join."""
+    rows, columns = np.flatnonzero(near.any(axis=1)), np.flatnonzero(near.any(axis=0))
+    near = near[np.ix_(rows, columns)]
+    old_rows, old_columns = np.zeros(len(rows), bool), np.zeros(len(columns), bool)
+    a, b = [rows[:0]], [columns[:0]]
+    for start in range(len(rows)):
+        front = np.array([] if old_rows[start] else [start], int)
+        old_rows[front] = True
+        while len(front):
+            fresh = np.flatnonzero(near[front].any(axis=0) & ~old_columns)
+            if not len(fresh):
+                break
+            old_columns[fresh] = True
+            a.append(rows[front[near[np.ix_(front, fresh)].argmax(axis=0)]])
+            b.append(columns[fresh])
+            front = np.flatnonzero(near[:, fresh].any(axis=1) & ~old_rows)
+            old_rows[front] = True
+            a.append(rows[front])
+            b.append(columns[fresh[near[np.ix_(front, fresh)].argmax(axis=1)]])
+    return np.concatenate(a), np.concatenate(b)
+
+
+def compared(asked: DataFrame, table: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """(u, v, links): the points of ``asked`` compared with all points of their label.
+
+    Rows without v tell with how many vectors of some of the label's blocks u links, copies
+    counted; the others are links, a forest of each two blocks, so all links of the
+    points asked for join the same points. Every two blocks meet in a task.
+    """
+    count = F.count(F.lit(1))
+    blocks = F.greatest(F.ceil(count / WIDE), F.least(F.lit(4), F.ceil(count / block))).cast("int")
+    sized = asked.groupBy("side").agg(blocks.alias("_a")).join(table.groupBy("side").agg(blocks.alias("_b")), "side")
+    sized = written(sized, "nn-sizes")
+
+    def spread(points: DataFrame, asks: int, mine: str, other: str) -> DataFrame:
+        inside = points.select("u", "side", "size", "unit").join(sized, "side").withColumn(mine, F.pmod(F.xxhash64("u"), F.col(mine)).cast("int"))
+        each = inside.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
+        return each.select("u", "size", "unit", F.lit(asks).alias("asks"), F.xxhash64("side", "_a", "_b").alias("cell"))
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        for _, group in grouped(batches, "cell"):
+            ids, sizes, asks = (np.asarray(group.column(c)) for c in ("u", "size", "asks"))
+            x = _matrix(group.column("unit"), "<f8")
+            a, b = np.flatnonzero(asks == 1), np.flatnonzero(asks == 0)
+            if not len(a) or not len(b):
+                continue
+            near = np.empty((len(a), len(b)), bool)
+            for at in range(0, len(a), BLOCK):
+                near[at : at + BLOCK] = _alike(x[a[at : at + BLOCK]], x[b], least)
+            near &= ids[a][:, None] != ids[b][None, :]
+            u, v = _forest(near)
+            some = np.flatnonzero(near.any(axis=1))
+            links = np.zeros(len(a), np.int64)
+            links[some] = near[some] @ sizes[b]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.nulls(len(a), pa.int64()), pa.array(links)], names=["u", "v", "links"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids[a][u]), pa.array(ids[b][v]), pa.nulls(len(u), pa.int64())], names=["u", "v", "links"])
+
+    parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = spread(asked, 1, "_a", "_b").union(spread(table, 0, "_b", "_a"))
+    return written(met.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(run, "u bigint, v bigint, links bigint"), "nn-compared")
+
+
+def _linked(compared: DataFrame) -> DataFrame:
+    """The links (a, b) among the rows of ``compared``."""
+    return compared.where("v is not null").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+
+
 def audited(table: DataFrame, found: DataFrame, least: float, n: int) -> tuple[int, int]:
     """(links found, links there are) of ``n`` points, the smallest hashes of their ids, by brute force."""
     asked = table.orderBy(F.xxhash64("u"), "u").limit(n).collect()
@@ -325,9 +398,9 @@ def near_duplicates(
     kept = written(table.select("u", F.lit(keep).alias("keep")), "nn-keep")
     lists = written(_lists(edges.where("not made"), kept), "nn-lists")
     forest = edges.where("made").select("u", "v", "cosine")
-    n, turn, recall = table.count(), 0, 1.0
+    n, turn = table.count(), 0
     while True:
-        while turn < rounds and n > 1:
+        for _ in range(rounds if n > 1 else 0):
             turn += 1
             fresh = written(_descend(lists, single, kept, longest, least, turn), "nn-round")
             forest = forest.union(fresh.where("made").select("u", "v", "cosine"))
@@ -339,12 +412,16 @@ def near_duplicates(
         # Lists full of links may hide further ones.
         full = lists.groupBy("u").agg(F.count(F.lit(1)).alias("_n"), F.min("cosine").alias("_least")).join(kept, "u")
         full = full.where((F.col("_n") >= F.col("keep")) & (F.col("_least") >= least)).select("u")
-        edges = lists.select("u", "v", "cosine").union(forest)
-        comps = written(components(_verified(edges, table, least)), "nn-components")
+        links = _verified(lists.select("u", "v", "cosine").union(forest), table, least)
+        comps = written(components(links), "nn-components")
         found = written(counted_links(table, comps, least), "nn-links")
         got, there = audited(table, found, least, AUDIT_POINTS)
         recall = got / there if there else 1.0
-        if recall >= audit or turn >= rounds:
+        if recall >= audit:
+            break
+        if 2 * longest > WIDEST * keep:
+            comps = written(components(_linked(compared(table, table, least))), "nn-components")
+            found, recall = written(counted_links(table, comps, least), "nn-links"), 1.0
             break
         longest *= 2
         if full.limit(1).count():

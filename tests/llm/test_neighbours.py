@@ -58,6 +58,31 @@ def test_links_equal_all_pairs_compared(spark, seed, block, monkeypatch):
     assert got[0]["recall"] == 1.0
 
 
+@pytest.mark.parametrize("rounds", [0, 1])
+def test_links_are_whole_without_enough_rounds(spark, rounds, monkeypatch):
+    """A start in which few points meet, and no rounds to mend it."""
+    monkeypatch.setattr(neighbours.started, "__defaults__", (1, 3, 0))
+    rows = vectors(2)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = neighbours.near_duplicates(table, keep=2, rounds=rounds).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute(rows)
+
+
+def test_forest_joins_what_links_join():
+    near = np.random.default_rng(0).random((40, 50)) < 0.02
+    a, b = neighbours._forest(near)
+    assert near[a, b].all()
+
+    def classes(pairs):
+        group = {x: x for i, j in np.argwhere(near) for x in (("a", i), ("b", j))}
+        for i, j in pairs:
+            old, new = group["b", j], group["a", i]
+            group = {x: new if g == old else g for x, g in group.items()}
+        return len(set(group.values()))
+
+    assert classes(zip(a, b)) == classes(np.argwhere(near))
+
+
 def test_empty_table(spark):
     table = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert neighbours.near_duplicates(table).collect() == []
