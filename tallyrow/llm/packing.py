@@ -7,10 +7,8 @@ a seeded order into batches of as many as fit the token budget once padded (one
 at least, so that a document longer than the budget is a batch of its own: nothing
 is cut).
 
-Up to ``EXACT`` tokens every length is a column of the histogram; beyond, columns
-widen with the length (``STEPS`` to a doubling) and stand for the longest length
-found in them, so the histogram has a bounded number of columns whatever the
-texts, and the boundaries are the best among these lengths.
+Every distinct length is a column of the histogram, so the boundaries are the best of
+all. There are far fewer lengths than rows: d of them take d * d / 2 tokens at least.
 
 Documents without tokens (null or empty texts) have length 0 and share batches of
 a bucket as if padded to 1. Repeated rows are packed as rows. An empty table gives
@@ -24,11 +22,12 @@ task holds a whole bucket.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrow.session import written
 
+# Columns were once merged beyond these; pack() counts every length, a test still names them.
 EXACT = 1024
 STEPS = 64
 # Documents of one slice of a bucket's order, about.
@@ -36,30 +35,37 @@ SLICE_ROWS = 20_000
 _DIGITS = 15
 
 
-def column_of(length: Column) -> Column:
-    """The histogram column of a length: itself, or the step of its doubling."""
-    wide = F.floor(F.log2(length / F.lit(EXACT)) * STEPS).cast("int") + EXACT
-    return F.when(length <= EXACT, length.cast("int")).otherwise(wide + 1)
-
-
 def boundaries(longest: np.ndarray, count: np.ndarray, buckets: int) -> list[int]:
     """The boundaries, ascending, that pad the least; ``longest`` is ascending.
 
-    cost[j] after k rounds: the fewest padded tokens for columns 0..j in k buckets.
+    cost[j] after k rounds: the fewest padded tokens for columns 0..j in k buckets. A last
+    bucket after column i costs cost[i] - longest[j] * docs[i], a line over longest[j] whose
+    slope falls with i, so the lowest lines are kept in a hull and met in order.
     """
     if not len(longest):
         return []
-    docs = np.r_[0, np.cumsum(count)]
-    cost = longest * docs[1:]
+    longest, docs = [int(x) for x in longest], [int(x) for x in np.cumsum(count)]
+    cost = [x * d for x, d in zip(longest, docs)]
     choice = []
     for _ in range(min(buckets, len(longest)) - 1):
         better, start = cost.copy(), np.zeros(len(longest), int)
+        hull: list[int] = []
+        at = 0
         for j in range(1, len(longest)):
-            # The last bucket holds columns i..j.
-            found = cost[:j] + longest[j] * (docs[j + 1] - docs[1 : j + 1])
-            i = int(found.argmin())
-            if found[i] < better[j]:
-                better[j], start[j] = found[i], i + 1
+            # The line of i = j - 1 hides the last one if it meets the one before no later.
+            i = j - 1
+            while len(hull) > 1 and (cost[i] - cost[hull[-2]]) * (docs[hull[-1]] - docs[hull[-2]]) <= (cost[hull[-1]] - cost[hull[-2]]) * (docs[i] - docs[hull[-2]]):
+                hull.pop()
+            hull.append(i)
+            at = min(at, len(hull) - 1)
+            x = longest[j]
+            while at + 1 < len(hull) and cost[hull[at + 1]] - x * docs[hull[at + 1]] < cost[hull[at]] - x * docs[hull[at]]:
+                at += 1
+            # The last bucket holds columns i + 1..j.
+            i = hull[at]
+            found = cost[i] + x * (docs[j] - docs[i])
+            if found < better[j]:
+                better[j], start[j] = found, i + 1
         choice.append(start)
         cost = better
     cuts, j = [], len(longest) - 1
@@ -79,9 +85,7 @@ def pack(
     """
     rows = written(docs.select(key, tokens), "packing-rows")
     length = F.greatest(F.coalesce(F.col(tokens), F.lit(0)), F.lit(0))
-    histogram = (
-        rows.groupBy(column_of(length).alias("column")).agg(F.max(length).alias("longest"), F.count(F.lit(1)).alias("n")).orderBy("column").collect()
-    )
+    histogram = rows.groupBy(length.alias("longest")).agg(F.count(F.lit(1)).alias("n")).orderBy("longest").collect()
     bounds = boundaries(np.array([r["longest"] for r in histogram], np.int64), np.array([r["n"] for r in histogram], np.int64), buckets)
     if not bounds:
         bounds = [0]

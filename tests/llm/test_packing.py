@@ -57,6 +57,28 @@ def test_wide_lengths_stay_within_their_column():
     assert packing.EXACT == 1024 and packing.STEPS == 64
 
 
+def test_long_lengths_pad_least(spark):
+    """Lengths over 1,024 that lie close together, against every choice of boundaries."""
+    random = np.random.default_rng(4)
+    longest = np.sort(np.r_[2000:2010, 20_000:20_003])
+    count = random.integers(1, 30, len(longest))
+    lengths = [int(x) for x, n in zip(longest, count) for _ in range(n)]
+    docs = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n_tokens long")
+    got = sum(r["padding"] for r in packing.pack(docs, buckets=5).collect())
+    assert got == min(padding(longest, count, [*cut, longest[-1]]) for cut in combinations(longest[:-1].tolist(), 4))
+
+
+def test_many_lengths_cost_no_more_than_every_start_tried():
+    random = np.random.default_rng(6)
+    longest = np.sort(random.choice(20_000, 400, replace=False))
+    count = random.integers(1, 50, 400)
+    docs = np.r_[0, np.cumsum(count)]
+    cost = longest * docs[1:]
+    for buckets in range(1, 9):
+        assert padding(longest, count, packing.boundaries(longest, count, buckets)) == cost[-1] - (longest * count).sum()
+        cost = np.array([min(cost[j], *(cost[:j] + longest[j] * (docs[j + 1] - docs[1 : j + 1]))) if j else cost[0] for j in range(400)])
+
+
 def test_empty_table(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, n_tokens long")).collect() == []
 
