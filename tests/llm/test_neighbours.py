@@ -68,6 +68,21 @@ def test_links_are_whole_without_enough_rounds(spark, rounds, monkeypatch):
     assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute(rows)
 
 
+def test_audit_draws_on_and_judges_each_label(spark, monkeypatch):
+    """A few pairs among many single points, beside a label of one large group: no pair may be lost."""
+    monkeypatch.setattr(neighbours.started, "__defaults__", (1, 2, 0))
+    monkeypatch.setattr(neighbours, "AUDIT_POINTS", 40)
+    random = np.random.default_rng(5)
+    centre = random.normal(size=24)
+    rows = [(i, (centre + random.normal(size=24) * 0.05).tolist(), 0) for i in range(300)]
+    for i in range(1000, 1800):
+        rows.append((i, random.normal(size=24).tolist(), 1))
+    rows += [(1800 + k, (np.array(rows[300 + 7 * k][1]) + random.normal(size=24) * 0.02).tolist(), 1) for k in range(20)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = neighbours.near_duplicates(table, rounds=0).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute(rows)
+
+
 def test_forest_joins_what_links_join():
     near = np.random.default_rng(0).random((40, 50)) < 0.02
     a, b = neighbours._forest(near)
