@@ -9,7 +9,9 @@ holds a null or non-finite component links with nothing. Equal vectors of a labe
 2. Descent: a point's neighbours, and a bounded random draw of the points that have
    it as neighbour, meet and are compared with each other (neighbours of neighbours).
    Each keeps its best; rounds follow until few lists change. Points whose whole list
-   is over the threshold are saturated: their lists are enlarged and rounds go on.
+   is over the threshold are saturated: their lists are enlarged and rounds go on. Those
+   still saturated at ``WIDEST`` times the length are compared with their whole label
+   in blocks, so none of their links is lost.
 3. Every comparison also hands on threshold edges: a forest over those points that
    met and are alike, so that a class larger than a list stays connected.
 4. Audit: of points drawn from each label, all links are counted by brute force; more
@@ -222,6 +224,12 @@ def _lists(edges: DataFrame, keep: DataFrame | int) -> DataFrame:
     return ranked.join(keep, "u", "left").where(F.col("place") <= F.coalesce("keep", F.lit(LIST))).drop("keep")
 
 
+def _enlarged(kept: DataFrame, narrow: DataFrame) -> DataFrame:
+    """``kept`` with the lists of the points ``narrow`` twice as long."""
+    more = kept.join(narrow.withColumn("_more", F.lit(True)), "u", "left")
+    return written(more.select("u", F.when(F.col("_more"), F.col("keep") * 2).otherwise(F.col("keep")).alias("keep")), "nn-keep")
+
+
 def _descend(lists: DataFrame, table: DataFrame, keep: DataFrame, longest: int, least: float, turn: int) -> DataFrame:
     """One round: edges that a meeting of each point's neighbours brings forth."""
     forward = lists.select(F.col("u").alias("cell"), F.col("v").alias("u"))
@@ -413,7 +421,7 @@ def near_duplicates(
     kept = written(table.select("u", F.lit(keep).alias("keep")), "nn-keep")
     lists = written(_lists(edges.where("not made"), kept), "nn-lists")
     forest = edges.where("made").select("u", "v", "cosine")
-    n, turn, truth = table.count(), 0, None
+    n, turn, truth, filled, beyond = table.count(), 0, None, None, None
     while True:
         for _ in range(rounds if n > 1 else 0):
             turn += 1
@@ -424,7 +432,21 @@ def near_duplicates(
             changed = lists.join(before.select("u", "v"), ["u", "v"], "left_anti").count()
             if changed <= 0.01 * n * keep:
                 break
-        links = written(_verified(lists.select("u", "v", "cosine").union(forest), table, least), "nn-verified")
+        # Lists of nothing but links may hide further ones, also those not filled yet.
+        full = lists.groupBy("u").agg(F.min("cosine").alias("_least")).where(F.col("_least") >= least - SLACK)
+        full = written(full.join(kept, "u").select("u", "keep"), "nn-full")
+        narrow = full.where(F.col("keep") * 2 <= WIDEST * keep).select("u")
+        if narrow.limit(1).count():
+            kept = _enlarged(kept, narrow)
+            longest = kept.agg(F.max("keep")).first()[0]
+            continue
+        fresh = full.select("u") if filled is None else full.select("u").join(filled, "u", "left_anti")
+        if fresh.limit(1).count():
+            more = _linked(compared(table.join(fresh, "u").select(*table.columns), table, least))
+            beyond = more if beyond is None else beyond.union(more)
+            filled = full.select("u") if filled is None else filled.union(fresh)
+        links = _verified(lists.select("u", "v", "cosine").union(forest), table, least)
+        links = written(links if beyond is None else links.union(beyond), "nn-verified")
         comps = written(components(links), "nn-components")
         found = written(counted_links(table, comps, least), "nn-links")
         true, shares, met = truth = truth or audited(table, least, AUDIT_POINTS)
@@ -439,7 +461,7 @@ def near_duplicates(
             rest = again.join(shares, "side").where(_place() >= F.col("share")).select(*table.columns)
             met = met.union(_linked(compared(rest, table, least)))
             break
-        kept = written(kept.join(narrow.withColumn("_more", F.lit(True)), "u", "left").select("u", F.when(F.col("_more"), F.col("keep") * 2).otherwise(F.col("keep")).alias("keep")), "nn-keep")
+        kept = _enlarged(kept, narrow)
         longest = kept.agg(F.max("keep")).first()[0]
     if mend:
         comps = written(components(links.union(met)), "nn-components")

@@ -68,6 +68,25 @@ def test_links_are_whole_without_enough_rounds(spark, rounds, monkeypatch):
     assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute(rows)
 
 
+def test_full_lists_hide_no_bridge(spark, monkeypatch):
+    """Two dense groups with one link between them, which no full list holds; the audit passes anything."""
+    monkeypatch.setattr(neighbours.started, "__defaults__", (1, 8, 0))
+    monkeypatch.setattr(neighbours, "AUDIT_POINTS", 2)
+    random = np.random.default_rng(3)
+    angle = np.arccos(0.98)
+    rows = []
+    for group, ends in ((0, 1.0), (1, 1.9)):
+        for k in range(60):
+            # One point of each group leans towards the other.
+            at = angle * ((0.5 if group == 0 else 2.4) if k else ends)
+            rows.append((100 * group + k, [float(np.cos(at)), float(np.sin(at)), *(random.normal(size=22) * 1e-4).tolist()], 0))
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    want = brute(rows)
+    assert {c for _, c, _ in want.values()} == {0} and want[0][0] == 60
+    got = neighbours.near_duplicates(table, audit=0.0, keep=4).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == want
+
+
 def test_audit_draws_on_and_judges_each_label(spark, monkeypatch):
     """A few pairs among many single points, beside a label of one large group: no pair may be lost."""
     monkeypatch.setattr(neighbours.started, "__defaults__", (1, 2, 0))
