@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrow.llm import clauses, darts, hypervectors, kneser_ney, mixing, neighbours, packing, search, subwords, warc
+from tallyrow.llm import bpe, clauses, darts, hypervectors, kneser_ney, mixing, neighbours, packing, search, subwords, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +98,19 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs.select("doc_id", mixing.n_tokens().alias("n_tokens")))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    automaton = bpe.read(public_tokenizers.path("word_bpe_49k.json"))
+    coded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), automaton)
+    return bpe.decode(coded, automaton).select(
+        "doc_id",
+        "n_tokens",
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_score": op1_lm_score,
     "op2_search": op2_search,
@@ -109,6 +122,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_warc": op9_warc,
     "op10_pack": op10_pack,
+    "op13_bpe": op13_bpe,
 }
 
 def _budget_sql(depth: int) -> str:
