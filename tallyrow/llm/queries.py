@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrow.llm import bpe, clauses, darts, hypervectors, kneser_ney, mixing, neighbours, packing, search, subwords, warc
+from tallyrow.llm import bpe, clauses, darts, hypervectors, kneser_ney, mixing, neighbours, packing, runs, search, subwords, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -98,6 +98,34 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs.select("doc_id", mixing.n_tokens().alias("n_tokens")))
 
 
+def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    hashed, n = F.crc32(F.col("doc_id").cast("string")), mixing.n_tokens()
+    first = F.expr("_g % _n")
+    period = F.expr("1 + (_n - _g % _n) div (3 + _g % 8)")
+    planted = (
+        docs.withColumn("_g", F.when(hashed % 10 == 0, F.floor(hashed / 10)))
+        .withColumn("_n", F.when(F.col("_g").isNotNull(), n))
+        .withColumn("repeat", F.when(F.col("_n") > 0, F.struct(first.alias("first"), period.alias("period"))))
+    )
+    found = runs.repetitions(planted.select("doc_id", "text", "repeat"), repeat="repeat")
+    none = F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>")
+    better = lambda a, r: a.isNull() | (r["length"] * a["period"] > a["length"] * r["period"])
+    # Runs come by start, then period: the first of equals stays.
+    found = found.withColumn("best", F.aggregate("runs", none, lambda a, r: F.when(better(a, r), r).otherwise(a)))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[c].cast("string") for c in ("start", "length", "period"))), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -122,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_warc": op9_warc,
     "op10_pack": op10_pack,
+    "op11_runs": op11_runs,
     "op13_bpe": op13_bpe,
 }
 
