@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrow.llm import bpe, clauses, darts, hypervectors, kneser_ney, mixing, neighbours, packing, runs, search, subwords, warc
+from tallyrow.llm import bpe, clauses, darts, hypervectors, kneser_ney, mixing, neighbours, packing, phrases, runs, search, subwords, warc
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -126,6 +126,10 @@ def op11_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -151,6 +155,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_pack": op10_pack,
     "op11_runs": op11_runs,
+    "op12_collocations": op12_collocations,
     "op13_bpe": op13_bpe,
 }
 
@@ -229,4 +234,36 @@ OP9_SQL = """
     from kept
 """
 
-ORACLES: dict[str, str] = {"op3_mix": OP3_SQL, "op9_warc": OP9_SQL}
+OP12_SQL = """
+    with texts as (
+      select coalesce(lang, 'und') as lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+      from documents
+    ),
+    pieces as (select lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) as piece from texts),
+    lists as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as words from pieces),
+    spots as (select lang, words, unnest(range(1, len(words) + 1)) as i from lists),
+    grams as (select lang, k, array_to_string(words[i:i + k - 1], ' ') as phrase
+      from spots, range(1, 6) t(k) where i + k - 1 <= len(words)),
+    f as (select lang, k, phrase, count(*)::bigint as f from grams group by all),
+    totals as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+    often as (select lang, k, phrase, f as a, string_split(phrase, ' ') as words from f where k > 1 and f >= 100),
+    cuts as (select lang, phrase, a, k, words, j, array_to_string(words[1:j], ' ') as head, array_to_string(words[j + 1:], ' ') as rest
+      from often, range(1, 5) t(j) where j < k),
+    scored as (
+      select c.lang, c.phrase, c.a, x.f as l, y.f as r, n, j, (1000::hugeint * a * n // (x.f::hugeint * y.f))::bigint as score
+      from cuts c join f x on x.lang = c.lang and x.phrase = c.head join f y on y.lang = c.lang and y.phrase = c.rest
+      join totals t on t.lang = c.lang
+    ),
+    weakest as (select *, row_number() over (partition by lang, phrase order by score, j) as turn from scored),
+    inner_ as (select distinct s.lang, array_to_string(s.words[i:i + m - 1], ' ') as phrase, s.a
+      from often s, range(2, 5) t(m), range(1, 5) u(i) where m < k and i + m - 1 <= k),
+    longer as (select lang, phrase, max(a) as most from inner_ group by all),
+    ranked as (
+      select w.lang, w.phrase, a, l, r, n, score, row_number() over (partition by w.lang order by score desc, a desc, w.phrase) as rank
+      from weakest w left join longer g on g.lang = w.lang and g.phrase = w.phrase
+      where turn = 1 and (most is null or 100 * most < 100 * a)
+    )
+    select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+"""
+
+ORACLES: dict[str, str] = {"op3_mix": OP3_SQL, "op9_warc": OP9_SQL, "op12_collocations": OP12_SQL}
