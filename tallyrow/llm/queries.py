@@ -240,11 +240,20 @@ OP12_SQL = """
       from documents
     ),
     pieces as (select lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) as piece from texts),
-    lists as (select lang, regexp_extract_all(piece, '[^\\x20\\x09]+') as words from pieces),
-    spots as (select lang, words, unnest(range(1, len(words) + 1)) as i from lists),
-    grams as (select lang, k, array_to_string(words[i:i + k - 1], ' ') as phrase
-      from spots, range(1, 6) t(k) where i + k - 1 <= len(words)),
-    f as (select lang, k, phrase, count(*)::bigint as f from grams group by all),
+    lists as (select lang, row_number() over () as id, regexp_extract_all(piece, '[^\\x20\\x09]+') as words from pieces),
+    spots as (select lang, id, unnest(words) as w1, generate_subscripts(words, 1) as i from lists),
+    rows_ as materialized (
+      select lang, w1, w1 || ' ' || lead(w1, 1) over p as w2, lead(w1, 2) over p as w3, lead(w1, 3) over p as w4, lead(w1, 4) over p as w5
+      from spots window p as (partition by id order by i)
+    ),
+    grams as (
+      select lang, 1 as k, w1 as phrase from rows_
+      union all select lang, 2, w2 from rows_ where w2 is not null
+      union all select lang, 3, w2 || ' ' || w3 from rows_ where w3 is not null
+      union all select lang, 4, w2 || ' ' || w3 || ' ' || w4 from rows_ where w4 is not null
+      union all select lang, 5, w2 || ' ' || w3 || ' ' || w4 || ' ' || w5 from rows_ where w5 is not null
+    ),
+    f as materialized (select lang, k, phrase, count(*)::bigint as f from grams group by all),
     totals as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
     often as (select lang, k, phrase, f as a, string_split(phrase, ' ') as words from f where k > 1 and f >= 100),
     cuts as (select lang, phrase, a, k, words, j, array_to_string(words[1:j], ' ') as head, array_to_string(words[j + 1:], ' ') as rest
