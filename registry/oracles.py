@@ -182,6 +182,8 @@ ORACLES: dict[str, str] = {
         ("pos",),
     ),
     "jsonl_roundtrip": _query("SELECT * FROM pairs", ("pairs",)),
+    "read_keyless": _query("SELECT instruction, input, output FROM ins", ("ins",)),
+    "export_ordered": _query("SELECT ordinal, instruction, input, output FROM pos", ("pos",)),
     "write_counts": _query(
         """
         SELECT sink, n * factor AS rows

@@ -13,7 +13,7 @@ from tallyrow.plans.files import FILES, write_files
 from tallyrow.plans.preference import completion_logprobs, score_pairs
 from tallyrow.plans.rollout import score_groups, score_sequences
 from tallyrow.session import scratch_path, written
-from tallyrow.sources import sinks, tables
+from tallyrow.sources import export, lines, sinks, tables
 from tallyrow.sources.dialogue import KEY, instructions_from_turns
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -125,6 +125,25 @@ def write_counts(spark, sf_dir):
     return spark.createDataFrame(list(counts.items()), "sink string, rows bigint")
 
 
+INSTRUCTION = "instruction string, input string, output string"
+
+
+def read_keyless(spark, sf_dir):
+    """Instructions from files without their key, numbered by the place of their lines, less the numbers."""
+    path = scratch_path(spark, "keyless")
+    sinks.write_jsonl(instructions(spark, sf_dir).select("instruction", "input", "output"), path)
+    rows = lines.read_keyless(spark, path, INSTRUCTION, split_bytes=1 << 16)
+    return with_ordinal(rows, lines.PLACE).select("instruction", "input", "output")
+
+
+def export_ordered(spark, sf_dir):
+    """Instructions written in key order without their key, with the position their files give them."""
+    path = scratch_path(spark, "export")
+    export.export_ordered(stored_instructions(spark, sf_dir), KEY, path, ["instruction", "input", "output"])
+    export.check_export(spark, path)
+    return with_ordinal(export.read_ordered(spark, path, INSTRUCTION), export.ORDER).drop(*export.ORDER)
+
+
 def to_jsonl(spark, sf_dir):
     rows = instructions(spark, sf_dir).withColumn("_line", sinks.json_line("instruction", "input", "output"))
     parsed = F.from_json("_line", "instruction string, input string, output string").alias("_parsed")
@@ -483,6 +502,8 @@ QUERIES: dict[str, Query] = {
     "read_instructions": read_instructions,
     "select_split": select_split,
     "jsonl_roundtrip": jsonl_roundtrip,
+    "read_keyless": read_keyless,
+    "export_ordered": export_ordered,
     "write_counts": write_counts,
     "to_jsonl": to_jsonl,
     "write_modes": write_modes,
