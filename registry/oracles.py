@@ -268,6 +268,44 @@ ORACLES: dict[str, str] = {
                     FROM documents JOIN labels USING (doc_id) WINDOW w AS (PARTITION BY lang, source))
               WHERE best > worst GROUP BY lang, source) p
         JOIN documents c ON c.doc_id = chosen_id JOIN documents r ON r.doc_id = rejected_id""",
+    "pairs_all": """
+        WITH r AS (
+          SELECT doc_id, lang, source, quality, concat('{"lang":"', lang, '","source":"', source, '"}') AS label,
+                 row_number() OVER (PARTITION BY lang, source ORDER BY quality, doc_id) - 1 AS place,
+                 rank() OVER (PARTITION BY lang, source ORDER BY quality) - 1 AS worse
+          FROM documents JOIN labels USING (doc_id)),
+        n AS (
+          SELECT *, coalesce(sum(worse) OVER (PARTITION BY lang, source ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first,
+                 sum(worse) OVER (PARTITION BY lang, source) AS total
+          FROM r),
+        d AS (
+          SELECT g.*, j, j * total // least(total, 4) AS low, (j + 1) * total // least(total, 4) AS high,
+                 ('0x' || substr(md5(concat('42:', label, ':', CAST(j AS VARCHAR))), 1, 15))::bigint AS lot
+          FROM (SELECT DISTINCT lang, source, label, total FROM n) g, range(0, 4) t(j) WHERE j < total)
+        SELECT b.lang, b.source, b.doc_id AS chosen_id, w.doc_id AS rejected_id, c.text AS chosen, t.text AS rejected
+        FROM d JOIN n b ON b.label = d.label AND d.low + d.lot % (d.high - d.low) >= b.first AND d.low + d.lot % (d.high - d.low) < b.first + b.worse
+        JOIN n w ON w.label = d.label AND w.place = d.low + d.lot % (d.high - d.low) - b.first
+        JOIN documents c ON c.doc_id = b.doc_id JOIN documents t ON t.doc_id = w.doc_id""",
+    "contract_violations": f"""
+        WITH r AS (SELECT doc_id, md5(text) AS digest, text, source, quality FROM documents LEFT JOIN labels USING (doc_id))
+        SELECT digest, 'null' AS rule, 'quality' AS field, count(*) AS rows FROM r WHERE quality IS NULL GROUP BY digest
+        UNION ALL SELECT digest, 'null', 'text', count(*) FROM r WHERE text IS NULL GROUP BY digest
+        UNION ALL SELECT digest, 'prompt_prefix', 'text', count(*) FROM r WHERE NOT starts_with(coalesce(text, ''), source) GROUP BY digest
+        UNION ALL SELECT digest, 'empty_completion', 'text', count(*) FROM r
+          WHERE len(regexp_extract_all(CASE WHEN starts_with(coalesce(text, ''), source) THEN substr(text, length(source) + 1) ELSE coalesce(text, '') END, '{WORD}')) = 0
+          GROUP BY digest
+        UNION ALL SELECT digest, 'repeated_key', 'digest', count(*) FROM r GROUP BY digest HAVING count(*) > 1""",
+    "group_report": """
+        SELECT source, rows, n AS of FROM (SELECT source, count(*) AS rows FROM documents GROUP BY source)
+        CROSS JOIN (SELECT count(*) AS n FROM documents) WHERE rows >= CAST(0.03 AS DOUBLE) * n""",
+    "length_percentiles": _query(
+        f"""
+        SELECT field, CAST(percent AS INTEGER) AS percent, CAST(quantile_disc AS BIGINT) AS length
+        FROM ({' UNION ALL '.join(
+            f"SELECT '{c}' AS field, {p} AS percent, quantile_disc(len(regexp_extract_all({c}, '{WORD}')), {p / 100}) AS quantile_disc FROM sft"
+            for c in ("instruction", "output", "text") for p in (50, 90, 99, 100))})""",
+        ("sft",),
+    ),
     "fit_vocab": _query("SELECT tok, id FROM vocab", ("vocab",)),
     "tokenize": _query(
         f"SELECT doc_id, {_joined('ids')} AS input_ids, CAST(len(ids) AS INTEGER) AS n_tokens FROM t",

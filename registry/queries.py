@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrow.functions.ordering import with_ordinal, with_shuffled_position
-from tallyrow.operators import batching, contracts, lm, objectives, preference, reward, rollouts, slices, templates, tokens
+from tallyrow.operators import batching, contracts, lm, objectives, pairing, preference, reports, reward, rollouts, slices, templates, tokens
 from tallyrow.plans.files import FILES, write_files
 from tallyrow.plans.preference import completion_logprobs, score_pairs
 from tallyrow.plans.rollout import score_groups, score_sequences
@@ -24,6 +24,9 @@ GENERATIONS = 4
 N_TRAIN, N_VAL = 150, 50
 # Share of the rows that train where a query splits the whole table.
 TRAIN_PERCENT = 75
+# Pairs drawn from each group of rated documents; the share of all rows that makes a group a large one.
+PAIRS_PER_GROUP = 4
+GROUP_SHARE = 0.03
 # Weights of the reward that the SQL side can compute as well.
 REWARD_WEIGHTS = {"n_words": 0.01, "n_shared": 0.1}
 VALUE_WEIGHTS = {"n_words": 0.005, "n_shared": 0.05}
@@ -176,6 +179,28 @@ def contract_report(spark, sf_dir):
     return contracts.contract_report(preference.reward_pairs(stored_instructions(spark, sf_dir)), PAIR_CONTRACT)
 
 
+RATED_CONTRACT = contracts.Contract.of(
+    "doc_id bigint, digest string, text string, quality int", "digest", prompt="source", after_prompt=("text",), completions=("text",)
+)
+
+
+def contract_violations(spark, sf_dir):
+    """Documents as rated texts: unrated ones, copies, and texts that do not open with their source's name."""
+    docs = table(spark, sf_dir, "documents").withColumn("digest", F.md5("text"))
+    rated = docs.join(table(spark, sf_dir, "labels").select("doc_id", "quality"), "doc_id", "left")
+    found = reports.contract_violations(rated, RATED_CONTRACT)
+    return found.groupBy("digest", "rule", "field").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def group_report(spark, sf_dir):
+    return reports.group_report(table(spark, sf_dir, "documents"), "source", GROUP_SHARE)
+
+
+def length_percentiles(spark, sf_dir):
+    rows = sft(spark, sf_dir)
+    return reports.length_percentiles(rows, ["instruction", "output", "text"], [50, 90, 99, 100])
+
+
 def length_report(spark, sf_dir):
     rows = sft(spark, sf_dir)
     return contracts.length_report(rows, ["instruction", "output", "text"], [32, 256, 512])
@@ -245,9 +270,20 @@ def value_examples(spark, sf_dir):
     return preference.value_examples(instructions(spark, sf_dir))
 
 
+def _rated(spark, sf_dir):
+    """Documents with their grade, without the texts, and the texts."""
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", "lang", "source").join(table(spark, sf_dir, "labels"), "doc_id"), docs.select("doc_id", "text")
+
+
 def pairs_best_worst(spark, sf_dir):
-    rated = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text").join(table(spark, sf_dir, "labels"), "doc_id")
-    return preference.pairs_best_worst(rated, ["lang", "source"], "quality", "doc_id", "text")
+    rated, texts = _rated(spark, sf_dir)
+    return preference.pairs_best_worst(rated, ["lang", "source"], "quality", "doc_id", "text", texts)
+
+
+def pairs_all(spark, sf_dir):
+    rated, texts = _rated(spark, sf_dir)
+    return pairing.pairs_all(rated, ["lang", "source"], "quality", "doc_id", "text", PAIRS_PER_GROUP, SEED, texts)
 
 
 # ---- tokens and batches ----
@@ -508,7 +544,10 @@ QUERIES: dict[str, Query] = {
     "to_jsonl": to_jsonl,
     "write_modes": write_modes,
     "contract_report": contract_report,
+    "contract_violations": contract_violations,
+    "group_report": group_report,
     "length_report": length_report,
+    "length_percentiles": length_percentiles,
     "split_overlap": split_overlap,
     "with_ordinal": ordinal,
     "slice_head": slice_head,
@@ -524,6 +563,7 @@ QUERIES: dict[str, Query] = {
     "reward_pairs": reward_pairs,
     "value_examples": value_examples,
     "pairs_best_worst": pairs_best_worst,
+    "pairs_all": pairs_all,
     "fit_vocab": fit_vocab,
     "tokenize": tokenize,
     "detokenize": detokenize,

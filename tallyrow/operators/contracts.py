@@ -37,6 +37,23 @@ def _own(contract: Contract, name: str) -> Column:
     return F.when(F.startswith(text, prompt), F.substring(text, F.length(prompt) + 1, F.length(text))).otherwise(text)
 
 
+Rule = tuple[str, str, Column]
+
+
+def row_rules(df: DataFrame, contract: Contract) -> list[Rule]:
+    """(rule, field, whether a row breaks it) of the rules that each row keeps or breaks; none for missing columns."""
+    types = dict(df.dtypes)
+    rules: list[Rule] = [("null", name, F.col(name).isNull()) for name in contract.fields if name in types]
+    for name in contract.after_prompt:
+        if {name, contract.prompt} <= types.keys():
+            opens = F.coalesce(F.startswith(F.col(name), F.col(contract.prompt)), F.lit(False))
+            rules.append(("prompt_prefix", name, ~opens))
+    for name in contract.completions:
+        if name in types and (name not in contract.after_prompt or contract.prompt in types):
+            rules.append(("empty_completion", name, F.size(words(_own(contract, name))) == 0))
+    return rules
+
+
 def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     """(rule, field, rows): how many rows break each rule; every rule has a row.
 
@@ -45,19 +62,12 @@ def contract_report(df: DataFrame, contract: Contract) -> DataFrame:
     table, ``repeated_key`` groups the key columns.
     """
     types = dict(df.dtypes)
-    rules: list[tuple[str, str, Column]] = []
+    rules: list[Rule] = []
     for name, kind in contract.fields.items():
         rules.append(("missing", name, F.lit(name not in types)))
         if name in types:
             rules.append(("type", name, F.lit(types[name] != kind)))
-            rules.append(("null", name, F.col(name).isNull()))
-    for name in contract.after_prompt:
-        if {name, contract.prompt} <= types.keys():
-            opens = F.coalesce(F.startswith(F.col(name), F.col(contract.prompt)), F.lit(False))
-            rules.append(("prompt_prefix", name, ~opens))
-    for name in contract.completions:
-        if name in types and (name not in contract.after_prompt or contract.prompt in types):
-            rules.append(("empty_completion", name, F.size(words(_own(contract, name))) == 0))
+    rules += row_rules(df, contract)
     counted = df.agg(*(F.coalesce(F.count_if(broken), F.lit(0)).alias(f"_{i}") for i, (_, _, broken) in enumerate(rules)))
     listed = F.array(*(F.struct(F.lit(r).alias("rule"), F.lit(f).alias("field"), F.col(f"_{i}").alias("rows")) for i, (r, f, _) in enumerate(rules)))
     report = counted.select(F.inline(listed))

@@ -7,8 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallyrow.functions.ordering import check_key
 from tallyrow.functions.text import text_or_empty
 from tallyrow.operators.templates import build_prompt
+from tallyrow.session import written
 
 # The synthetic responses, leading space included where there is one.
 HELPFUL_RESPONSE = " This response is more helpful and complete."
@@ -55,18 +57,27 @@ def value_examples(df: DataFrame, bad: str = REFUSAL, keep_prompt: bool = False)
     return build_prompt(df).select(*kept, F.inline(rows))
 
 
-def pairs_best_worst(rated: DataFrame, group: Sequence[str], score: str, key: str, response: str) -> DataFrame:
+def pairs_best_worst(
+    rated: DataFrame, group: Sequence[str], score: str, key: str, response: str, texts: DataFrame | None = None
+) -> DataFrame:
     """(group, chosen_id, rejected_id, chosen, rejected): of each group's rated responses the best against the worst.
 
     Ties go to the smaller key. Groups whose scores are all equal give no pair;
-    unrated rows do not count. One aggregation finds the ids, which then fetch
-    their texts: no group is gathered.
+    unrated rows do not count. Null or repeated keys are refused. One aggregation over
+    narrow rows finds the ids, which then fetch their texts from ``texts`` (key, response;
+    ``rated`` unless given): no group is gathered.
     """
-    known = rated.where(F.col(score).isNotNull())
+    known = written(rated.where(F.col(score).isNotNull()).select(*group, score, key), "rated")
+    check_key(known, key)
     ends = known.groupBy(*group).agg(
         F.max(F.struct(F.col(score).alias("_score"), (-F.col(key)).alias("_id"))).alias("_best"),
         F.min(F.struct(F.col(score).alias("_score"), F.col(key).alias("_id"))).alias("_worst"),
     )
     pairs = ends.where("_best._score > _worst._score").select(*group, (-F.col("_best._id")).alias("chosen_id"), F.col("_worst._id").alias("rejected_id"))
-    texts = lambda side: rated.select(F.col(key).alias(f"{side}_id"), F.coalesce(response, F.lit("")).alias(side))
-    return pairs.join(texts("chosen"), "chosen_id").join(texts("rejected"), "rejected_id").select(*group, "chosen_id", "rejected_id", "chosen", "rejected")
+    return fetched(pairs, texts if texts is not None else rated, key, response).select(*group, "chosen_id", "rejected_id", "chosen", "rejected")
+
+
+def fetched(pairs: DataFrame, texts: DataFrame, key: str, response: str) -> DataFrame:
+    """``pairs`` of chosen_id and rejected_id with the two texts; a null text is empty."""
+    side = lambda name: texts.select(F.col(key).alias(f"{name}_id"), F.coalesce(response, F.lit("")).alias(name))
+    return pairs.join(side("chosen"), "chosen_id").join(side("rejected"), "rejected_id")

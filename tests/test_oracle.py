@@ -9,7 +9,7 @@ from registry.queries import QUERIES
 
 ROWS_ONLY = {"reward_fit", "reward_scores", "value_fit", "value_scores"}
 
-# The user's reward function; lines read by byte range.
+# The user's reward function; lines read by byte range; sketches of a task's rows.
 PYTHON = {"reward_callback", "read_keyless", "export_ordered"}
 
 
