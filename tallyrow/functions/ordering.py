@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key, at_or_after, before, key_columns, key_digest
@@ -31,24 +31,51 @@ def _partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
+def _nothing(names: Sequence[str]) -> Column:
+    """Whether any part of a key is null."""
+    return F.greatest(*(F.col(n).isNull() for n in names)) if len(names) > 1 else F.col(names[0]).isNull()
+
+
+def _refuse(names: Sequence[str], nulls: int, again: int) -> None:
+    if nulls or again:
+        raise ValueError(f"key ({', '.join(names)}): {nulls} rows without one, {again} rows that repeat one")
+
+
 def check_key(df: DataFrame, key: Key) -> DataFrame:
     """``df`` if every row has a key of its own without a null; else ValueError.
 
     Rows are counted per key with a combine before the shuffle; key columns alone travel.
     """
     names = key_columns(key)
-    nothing = F.greatest(*(F.col(n).isNull() for n in names)) if len(names) > 1 else F.col(names[0]).isNull()
+    nothing = _nothing(names)
     found = (
         df.groupBy(*names)
         .agg(F.count(F.lit(1)).alias("_n"))
         .agg(F.sum(F.when(nothing, F.col("_n")).otherwise(0)).alias("nulls"), F.sum(F.when(nothing, 0).otherwise(F.col("_n") - 1)).alias("again"))
         .first()
     )
-    if found["nulls"] or found["again"]:
-        raise ValueError(f"key ({', '.join(names)}): {found['nulls']} rows without one, {found['again']} rows that repeat one")
+    _refuse(names, found["nulls"], found["again"])
     return df
 
 
+def head_end(df: DataFrame, key: Key, rows: int) -> tuple[Any, ...] | None:
+    """The key that follows the first ``rows`` in key order (None: there are no more), checked without a shuffle of the keys.
+
+    Null keys are counted in the scan. Of repeated ones those matter that stand in the head; it
+    holds them all, as every task sends its own first rows.
+    """
+    names = key_columns(key)
+    keys = df.select(*names)
+    nulls = keys.agg(F.count_if(_nothing(names))).first()[0]
+    along = Window.orderBy(*names)  # at most ``rows`` + 1 rows
+    head = keys.orderBy(*names).limit(rows + 1).select(
+        F.struct(*names).alias("_key"), F.row_number().over(along).alias("_at"), (F.lag(F.struct(*names)).over(along) == F.struct(*names)).alias("_same")
+    )
+    found = head.agg(F.count_if("_same").alias("again"), F.max(F.when(F.col("_at") == rows + 1, F.col("_key"))).alias("end")).first()
+    _refuse(names, nulls, found["again"])
+    return None if found["end"] is None else tuple(found["end"])
+
+
 def _key_ranges(keys: DataFrame, names: list[str], parts: int) -> list[tuple[int, tuple]]:
     """(row count, smallest key) of each range partition, in key order: one row per partition."""
     ranges = (
@@ -149,9 +176,15 @@ def with_shuffled_position(
     The digest of a unique key is uniform, so its leading digits cut the rows
     into even buckets whatever the data looks like; ``per`` values (an epoch)
     each get their own sequence. Rows are shuffled once, by bucket.
+
+    Null or repeated keys are refused where they are met: the first action on the result fails.
     """
     names, groups = key_columns(key), list(per)
-    hashed = df.withColumn("_digest", key_digest(seed, [*groups, *names])).withColumn(
+    listed = ", ".join(names)
+    without = F.raise_error(F.lit(f"key ({listed}): a row without one")).cast("boolean")
+    again = F.raise_error(F.lit(f"key ({listed}): a row that repeats one")).cast("boolean")
+    keyed = df.where(F.when(_nothing(names), without).otherwise(F.lit(True)))
+    hashed = keyed.withColumn("_digest", key_digest(seed, [*groups, *names])).withColumn(
         "_bucket", F.substring("_digest", 1, bucket_digits)
     )
     # At most 16**bucket_digits rows per group.
@@ -162,7 +195,9 @@ def with_shuffled_position(
         .select(*groups, "_bucket", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     )
     inside = Window.partitionBy(*groups, "_bucket").orderBy("_digest", *names)
-    ranked = hashed.withColumn("_rank", F.row_number().over(inside) - 1)
+    same = F.lag(F.struct(*names)).over(inside) == F.struct(*names)
+    ranked = hashed.withColumn("_rank", F.row_number().over(inside) - 1).withColumn("_same", same)
+    ranked = ranked.where(F.when(F.col("_same"), again).otherwise(F.lit(True)))
     return ranked.join(starts, [*groups, "_bucket"]).select(
         *df.columns, (F.col("_start") + F.col("_rank")).cast("long").alias(name)
     )

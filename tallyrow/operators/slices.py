@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key, at_or_after, before
-from tallyrow.functions.ordering import DIRECT_LIMIT, check_key, keys_at
+from tallyrow.functions.ordering import DIRECT_LIMIT, check_key, head_end, keys_at
 from tallyrow.sources.tables import SPLIT_COLUMN, select_split
 
 _BOUND = r"(\d+%?)?"
@@ -30,10 +30,15 @@ def slice_rows(
     """Rows at positions [start, stop) of the key order.
 
     Bounds past the end are clamped; ``strict`` raises instead. Null or repeated
-    keys raise ValueError: no position is theirs.
+    keys raise ValueError: no position is theirs. A short head (``start`` 0, at most
+    ``direct_limit`` rows) is checked as far as it goes, without a shuffle of the keys; repeated
+    keys after it do not move it.
     """
     if start < 0 or (stop is not None and stop < 0):
         raise ValueError("slice bounds must not be negative")
+    if not start and not strict and stop and stop <= direct_limit:
+        end = head_end(df, key, stop)
+        return df if end is None else df.where(before(key, end))
     check_key(df, key)
     wanted = [start] if start else []
     if stop is not None:

@@ -3,7 +3,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tallyrow.functions.ordering import keys_at, with_ordinal, with_shuffled_position
-from tallyrow.operators import slices
+from tallyrow.operators import batching, slices
 from tallyrow.operators.slices import slice_rows, slice_spec, train_val_split
 from tallyrow.sources.tables import read_instructions, select_split
 
@@ -169,3 +169,34 @@ def test_split_by_share_keeps_every_row(spark):
     df = spark.range(0, 11).toDF("k")
     got = {r.k: r.split for r in slices.split_by_share(df, "k", 75).collect()}
     assert got == {i: "train" if i < 8 else "validation" for i in range(11)}
+
+
+def test_a_head_shuffles_no_key(spark, tmp_path):
+    """Only each task's first keys leave it: the plan of the one job over keys has no hash exchange."""
+    spark.range(3000).selectExpr("id as k", "id % 7 as v").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    assert sorted(r.k for r in slices.slice_rows(df, "k", 0, 5).collect()) == list(range(5))
+    assert slices.slice_rows(df, "k", 0, 5000).count() == 3000
+    head = df.select("k").orderBy("k").limit(6)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in head and "Exchange" not in head
+
+
+def test_a_head_is_checked_as_far_as_it_goes(spark):
+    rows = lambda keys: spark.createDataFrame([(a, b) for a, b in keys], "a long, b long").repartition(3)
+    with pytest.raises(ValueError, match="1 rows that repeat"):
+        slices.slice_rows(rows([(1, 1), (1, 1), (2, 1)]), ["a", "b"], 0, 1)
+    with pytest.raises(ValueError, match="1 rows without"):
+        slices.slice_rows(rows([(1, 1), (2, 1), (9, None)]), ["a", "b"], 0, 1)
+    late = rows([(1, 1), (2, 1), (3, 1), (3, 1)])
+    assert [tuple(r) for r in slices.slice_rows(late, ["a", "b"], 0, 1).collect()] == [(1, 1)]
+    with pytest.raises(ValueError, match="repeat"):
+        slices.slice_rows(late, ["a", "b"], 0, 2, strict=True)
+    assert slices.slice_rows(late.limit(0), ["a", "b"], 0, 3).collect() == []
+
+
+@pytest.mark.parametrize(("keys", "said"), [([1, 2, 2, 3], "repeats one"), ([1, None], "without one"), ([None, None], "without one")])
+def test_batches_refuse_null_and_repeated_keys(spark, keys, said):
+    df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(2)
+    for epochs in (1, 3):
+        with pytest.raises(Exception, match=said):
+            batching.assign_batches(df, "k", epochs, 2).collect()

@@ -122,3 +122,17 @@ def test_instructions_need_an_answer_in_the_next_turn(spark):
         (2, 0, "q3", "", "a3"),
         (3, 1, "q6", "", ""),
     ]
+
+
+@pytest.mark.parametrize("again", [(1, 1, "user", "other"), (1, 2, "assistant", "other"), (1, 2, "assistant", "a1")])
+def test_repeated_turns_are_refused(spark, again):
+    """Two questions or answers at one turn have no one pair; no text is chosen in silence."""
+    turns = [(1, 1, "user", "q1"), (1, 2, "assistant", "a1"), (2, 1, "user", "q2"), (2, 2, "assistant", "a2"), again]
+    with pytest.raises(Exception, match="more than once: conversation 1, turn 1"):
+        instructions_from_turns(spark.createDataFrame(turns, TURNS)).collect()
+
+
+def test_turns_without_a_place_are_left_out(spark):
+    turns = [(None, 1, "user", "q"), (None, 2, "assistant", "a"), (1, None, "user", "q"), (1, None, "assistant", "a"), (1, 1, "user", "q1"), (1, 2, "assistant", None)]
+    rows = instructions_from_turns(spark.createDataFrame(turns, TURNS)).collect()
+    assert [tuple(r) for r in rows] == [(1, 1, "q1", "", "")]
