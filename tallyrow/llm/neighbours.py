@@ -8,21 +8,21 @@ holds a null or non-finite component links with nothing. Equal vectors of a labe
    projections, several times over; a cell's points are compared with each other.
 2. Descent: a point's neighbours, and a bounded random draw of the points that have
    it as neighbour, meet and are compared with each other (neighbours of neighbours).
-   Each keeps its best; rounds follow until few lists change. Points whose whole list
-   is over the threshold are saturated: their lists are enlarged and rounds go on. Those
-   still saturated at ``WIDEST`` times the length are compared with their whole label
-   in blocks, so none of their links is lost.
+   Each keeps its best; rounds follow until a round brings few links. Points whose whole
+   list is over the threshold are saturated: their lists are enlarged, up to ``WIDEST`` times,
+   and they and their neighbours meet again.
 3. Every comparison also hands on threshold edges: a forest over those points that
    met and are alike, so that a class larger than a list stays connected.
-4. Audit: of points drawn from each label, all links are counted by brute force; more
-   are drawn until ``AUDIT_POINTS`` with links are held or the label is drawn whole.
-   While fewer than ``audit`` of a label's points with links have all of them, its
-   lists are enlarged, up to ``WIDEST`` times, and the descent goes on with as many
-   rounds again; if that does not do, the rest of the label is compared in blocks too.
-   What the audit finds counts, so a label drawn whole is exact.
-5. Components of the verified threshold edges; within each, links are counted in
-   blocks (the list that an enlarged list would end at), in double precision. Counts,
-   not pairs, leave a task. Copies count with their number.
+4. Components of the threshold edges, verified in double precision. A component with points still saturated
+   may hide links to others behind its own. By the triangle inequality only points within its reach and the threshold's
+   angle of one of its points can link with it; these alone are compared with its points, in blocks.
+5. Within each component links are counted in blocks (the list that an enlarged list would
+   end at), in double precision. Counts, not pairs, leave a task. Copies count with their number.
+6. Audit: up to ``AUDIT`` points drawn from each label are compared with their whole label. ``recall`` is
+   the share of their links that steps 1 to 5 found; what the audit sees is not added to the result.
+   Labels below ``RECALL`` have their lists enlarged and descend again; one that stays below it at the
+   widest lists is compared whole. ``recall`` stays the figure measured before. Where none of the
+   drawn points has a link there is nothing to measure, and ``recall`` is null.
 
 Vectors in cells and lists are single precision; a link counts by the cosine of
 the stored components in double precision. Vectors of other dimensions than the
@@ -33,10 +33,11 @@ Null vec_ids get no row; rows that repeat a vec_id count once, by the smallest v
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrow.llm.components import components
@@ -48,9 +49,8 @@ LEAST = 0.98
 LIST = 8
 # Points of a cell, about, and how often cells are cut.
 CELL, CUTS = 64, 8
-# Points with links that the audit holds of each label (no fault among them: at 95 % no
-# more than one in a thousand), and the share whose links must all be found.
-AUDIT_POINTS, AUDIT_SHARE = 3_000, 0.999
+# Points of a label that the audit compares with the whole label, and the share of their links that must be found.
+AUDIT, RECALL = 512, 0.95
 # Rounds for each length of the lists, and up to how many times ``keep`` lists grow.
 ROUNDS, WIDEST = 12, 4
 # Points of a block in the exact count.
@@ -215,13 +215,11 @@ def _met(dealt: DataFrame, keep: int, least: float) -> DataFrame:
     return dealt.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(_compare(keep, least), _EDGES)
 
 
-def _lists(edges: DataFrame, keep: DataFrame | int) -> DataFrame:
-    """(u, v, cosine, place): each point's best distinct neighbours; ``keep`` may differ by point."""
-    best = edges.groupBy("u", "v").agg(F.max("cosine").alias("cosine"))
-    ranked = best.withColumn("place", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("cosine"), "v")))
-    if isinstance(keep, int):
-        return ranked.where(F.col("place") <= keep)
-    return ranked.join(keep, "u", "left").where(F.col("place") <= F.coalesce("keep", F.lit(LIST))).drop("keep")
+def _lists(edges: DataFrame, keep: DataFrame) -> DataFrame:
+    """(u, v, cosine, old): each point's best distinct neighbours, ``old`` those that were listed before."""
+    best = edges.groupBy("u", "v").agg(F.max("cosine").alias("cosine"), F.max("old").alias("old"))
+    ranked = best.withColumn("_place", F.row_number().over(Window.partitionBy("u").orderBy(F.desc("cosine"), "v")))
+    return ranked.join(keep, "u").where(F.col("_place") <= F.col("keep")).select("u", "v", "cosine", "old")
 
 
 def _enlarged(kept: DataFrame, narrow: DataFrame) -> DataFrame:
@@ -230,18 +228,20 @@ def _enlarged(kept: DataFrame, narrow: DataFrame) -> DataFrame:
     return written(more.select("u", F.when(F.col("_more"), F.col("keep") * 2).otherwise(F.col("keep")).alias("keep")), "nn-keep")
 
 
-def _descend(lists: DataFrame, table: DataFrame, keep: DataFrame, longest: int, least: float, turn: int) -> DataFrame:
-    """One round: edges that a meeting of each point's neighbours brings forth."""
+def _descend(lists: DataFrame, table: DataFrame, keep: DataFrame, longest: int, least: float, turn: int, only: DataFrame | None = None) -> DataFrame:
+    """One round: edges that a meeting of each point's neighbours (of the points ``only``, if given) brings forth."""
     forward = lists.select(F.col("u").alias("cell"), F.col("v").alias("u"))
     draw = Window.partitionBy("v").orderBy(F.xxhash64("u", F.lit(turn)))
     backward = lists.select("u", "v").withColumn("_draw", F.row_number().over(draw)).where(F.col("_draw") <= longest).select(F.col("v").alias("cell"), "u")
-    selves = table.select(F.col("u").alias("cell"), "u")
-    bounds = lists.join(keep, "u", "left").groupBy("u").agg(
-        F.when(F.count(F.lit(1)) >= F.coalesce(F.first("keep"), F.lit(LIST)), F.min("cosine")).otherwise(F.lit(-2.0)).cast("float").alias("bound")
+    selves = lists.select(F.col("u").alias("cell"), "u")
+    bounds = lists.join(keep, "u").groupBy("u").agg(
+        F.when(F.count(F.lit(1)) >= F.first("keep"), F.min("cosine")).otherwise(F.lit(-2.0)).cast("float").alias("bound")
     )
-    known = written(table.select("u", "unit").join(bounds, "u", "left").select("u", "unit", F.coalesce("bound", F.lit(-2.0).cast("float")).alias("bound")), "nn-known")
-    meeting = forward.union(backward).union(selves).distinct().join(known, "u")
-    return _met(meeting.select("u", "unit", "cell", "bound"), longest, least)
+    known = table.select("u", "unit").join(bounds, "u", "left").select("u", "unit", F.coalesce("bound", F.lit(-2.0).cast("float")).alias("bound"))
+    met = forward.union(backward).union(selves)
+    if only is not None:
+        met = met.join(only.select(F.col("u").alias("cell")), "cell", "left_semi")
+    return _met(met.distinct().join(known, "u").select("u", "unit", "cell", "bound"), longest, least)
 
 
 def _verified(edges: DataFrame, table: DataFrame, least: float) -> DataFrame:
@@ -327,12 +327,10 @@ def _forest(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(a), np.concatenate(b)
 
 
-def compared(asked: DataFrame, table: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
-    """(u, v, links): the points of ``asked`` compared with all points of their label.
+def _blocks_met(asked: DataFrame, table: DataFrame, own: tuple[str, ...], run, schema: str, block: int = BLOCK) -> DataFrame:
+    """``run`` over cells in which a block of ``asked`` (asks = 1) meets a block of the ``table`` of the same side (asks = 0).
 
-    Rows without v tell with how many vectors of some of the label's blocks u links, copies
-    counted; the others are links, a forest of each two blocks, so all links of the
-    points asked for join the same points. Every two blocks meet in a task.
+    ``own`` names further columns of ``asked``; the table's rows have nulls there. Every two blocks of a side meet in a task.
     """
     count = F.count(F.lit(1))
     blocks = F.greatest(F.ceil(count / WIDE), F.least(F.lit(4), F.ceil(count / block))).cast("int")
@@ -340,9 +338,23 @@ def compared(asked: DataFrame, table: DataFrame, least: float, block: int = BLOC
     sized = written(sized, "nn-sizes")
 
     def spread(points: DataFrame, asks: int, mine: str, other: str) -> DataFrame:
-        inside = points.select("u", "side", "size", "unit").join(sized, "side").withColumn(mine, F.pmod(F.xxhash64("u"), F.col(mine)).cast("int"))
+        inside = points.join(sized, "side").withColumn(mine, F.pmod(F.xxhash64("u"), F.col(mine)).cast("int"))
         each = inside.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other) - 1)))
-        return each.select("u", "size", "unit", F.lit(asks).alias("asks"), F.xxhash64("side", "_a", "_b").alias("cell"))
+        more = [F.col(c) if asks else F.lit(None).cast(asked.schema[c].dataType).alias(c) for c in own]
+        return each.select("u", "size", "unit", F.lit(asks).alias("asks"), F.xxhash64("side", "_a", "_b").alias("cell"), *more)
+
+    parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = spread(asked, 1, "_a", "_b").union(spread(table, 0, "_b", "_a"))
+    return written(met.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(run, schema), "nn-compared")
+
+
+def compared(asked: DataFrame, table: DataFrame, least: float, block: int = BLOCK) -> DataFrame:
+    """(u, v, links): the points of ``asked`` compared with all points of their side.
+
+    Rows without v tell with how many vectors of some of the side's blocks u links, copies
+    counted; the others are links, a forest of each two blocks, so all links of the
+    points asked for join the same points.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]):
         for _, group in grouped(batches, "cell"):
@@ -362,126 +374,142 @@ def compared(asked: DataFrame, table: DataFrame, least: float, block: int = BLOC
             yield pa.RecordBatch.from_arrays([pa.array(ids[a]), pa.nulls(len(a), pa.int64()), pa.array(links)], names=["u", "v", "links"])
             yield pa.RecordBatch.from_arrays([pa.array(ids[a][u]), pa.array(ids[b][v]), pa.nulls(len(u), pa.int64())], names=["u", "v", "links"])
 
-    parts = int(table.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    met = spread(asked, 1, "_a", "_b").union(spread(table, 0, "_b", "_a"))
-    return written(met.repartition(parts, "cell").sortWithinPartitions("cell").mapInArrow(run, "u bigint, v bigint, links bigint"), "nn-compared")
+    return _blocks_met(asked, table, (), run, "u bigint, v bigint, links bigint", block)
 
 
-def _linked(compared: DataFrame) -> DataFrame:
-    """The links (a, b) among the rows of ``compared``."""
-    return compared.where("v is not null").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+def bridges(table: DataFrame, comps: DataFrame, full: DataFrame, least: float) -> DataFrame | None:
+    """Links (a, b) that join the components of the points ``full`` with whatever else links with them; None if there are none.
+
+    A component's pivot is its first point, its reach the largest angle from there to another of its points.
+    """
+    named = comps.withColumnRenamed("node", "u")
+    dense = written(named.join(full.select("u"), "u").select("component").distinct(), "nn-dense")
+    if dense.isEmpty():
+        return None
+    members = written(table.join(named.join(dense, "component"), "u"), "nn-members")
+    pivots = members.where("u = component").select("component", F.col("unit").alias("pivot"))
+
+    def angles(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            pairs = zip(batch.column("unit").to_pylist(), batch.column("pivot").to_pylist())
+            cosines = [float(np.frombuffer(x, "<f8") @ np.frombuffer(y, "<f8")) for x, y in pairs]
+            yield pa.RecordBatch.from_arrays([batch.column("component"), pa.array(np.arccos(np.clip(cosines, -1, 1)), pa.float64())], names=["component", "angle"])
 
+    spans = members.select("component", "unit").join(pivots, "component").mapInArrow(angles, "component bigint, angle double")
+    reach = spans.groupBy("component").agg(F.max("angle").alias("reach"))
+    asking = members.where("u = component").join(reach, "component").select(*table.columns, "reach")
+    angle = float(np.arccos(least)) + 1e-6
 
-def _place() -> Column:
-    """Where a point stands in the audit's draw, from 0 to 1."""
-    return F.pmod(F.xxhash64("u", F.lit("audit")), F.lit(1 << 31)) / F.lit(1 << 31)
+    def within(batches: Iterator[pa.RecordBatch]):
+        for _, group in grouped(batches, "cell"):
+            ids, asks = np.asarray(group.column("u")), np.asarray(group.column("asks"))
+            x = _matrix(group.column("unit"), "<f8")
+            a, b = np.flatnonzero(asks == 1), np.flatnonzero(asks == 0)
+            most = np.array([group.column("reach")[int(i)].as_py() for i in a]) + angle
+            for i, limit in zip(a, most):
+                near = b[np.arccos(np.clip(x[b] @ x[i], -1, 1)) <= limit]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(near), ids[i])), pa.array(ids[near])], names=["component", "u"])
 
+    found = _blocks_met(asking, table, ("reach",), within, "component bigint, u bigint")
+    others = found.join(named.withColumnRenamed("component", "_own"), "u", "left").where("_own is null or _own <> component").select("u", "component")
+    others = written(others.join(table, "u").select("u", F.col("component").alias("side"), "size", "unit"), "nn-others")
+    if others.isEmpty():
+        return None
+    return _linked(compared(others, members.select("u", F.col("component").alias("side"), "size", "unit"), least))
 
-def audited(table: DataFrame, least: float, n: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(true links of drawn points, the share drawn of each label, links met) by brute force.
 
-    Of each label so many points are drawn that ``n`` with links are held, or all.
-    """
-    count = F.count(F.lit(1))
-    shares = written(table.groupBy("side").agg(F.when(count > 2 * n, n / count).otherwise(1.0).alias("share"), F.lit(0.0).alias("before")), "nn-shares")
-    met = None
-    while True:
-        asked = table.join(shares.where("share > before"), "side").where((_place() >= F.col("before")) & (_place() < F.col("share")))
-        more = compared(asked.select(*table.columns), table, least)
-        met = more if met is None else met.union(more)
-        true = met.where("v is null").groupBy("u").agg(F.sum("links").alias("there")).join(table.select("u", "side"), "u")
-        true = written(true, "nn-true")
-        held = true.where("there > 0").groupBy("side").agg(count.alias("_held"))
-        wider = F.when(F.col("share") < 0.125, 4 * F.col("share")).otherwise(1.0)
-        few = F.coalesce("_held", F.lit(0)) < n
-        shares = shares.join(held, "side", "left").select("side", F.when(few, wider).otherwise(F.col("share")).alias("share"), F.col("share").alias("before"))
-        shares = written(shares, "nn-shares")
-        if not shares.where("share > before").limit(1).count():
-            return true, shares.select("side", "share"), _linked(met)
-
-
-def judged(true: DataFrame, shares: DataFrame, found: DataFrame) -> DataFrame:
-    """(side, share, held, whole): the drawn points with links of each label, and those of them whose links are all found."""
-    whole = F.sum((F.coalesce("links", F.lit(0)) == F.col("there")).cast("long"))
-    by = true.where("there > 0").join(found, "u", "left").groupBy("side").agg(F.count(F.lit(1)).alias("held"), whole.alias("whole"))
-    return written(by.join(shares, "side"), "nn-judged")
+def _linked(compared: DataFrame) -> DataFrame:
+    """The links (a, b) among the rows of ``compared``."""
+    return compared.where("v is not null").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
+
+
+def audited(table: DataFrame, found: DataFrame, least: float, n: int) -> DataFrame:
+    """(side, there, held): the links of up to about ``n`` points drawn from each label, and how many of them ``found`` counts."""
+    sizes = table.groupBy("side").agg((n / F.count(F.lit(1))).alias("_share"))
+    place = F.pmod(F.xxhash64("u", F.lit("audit")), F.lit(1 << 31)) / F.lit(1 << 31)
+    asked = table.join(sizes, "side").where(place < F.col("_share")).select(*table.columns)
+    true = compared(asked, table, least).where("v is null").groupBy("u").agg(F.sum("links").alias("there")).where("there > 0")
+    both = true.join(found, "u", "left").join(table.select("u", "side"), "u")
+    return written(both.groupBy("side").agg(F.sum("there").alias("there"), F.sum(F.coalesce("links", F.lit(0))).alias("held")), "nn-audit")
 
 
 def near_duplicates(
-    vectors: DataFrame, least: float = LEAST, keep: int = LIST, audit: float = AUDIT_SHARE, rounds: int = ROUNDS, seed: int = 0
+    vectors: DataFrame, least: float = LEAST, keep: int = LIST, recall: float = RECALL, rounds: int = ROUNDS, seed: int = 0
 ) -> DataFrame:
-    """(vec_id, n_links, component_id, kept, recall) of every vector.
+    """(vec_id, n_links, component_id, kept, recall, recall_links) of every vector.
 
-    ``recall`` is the audit's share, the lowest of the labels not compared whole; 1 if all were.
+    ``recall`` is what the audit measured for the vector's label before the label was compared whole, if it was; ``recall_links``
+    the number of links it was measured on.
     """
     members, table = points(vectors)
     single = written(table.mapInArrow(_single(), "u bigint, side bigint, size bigint, unit binary"), "nn-single")
     edges = written(started(single, keep, least, seed=seed), "nn-start")
-    longest = keep
-    kept = written(table.select("u", F.lit(keep).alias("keep")), "nn-keep")
-    lists = written(_lists(edges.where("not made"), kept), "nn-lists")
-    forest = edges.where("made").select("u", "v", "cosine")
-    n, turn, truth, filled, beyond = table.count(), 0, None, None, None
+    kept = table.select("u", F.lit(keep).alias("keep"))
+    listed = lambda rows, old: rows.select("u", "v", "cosine", F.lit(old).alias("old"))
+    lists = written(_lists(listed(edges.where("not made"), False), kept), "nn-lists")
+    forest = [edges.where("made").select("u", "v", "cosine")]
+    near = F.col("cosine") >= least - SLACK
+    longest, turn = keep, 0
+
+    def round_of(lists: DataFrame, only: DataFrame | None = None) -> DataFrame:
+        fresh = written(_descend(lists, single, kept, longest, least, turn, only), "nn-round")
+        forest.append(fresh.where("made").select("u", "v", "cosine"))
+        return written(_lists(listed(lists, True).union(listed(fresh.where("not made"), False)), kept), "nn-lists")
+
     while True:
-        for _ in range(rounds if n > 1 else 0):
+        for _ in range(rounds):
             turn += 1
-            fresh = written(_descend(lists, single, kept, longest, least, turn), "nn-round")
-            forest = forest.union(fresh.where("made").select("u", "v", "cosine"))
-            before = lists
-            lists = written(_lists(before.select("u", "v", "cosine").union(fresh.where("not made").select("u", "v", "cosine")), kept), "nn-lists")
-            changed = lists.join(before.select("u", "v"), ["u", "v"], "left_anti").count()
-            if changed <= 0.01 * n * keep:
+            lists = round_of(lists)
+            new, all_ = lists.agg(F.count_if(near & ~F.col("old")), F.count_if(near)).first()
+            if new <= 0.01 * all_:
+                break
+        # Lists of nothing but links may hide further ones.
+        while True:
+            full = lists.groupBy("u").agg(F.min("cosine").alias("_least")).where(F.col("_least") >= least - SLACK)
+            full = written(full.join(kept, "u").select("u", "keep"), "nn-full")
+            narrow = full.where(F.col("keep") * 2 <= WIDEST * keep).select("u")
+            if narrow.isEmpty():
                 break
-        # Lists of nothing but links may hide further ones, also those not filled yet.
-        full = lists.groupBy("u").agg(F.min("cosine").alias("_least")).where(F.col("_least") >= least - SLACK)
-        full = written(full.join(kept, "u").select("u", "keep"), "nn-full")
-        narrow = full.where(F.col("keep") * 2 <= WIDEST * keep).select("u")
-        if narrow.limit(1).count():
             kept = _enlarged(kept, narrow)
             longest = kept.agg(F.max("keep")).first()[0]
-            continue
-        fresh = full.select("u") if filled is None else full.select("u").join(filled, "u", "left_anti")
-        if fresh.limit(1).count():
-            more = _linked(compared(table.join(fresh, "u").select(*table.columns), table, least))
-            beyond = more if beyond is None else beyond.union(more)
-            filled = full.select("u") if filled is None else filled.union(fresh)
-        links = _verified(lists.select("u", "v", "cosine").union(forest), table, least)
-        links = written(links if beyond is None else links.union(beyond), "nn-verified")
+            turn += 1
+            lists = round_of(lists, narrow)
+        links = _verified(reduce(DataFrame.union, [lists.select("u", "v", "cosine"), *forest]), table, least)
+        links = written(links, "nn-verified")
         comps = written(components(links), "nn-components")
+        more = bridges(table, comps, full, least)
+        if more is not None and not more.isEmpty():
+            comps = written(components(links.union(more)), "nn-components")
         found = written(counted_links(table, comps, least), "nn-links")
-        true, shares, met = truth = truth or audited(table, least, AUDIT_POINTS)
-        verdict = judged(true, shares, found)
-        failed = verdict.where((F.col("share") < 1) & (F.col("whole") < audit * F.col("held")))
-        mend = verdict.where("whole < held").limit(1).count()
-        if not failed.limit(1).count():
+        audit = audited(table, found, least, AUDIT)
+        failed = audit.where(F.col("held") < recall * F.col("there")).select("side")
+        if failed.isEmpty():
             break
-        again = table.join(failed.select("side"), "side")
+        again = written(table.join(failed, "side").select(*table.columns), "nn-again")
         narrow = again.join(kept.where(F.col("keep") * 2 <= WIDEST * keep), "u").select("u")
-        if not narrow.limit(1).count():
-            rest = again.join(shares, "side").where(_place() >= F.col("share")).select(*table.columns)
-            met = met.union(_linked(compared(rest, table, least)))
+        if narrow.isEmpty():
+            # The widest lists do not do: compared whole.
+            whole = _linked(compared(again, again, least))
+            comps = written(components(whole.union(links) if more is None else whole.union(links).union(more)), "nn-components")
+            found = written(counted_links(table, comps, least), "nn-links")
             break
         kept = _enlarged(kept, narrow)
         longest = kept.agg(F.max("keep")).first()[0]
-    if mend:
-        comps = written(components(links.union(met)), "nn-components")
-        found = written(counted_links(table, comps, least), "nn-links")
-    passed = verdict.where((F.col("share") < 1) & (F.col("whole") >= audit * F.col("held")))
-    recall = passed.agg(F.min(F.col("whole") / F.col("held"))).first()[0]
-    recall = 1.0 if recall is None else recall
     facts = written(
-        table.select("u", "size")
+        table.select("u", "size", "side")
+        .join(audit.select("side", (F.col("held") / F.col("there")).alias("recall"), F.col("there").alias("recall_links")), "side", "left")
         .join(found, "u", "left")
         .join(comps.withColumnRenamed("node", "u"), "u", "left")
-        .select("u", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "u").alias("component_id")),
+        .select("u", (F.coalesce("links", F.lit(0)) + F.col("size") - 1).alias("n_links"), F.coalesce("component", "u").alias("component_id"), "recall", "recall_links"),
         "nn-facts",
     )
     ids = vectors.where("vec_id is not null").select(F.col("vec_id").cast("long").alias("vec_id")).distinct()
-    of_vector = members.join(facts, "u").select("vec_id", "n_links", "component_id")
+    of_vector = members.join(facts, "u").select("vec_id", "n_links", "component_id", "recall", "recall_links")
     return ids.join(of_vector, "vec_id", "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "vec_id").alias("component_id"),
         (F.coalesce("component_id", "vec_id") == F.col("vec_id")).alias("kept"),
-        F.lit(recall).alias("recall"),
+        "recall",
+        "recall_links",
     )

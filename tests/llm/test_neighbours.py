@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from tallyrow.llm import neighbours
+from tallyrow.llm.queries import op7_near_vectors
 
 
 def brute(rows, least=0.98):
@@ -55,7 +56,8 @@ def test_links_equal_all_pairs_compared(spark, seed, block, monkeypatch):
     got = neighbours.near_duplicates(table).collect()
     assert len(got) == len(rows)
     assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute(rows)
-    assert got[0]["recall"] == 1.0
+    measured = {r["recall"] for r in got if r["recall"] is not None}
+    assert measured == {1.0} and max(r["recall_links"] or 0 for r in got) > 1000
 
 
 @pytest.mark.parametrize("rounds", [0, 1])
@@ -64,14 +66,13 @@ def test_links_are_whole_without_enough_rounds(spark, rounds, monkeypatch):
     monkeypatch.setattr(neighbours.started, "__defaults__", (1, 3, 0))
     rows = vectors(2)
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    got = neighbours.near_duplicates(table, keep=2, rounds=rounds).collect()
+    got = neighbours.near_duplicates(table, keep=2, rounds=rounds, recall=1.0).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute(rows)
 
 
 def test_full_lists_hide_no_bridge(spark, monkeypatch):
-    """Two dense groups with one link between them, which no full list holds; the audit passes anything."""
+    """Two dense groups with one link between them, which no full list holds; the audit passes anything (recall 0)."""
     monkeypatch.setattr(neighbours.started, "__defaults__", (1, 8, 0))
-    monkeypatch.setattr(neighbours, "AUDIT_POINTS", 2)
     random = np.random.default_rng(3)
     angle = np.arccos(0.98)
     rows = []
@@ -83,22 +84,59 @@ def test_full_lists_hide_no_bridge(spark, monkeypatch):
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     want = brute(rows)
     assert {c for _, c, _ in want.values()} == {0} and want[0][0] == 60
-    got = neighbours.near_duplicates(table, audit=0.0, keep=4).collect()
+    got = neighbours.near_duplicates(table, recall=0.0, keep=4).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == want
 
 
-def test_audit_draws_on_and_judges_each_label(spark, monkeypatch):
-    """A few pairs among many single points, beside a label of one large group: no pair may be lost."""
-    monkeypatch.setattr(neighbours.started, "__defaults__", (1, 2, 0))
-    monkeypatch.setattr(neighbours, "AUDIT_POINTS", 40)
+def nothing(spark):
+    return lambda *_, **__: spark.createDataFrame([], neighbours._EDGES)
+
+
+def test_recall_is_measured_before_anything_is_compared_whole(spark, monkeypatch):
+    """Without start and descent the audit finds nothing, says so, and the labels are compared whole."""
+    rows = vectors(4)
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    monkeypatch.setattr(neighbours, "started", nothing(spark))
+    monkeypatch.setattr(neighbours, "_descend", nothing(spark))
+    got = neighbours.near_duplicates(table).collect()
+    assert {r["recall"] for r in got if r["recall_links"]} == {0.0}
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute(rows)
+
+
+def test_labels_are_not_compared_whole(spark, monkeypatch):
+    """A label of one large group beside one of few pairs: only the audit's draw meets its label, and both are found."""
+    monkeypatch.setattr(neighbours, "AUDIT", 60)
+    asked, keep = [], neighbours.compared
+
+    def watched(points, table, least):
+        asked.append((points.count(), table.count()))
+        return keep(points, table, least)
+
+    monkeypatch.setattr(neighbours, "compared", watched)
     random = np.random.default_rng(5)
     centre = random.normal(size=24)
     rows = [(i, (centre + random.normal(size=24) * 0.05).tolist(), 0) for i in range(300)]
-    for i in range(1000, 1800):
-        rows.append((i, random.normal(size=24).tolist(), 1))
+    rows += [(i, random.normal(size=24).tolist(), 1) for i in range(1000, 1800)]
     rows += [(1800 + k, (np.array(rows[300 + 7 * k][1]) + random.normal(size=24) * 0.02).tolist(), 1) for k in range(20)]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    got = neighbours.near_duplicates(table, rounds=0).collect()
+    got = neighbours.near_duplicates(table).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute(rows)
+    assert len(asked) == 1 and 60 < asked[0][0] < 200 and asked[0][1] == 1120
+    assert all(r["recall"] == 1.0 and r["recall_links"] > 10_000 for r in got if r["vec_id"] < 300)
+
+
+def test_a_label_without_near_pairs_has_no_recall(spark, monkeypatch):
+    random = np.random.default_rng(6)
+    monkeypatch.setattr(neighbours, "AUDIT", 50)
+    rows = [(i, random.normal(size=32).tolist(), 0) for i in range(600)]
+    got = neighbours.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()
+    assert {(r["n_links"], r["recall"], r["recall_links"]) for r in got} == {(0, None, None)} and all(r["kept"] for r in got)
+
+
+def test_query_equals_all_pairs_compared(spark, tmp_path):
+    rows = vectors(7)
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = op7_near_vectors(spark, str(tmp_path)).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute(rows)
 
 
