@@ -520,11 +520,16 @@ ORACLES: dict[str, str] = {
     "model_facts": _query(
         """
         SELECT fact, n * factor AS rows, CAST(0 AS DOUBLE) AS error FROM (SELECT count(*) AS n FROM ins)
-        CROSS JOIN (VALUES ('reward of nothing', 1), ('mean value less mean label', 2)) f(fact, factor)""",
+        CROSS JOIN (VALUES ('reward of nothing', 1), ('mean value less mean label', 2), ('slope of the reward loss', 2),
+                           ('slope of the value loss', 2), ('accuracy short of its floor', 1)) f(fact, factor)""",
         ("ins",),
     ),
     "grpo_scores": _query(
         "SELECT prompt_id, count(*) AS n, CAST(0 AS DOUBLE) AS mean_advantage FROM comp GROUP BY prompt_id", ("comp",)
     ),
-    "ppo_scores": _query(f"SELECT {SEQ}, CAST(0 AS DOUBLE) AS gap FROM comp", ("comp",)),
+    "ppo_scores": _query(
+        f"SELECT {SEQ}, round(p.lp - r.lp, 5) + 0.0 AS kl, CAST(0 AS DOUBLE) AS gap FROM pol_lp p JOIN (SELECT {SEQ}, lp FROM ref_lp) r USING ({SEQ})",
+        ("sft", "vocab", "comp"),
+        _two_models({"seq_ids": _ids("comp", SEQ, "completion"), "seq_b": _bigrams("seq_ids", SEQ, LAST_PROMPT_ID)}, SEQ),
+    ),
 }

@@ -507,14 +507,33 @@ def value_scores(spark, sf_dir):
     return reward.score_value(value_model, reward_model, rows).select(*SEQUENCE, "value")
 
 
+# Share of the pairs it was fitted on that a reward model must put in the right order.
+ACCURACY_FLOOR = 0.9
+
+
 def model_facts(spark, sf_dir):
-    """What must hold of any fit: saying nothing earns nothing, and a regression with an intercept is right on average."""
-    value_model, reward_model, examples = _value_model(spark, sf_dir)
-    nothing = instructions(spark, sf_dir).select(F.lit("").alias("prompt"), F.lit("").alias("completion"))
-    silent = reward.score_reward(reward_model, nothing).agg(F.count(F.lit(1)).alias("rows"), (F.round(F.max(F.abs("reward")), 9) + 0.0).alias("error"))
+    """What must hold of a fit: the slope of both losses is 0 at the fitted weights (no other weights fit better), saying
+    nothing earns nothing, a regression with an intercept is right on average, and most pairs come out in order."""
+    rows = stored_instructions(spark, sf_dir)
+    pairs, apart = (preference.reward_pairs(rows, include_prompt=opened) for opened in (True, False))
+    reward_model = reward.fit_reward(pairs)
+    examples = written(preference.value_examples(rows, keep_prompt=True), "examples")
+    value_model = reward.fit_value(examples, reward_model)
+    nothing = rows.select(F.lit("").alias("prompt"), F.lit("").alias("completion"))
+    silent = reward.score_reward(reward_model, nothing).agg(F.count(F.lit(1)), F.max(F.abs("reward"))).first()
     values = reward.score_value(value_model, reward_model, examples)
-    mean = values.agg(F.count(F.lit(1)).alias("rows"), F.round(F.abs(F.avg(F.col("value") - F.col("label"))), 6).alias("error"))
-    return silent.select(F.lit("reward of nothing").alias("fact"), "*").union(mean.select(F.lit("mean value less mean label"), "*"))
+    mean = values.agg(F.count(F.lit(1)), F.abs(F.avg(F.col("value") - F.col("label")))).first()
+    for side in ("chosen", "rejected"):
+        apart = reward.score_reward(reward_model, apart, completion=side, name=f"{side}_score")
+    order = reward.preference_metrics(apart).first()
+    facts = [
+        ("reward of nothing", *silent),
+        ("mean value less mean label", *mean),
+        ("slope of the reward loss", *reward.reward_slope(reward_model, pairs)),
+        ("slope of the value loss", *reward.value_slope(value_model, reward_model, examples)),
+        ("accuracy short of its floor", order["pairs"], max(0.0, ACCURACY_FLOOR - (order["accuracy"] or 0.0))),
+    ]
+    return spark.createDataFrame([(name, n, round(float(error or 0.0), 4) + 0.0) for name, n, error in facts], "fact string, rows bigint, error double")
 
 
 def grpo_scores(spark, sf_dir):
@@ -525,13 +544,13 @@ def grpo_scores(spark, sf_dir):
 
 
 def ppo_scores(spark, sf_dir):
-    """Every completion scored with fitted models: how far its advantage is from penalised reward less value."""
+    """Every completion scored with fitted models: its penalty, and how far its advantage is from penalised reward less value."""
     value_model, reward_model, _ = _value_model(spark, sf_dir)
     vocab, policy, reference = language_models(spark, sf_dir)
     prompts, given = completions(spark, sf_dir)
     scored = score_sequences(prompts, given, reward_model, value_model, vocab, policy, reference)
     gap = F.col("raw_reward") - 0.05 * F.col("kl") - F.col("value") - F.col("advantage")
-    return scored.select(*SEQUENCE, F.round(F.abs(gap), 9).alias("gap"))
+    return scored.select(*SEQUENCE, F.round("kl", 5).alias("kl"), F.round(F.abs(gap), 9).alias("gap"))
 
 
 QUERIES: dict[str, Query] = {

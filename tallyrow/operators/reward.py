@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
+import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -86,6 +88,19 @@ def fit_reward(
     intercept, each pair once in either order. By that symmetry the optimum
     gives the two sides opposite weights, so the model is a difference of scores.
     """
+    rows = _pair_rows(pairs)
+    stages_a, inputs_a = _side_stages("a", buckets)
+    stages_b, inputs_b = _side_stages("b", buckets)
+    assembler = VectorAssembler(inputCols=inputs_a + inputs_b, outputCol="features")
+    regression = LogisticRegression(
+        featuresCol="features", labelCol="label", fitIntercept=False, regParam=reg, maxIter=max_iter, standardization=False, tol=1e-9
+    )
+    model = Pipeline(stages=[*stages_a, *stages_b, assembler, regression]).fit(rows)
+    return _saved(model, path or scratch_path(pairs.sparkSession, "reward-model"))
+
+
+def _pair_rows(pairs: DataFrame) -> DataFrame:
+    """Both sides' features of each pair in either order, with the label that the first is the chosen one."""
     prompt = F.col("prompt")
     split = pairs.select(
         words(prompt).alias("_asked"),
@@ -98,17 +113,40 @@ def fit_reward(
         F.struct(chosen.alias("a"), rejected.alias("b"), F.lit(1.0).alias("label")),
         F.struct(rejected.alias("a"), chosen.alias("b"), F.lit(0.0).alias("label")),
     )
-    rows = split.select(F.inline(both_orders)).select(
-        *_unpack("a", F.col("a")), *_unpack("b", F.col("b")), "label"
-    )
-    stages_a, inputs_a = _side_stages("a", buckets)
-    stages_b, inputs_b = _side_stages("b", buckets)
-    assembler = VectorAssembler(inputCols=inputs_a + inputs_b, outputCol="features")
-    regression = LogisticRegression(
-        featuresCol="features", labelCol="label", fitIntercept=False, regParam=reg, maxIter=max_iter
-    )
-    model = Pipeline(stages=[*stages_a, *stages_b, assembler, regression]).fit(rows)
-    return _saved(model, path or scratch_path(pairs.sparkSession, "reward-model"))
+    return split.select(F.inline(both_orders)).select(*_unpack("a", F.col("a")), *_unpack("b", F.col("b")), "label")
+
+
+def _slope(scored: DataFrame, error: Column, weights: Sequence[float], reg: float, standardized: bool) -> tuple[int, float]:
+    """(rows, largest entry) of the penalised loss's gradient: mean of error times features, plus the penalty's share.
+
+    Positive and negative errors are summed apart, as weights of a summary: a few vectors reach the driver.
+    ``standardized`` penalties weigh each feature by its variance.
+    """
+    if scored.isEmpty():
+        return 0, 0.0
+    parts = {s: F.greatest(F.lit(0.0), F.lit(float(s)) * error) for s in (1, -1)}
+    found = scored.agg(
+        F.count(F.lit(1)).alias("n"),
+        Summarizer.variance(F.col("features")).alias("variance"),
+        *(Summarizer.sum(F.col("features"), part).alias(f"side{s}") for s, part in parts.items()),
+    ).first()
+    n = found["n"]
+    up, down = found["side1"].toArray(), found["side-1"].toArray()
+    scale = found["variance"].toArray() * (n - 1) / n if standardized else 1.0
+    return n, float(np.abs((up - down) / n + reg * scale * np.asarray(weights)).max())
+
+
+def reward_slope(model: PipelineModel, pairs: DataFrame, reg: float = 0.01) -> tuple[int, float]:
+    """(rows, largest entry of the gradient) of the reward fit's loss at the fitted weights: at its minimum every entry is 0."""
+    scored = model.transform(_pair_rows(pairs)).withColumn("_p", vector_to_array("probability")[1])
+    return _slope(scored, F.col("_p") - F.col("label"), model.stages[-1].coefficients.toArray(), reg, False)
+
+
+def value_slope(model: PipelineModel, reward_model: PipelineModel, examples: DataFrame, reg: float = 0.01) -> tuple[int, float]:
+    """The same of the value regression, whose penalty MLlib divides by the deviation of the labels."""
+    scored = model.transform(_value_rows(examples, reward_model))
+    reg /= scored.agg(F.stddev_pop("label")).first()[0] or 1.0
+    return _slope(scored, F.col("prediction") - F.col("label"), model.stages[-1].coefficients.toArray(), reg, True)
 
 
 def score_reward(

@@ -231,3 +231,19 @@ def test_reward_callback_loads_once_per_task(spark, tmp_path):
     rows = rollouts.score_with(df, load).collect()
     assert len(rows) == 2000 and all(r.reward == len(r.prompt) - len(r.completion) for r in rows)
     assert len(list(tmp_path.iterdir())) == 2
+
+
+def test_slopes_are_nothing_at_the_fit_and_something_elsewhere(spark):
+    """A model that was not fitted on these pairs does not pass."""
+    rows = [(f"word{i} ask {i % 5}", f"good answer {i % 7} of word{i}", f"no idea {i % 3}") for i in range(60)]
+    pairs = spark.createDataFrame(rows, "prompt string, chosen string, rejected string").cache()
+    swapped = pairs.selectExpr("prompt", "if(prompt like '%3', chosen, rejected) as chosen", "if(prompt like '%3', rejected, chosen) as rejected")
+    model, other = reward.fit_reward(pairs), reward.fit_reward(swapped)
+    n, slope = reward.reward_slope(model, pairs)
+    assert n == 120 and slope < 1e-5 < 1e-2 < reward.reward_slope(other, pairs)[1]
+    both = "stack(2, prompt, concat(prompt, chosen), 1.0D, prompt, concat(prompt, rejected), 0.0D) as (prompt, text, label)"
+    examples = pairs.selectExpr(both)
+    value = reward.fit_value(examples, model)
+    assert reward.value_slope(value, model, examples)[1] < 1e-4
+    assert reward.value_slope(value, model, examples.selectExpr("prompt", "text", "1 - label as label"))[1] > 1e-2
+    assert reward.reward_slope(model, pairs.limit(0)) == (0, 0.0)
