@@ -423,6 +423,25 @@ ORACLES: dict[str, str] = {
             {"seq_ids": _ids("comp", SEQ, "completion"), "seq_b": _bigrams("seq_ids", SEQ, LAST_PROMPT_ID)}, SEQ
         ),
     ),
+    "token_returns": _query(
+        f"""
+        SELECT {SEQ}, CAST(pos - 1 AS INTEGER) AS pos, round(kl, 4) + 0.0 AS kl, round(paid, 4) + 0.0 AS token_reward,
+               round(sum(paid) OVER (PARTITION BY {SEQ} ORDER BY pos DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) + 0.0 AS token_return
+        FROM (SELECT {SEQ}, pos, kl, CAST(-0.05 AS DOUBLE) * kl + CASE WHEN pos = max(pos) OVER (PARTITION BY {SEQ}) THEN reward ELSE 0 END AS paid
+              FROM (SELECT p.prompt_id, p.gen_id, p.pos, p.lp - r.lp AS kl FROM pol_t p JOIN ref_t r USING ({SEQ}, pos)) JOIN scored USING ({SEQ}))""",
+        ("sft", "vocab", "scored"),
+        {
+            **_two_models({"seq_ids": _ids("comp", SEQ, "completion"), "seq_b": _bigrams("seq_ids", SEQ, LAST_PROMPT_ID)}, SEQ),
+            "seq_p": f"SELECT {SEQ}, pos, coalesce(lag(id) OVER (PARTITION BY {SEQ} ORDER BY pos), {LAST_PROMPT_ID}) AS prev, id AS next FROM seq_ids",
+            **{
+                f"{model}_t": f"""
+                SELECT {SEQ}, pos, round(ln((coalesce(n, 0) + CAST(0.1 AS DOUBLE)) / (coalesce(c, 0) + CAST(0.1 AS DOUBLE) * v.size)), 9) AS lp
+                FROM seq_p b LEFT JOIN {model} k ON k.prev = b.prev AND k.next = b.next LEFT JOIN {model}_c x ON x.prev = b.prev
+                CROSS JOIN (SELECT count(*) + 2 AS size FROM vocab) v"""
+                for model in ("pol", "ref")
+            },
+        },
+    ),
     "bigram_fit": _query(
         "SELECT prev, next, n FROM bi",
         ("vocab",),

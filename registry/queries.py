@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrow.functions.ordering import with_ordinal, with_shuffled_position
-from tallyrow.operators import batching, contracts, lm, objectives, pairing, preference, reports, reward, rollouts, slices, templates, tokens
+from tallyrow.operators import batching, contracts, lm, objectives, pairing, per_token, preference, reports, reward, rollouts, slices, templates, tokens
 from tallyrow.plans.files import FILES, write_files
-from tallyrow.plans.preference import completion_logprobs, score_pairs
+from tallyrow.plans.preference import completion_logprobs, completion_token_logprobs, score_pairs
 from tallyrow.plans.rollout import score_groups, score_sequences
 from tallyrow.session import scratch_path, written
 from tallyrow.sources import export, lines, sinks, tables
@@ -399,6 +399,19 @@ def kl_reward(spark, sf_dir):
     return rows.select(*SEQUENCE, "n_tokens", *(F.round(c, 5).alias(c) for c in ("reward", "kl", "kl_reward")))
 
 
+def token_returns(spark, sf_dir):
+    """One row per token of every completion: its penalty, its reward and what it and the tokens after it earn."""
+    vocab, policy, reference = language_models(spark, sf_dir)
+    scored = scored_completions(spark, sf_dir, "prompt", "completion")
+    aligned = completion_token_logprobs(scored, SEQUENCE, vocab, policy, reference)
+    rows = per_token.token_rewards(scored.select(*SEQUENCE, "reward").join(aligned, list(SEQUENCE)))
+    rows = rows.withColumn("earned", per_token.returns("rewards"))
+    tokens_ = F.arrays_zip("kl", "rewards", "earned")
+    return rows.select(*SEQUENCE, F.posexplode(tokens_).alias("pos", "_t")).select(
+        *SEQUENCE, "pos", *(F.round(f"_t.{c}", 4).alias(n) for c, n in (("kl", "kl"), ("rewards", "token_reward"), ("earned", "token_return")))
+    )
+
+
 # ---- models ----
 
 
@@ -600,6 +613,7 @@ QUERIES: dict[str, Query] = {
     "group_advantage": group_advantage,
     "value_advantage": value_advantage,
     "kl_reward": kl_reward,
+    "token_returns": token_returns,
     "bigram_fit": bigram_fit,
     "seq_logprob": seq_logprob,
     "lm_eval": lm_eval,

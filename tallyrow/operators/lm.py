@@ -80,7 +80,18 @@ def fit_bigram(
     return BigramModel.load(spark, path)
 
 
-def _merged(tables: Mapping[str, DataFrame], keys: list[str], count: str) -> DataFrame:
+def placed_bigrams(ids: str, first: Column) -> Column:
+    """Array of (pos, prev, next), counted from 0."""
+    return F.transform(_bigrams(ids, first), lambda pair, i: F.struct(i.alias("pos"), pair["prev"].alias("prev"), pair["next"].alias("next")))
+
+
+def token_logprob(name: str, model: BigramModel) -> Column:
+    """The rounded log-probability of a pair, from its joined counts ``n_name`` and ``c_name``."""
+    seen, context = F.coalesce(f"n_{name}", F.lit(0)), F.coalesce(f"c_{name}", F.lit(0))
+    return F.round(F.log((seen + model.add_k) / (context + model.add_k * model.vocab_size)), LOG_DECIMALS)
+
+
+def merged_counts(tables: Mapping[str, DataFrame], keys: list[str], count: str) -> DataFrame:
     """Several models' counts side by side, one ``count_model`` column each."""
     renamed = [t.select(*keys, F.col(count).alias(f"{count}_{name}")) for name, t in tables.items()]
     return reduce(lambda left, right: left.join(right, keys, "full"), renamed)
@@ -111,13 +122,11 @@ def sequence_logprobs(
     """
     names = key_columns(key)
     pairs = df.select(*names, F.inline_outer(_bigrams(ids, F.lit(bos_id) if first is None else first)))
-    bigrams = _merged({name: m.bigrams for name, m in models.items()}, ["prev", "next"], "n")
-    contexts = _merged({name: m.contexts for name, m in models.items()}, ["prev"], "c")
+    bigrams = merged_counts({name: m.bigrams for name, m in models.items()}, ["prev", "next"], "n")
+    contexts = merged_counts({name: m.contexts for name, m in models.items()}, ["prev"], "c")
 
     def total(name: str, model: BigramModel) -> Column:
-        seen, context = F.coalesce(f"n_{name}", F.lit(0)), F.coalesce(f"c_{name}", F.lit(0))
-        odds = (seen + model.add_k) / (context + model.add_k * model.vocab_size)
-        term = F.when(F.col("next").isNotNull(), F.round(F.log(odds), LOG_DECIMALS).cast("decimal(18,9)") * F.col("_times").cast("decimal(18,0)"))
+        term = F.when(F.col("next").isNotNull(), token_logprob(name, model).cast("decimal(18,9)") * F.col("_times").cast("decimal(18,0)"))
         return F.coalesce(F.sum(term).cast("double"), F.lit(0.0)).alias(f"{name}_logprob")
 
     pair = ["prev", "next"]

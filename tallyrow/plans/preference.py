@@ -9,6 +9,7 @@ from tallyrow.functions.keys import Key, key_columns
 from tallyrow.functions.text import WORD_PATTERN
 from tallyrow.operators.lm import BigramModel, sequence_logprobs
 from tallyrow.operators.objectives import dpo_terms
+from tallyrow.operators.per_token import token_logprobs
 from tallyrow.operators.tokens import Vocabulary, tokenize
 from tallyrow.session import written
 from tallyrow.sources.tables import spread
@@ -16,15 +17,29 @@ from tallyrow.sources.tables import spread
 SIDES = ("chosen", "rejected")
 
 
-def completion_logprobs(
-    rows: DataFrame, key: Key, vocab: Vocabulary, policy: BigramModel, reference: BigramModel, completion: str = "completion"
-) -> DataFrame:
-    """(key, policy_logprob, reference_logprob, n_tokens) of each completion, read on from its prompt's last token."""
+def completion_ids(rows: DataFrame, key: Key, vocab: Vocabulary, completion: str = "completion") -> DataFrame:
+    """(key, input_ids, _first) of each completion, stored; ``_first`` is its prompt's last token."""
     last = rows.withColumn("_last", F.regexp_extract(F.coalesce("prompt", F.lit("")), f"({WORD_PATTERN})[ \\n\\t\\r]*$", 1))
     ids = tokenize(tokenize(last, vocab, completion), vocab, "_last", name="_last_id").select(
         *key_columns(key), "input_ids", F.coalesce(F.get("_last_id", F.lit(0)), F.lit(vocab.specials.eos)).alias("_first")
     )
-    return sequence_logprobs(spread(written(ids, "completion-ids")), {"policy": policy, "reference": reference}, key, first=F.col("_first"))
+    return spread(written(ids, "completion-ids"))
+
+
+def completion_logprobs(
+    rows: DataFrame, key: Key, vocab: Vocabulary, policy: BigramModel, reference: BigramModel, completion: str = "completion"
+) -> DataFrame:
+    """(key, policy_logprob, reference_logprob, n_tokens) of each completion, read on from its prompt's last token."""
+    ids = completion_ids(rows, key, vocab, completion)
+    return sequence_logprobs(ids, {"policy": policy, "reference": reference}, key, first=F.col("_first"))
+
+
+def completion_token_logprobs(
+    rows: DataFrame, key: Key, vocab: Vocabulary, policy: BigramModel, reference: BigramModel, completion: str = "completion"
+) -> DataFrame:
+    """(key, policy_logprobs, reference_logprobs): the same token by token."""
+    ids = completion_ids(rows, key, vocab, completion)
+    return token_logprobs(ids, {"policy": policy, "reference": reference}, key, first=F.col("_first"))
 
 
 def score_pairs(
