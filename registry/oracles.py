@@ -518,6 +518,37 @@ ORACLES: dict[str, str] = {
             FROM prm"""
         },
     ),
+    "metric_intervals": _query(
+        """
+        SELECT e.metric, rows, round(estimate, 6) AS estimate, round(low, 6) AS low, round(high, 6) AS high
+        FROM (SELECT metric, count(*) AS rows, avg(v) AS estimate FROM m GROUP BY metric) e
+        JOIN (SELECT metric, max(CASE WHEN place = 2 THEN v END) AS low, max(CASE WHEN place = 38 THEN v END) AS high FROM ranked GROUP BY metric) i
+          ON i.metric = e.metric""",
+        ("prm",),
+        {
+            "w": f"""
+            SELECT conv_id, turn, regexp_extract_all(prompt, '{WORD}') AS pw, regexp_extract_all(output, '{WORD}') AS cw,
+                   regexp_extract_all('I don''t know, figure it out yourself.', '{WORD}') AS rw
+            FROM prm""",
+            "s": """
+            SELECT conv_id, turn,
+                   (CAST(0.01 AS DOUBLE) * len(cw) + CAST(0.1 AS DOUBLE) * len(list_intersect(list_distinct(pw), list_distinct(cw))))
+                   - (CAST(0.01 AS DOUBLE) * len(rw) + CAST(0.1 AS DOUBLE) * len(list_intersect(list_distinct(pw), list_distinct(rw)))) AS d
+            FROM w""",
+            "m": """
+            SELECT conv_id, turn, 'margin' AS metric, d AS v FROM s
+            UNION ALL SELECT conv_id, turn, 'accuracy', CASE WHEN d > 0 THEN CAST(1 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END FROM s""",
+            # Weights of mean 1: how many of a Poisson count's steps a number of 16 bits has passed.
+            "weighed": """
+            SELECT metric, v, b * 8 + i AS replicate, (u >= 24109)::INT + (u >= 48218)::INT + (u >= 60273)::INT + (u >= 64291)::INT
+                   + (u >= 65296)::INT + (u >= 65497)::INT + (u >= 65530)::INT AS k
+            FROM (SELECT metric, v, b, i, ('0x' || substr(md5(concat('42:', conv_id, ':', turn, ':', b)), 4 * i + 1, 4))::INT AS u
+                  FROM m, range(0, 5) t(b), range(0, 8) r(i))""",
+            "ranked": """
+            SELECT metric, v, row_number() OVER (PARTITION BY metric ORDER BY v, replicate) AS place
+            FROM (SELECT metric, replicate, sum(k * v) / sum(k) AS v FROM weighed GROUP BY metric, replicate)""",
+        },
+    ),
     "value_metrics": _query(
         """
         SELECT count(*) AS rows, round(avg((v - label) * (v - label)), 6) AS mse

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrow.functions.ordering import with_ordinal, with_shuffled_position
-from tallyrow.operators import batching, contracts, lm, objectives, pairing, per_token, preference, reports, reward, rollouts, slices, templates, tokens
+from tallyrow.operators import batching, contracts, intervals, lm, objectives, pairing, per_token, preference, reports, reward, rollouts, slices, templates, tokens
 from tallyrow.plans.files import FILES, write_files
 from tallyrow.plans.preference import completion_logprobs, completion_token_logprobs, score_pairs
 from tallyrow.plans.rollout import score_groups, score_sequences
@@ -447,15 +447,33 @@ def dpo_metrics(spark, sf_dir):
     return metrics.select("pairs", *(F.round(c, 6).alias(c) for c in ("loss", "margin", "accuracy")))
 
 
-def preference_metrics(spark, sf_dir):
+def _scored_pairs(spark, sf_dir):
+    """Pairs with a linear score of either side."""
     pairs = preference.reward_pairs(instructions(spark, sf_dir), include_prompt=False)
     for side in ("chosen", "rejected"):
         featured = reward.response_features(pairs, "prompt", side)
         pairs = reward.linear_score(featured, REWARD_WEIGHTS, f"{side}_score").drop("n_words", "n_shared")
-    metrics = reward.preference_metrics(pairs)
+    return pairs
+
+
+def preference_metrics(spark, sf_dir):
+    metrics = reward.preference_metrics(_scored_pairs(spark, sf_dir))
     return metrics.select("pairs", F.round("accuracy", 6).alias("accuracy"), F.round("margin", 6).alias("margin"))
 
 
+# Replicates of a bootstrap.
+REPLICATES = 40
+
+
+def metric_intervals(spark, sf_dir):
+    """Accuracy and margin of the scored pairs with 90 percent intervals."""
+    pairs = written(_scored_pairs(spark, sf_dir).select(*KEY, "chosen_score", "rejected_score"), "scored-pairs")
+    margin = F.col("chosen_score") - F.col("rejected_score")
+    metrics = {"accuracy": ((margin > 0).cast("int"), F.lit(1)), "margin": (margin, F.lit(1))}
+    found = intervals.ratio_intervals(pairs, KEY, metrics, REPLICATES, 0.9, SEED)
+    return found.select("metric", "rows", *(F.round(c, 6).alias(c) for c in ("estimate", "low", "high")))
+
+
 def value_metrics(spark, sf_dir):
     rows = preference.value_examples(instructions(spark, sf_dir), keep_prompt=True)
     featured = reward.response_features(rollouts.strip_prompt(rows), "prompt", "response")
@@ -619,6 +637,7 @@ QUERIES: dict[str, Query] = {
     "lm_eval": lm_eval,
     "dpo_metrics": dpo_metrics,
     "preference_metrics": preference_metrics,
+    "metric_intervals": metric_intervals,
     "value_metrics": value_metrics,
     "reward_fit": reward_fit,
     "reward_scores": reward_scores,
