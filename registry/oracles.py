@@ -232,6 +232,18 @@ ORACLES: dict[str, str] = {
         FROM (SELECT md5(output) IN (SELECT md5(output) FROM pos WHERE ordinal < {N_TRAIN}) AS known FROM pos WHERE ordinal >= {N_TRAIN})""",
         ("pos",),
     ),
+    "passage_overlap": _query(
+        f"""
+        SELECT {KEY}, greatest(len(w) - 3, 0) AS passages, coalesce(shared, 0) AS shared
+        FROM p LEFT JOIN (SELECT {KEY}, count(*) AS shared FROM g
+                          WHERE ordinal >= {N_TRAIN} AND gram IN (SELECT gram FROM g WHERE ordinal < {N_TRAIN}) GROUP BY {KEY}) USING ({KEY})
+        WHERE ordinal >= {N_TRAIN}""",
+        ("pos",),
+        {
+            "p": f"SELECT {KEY}, ordinal, regexp_extract_all(output, '{WORD}') AS w FROM pos",
+            "g": f"SELECT {KEY}, ordinal, array_to_string(w[i:i + 3], ' ') AS gram FROM (SELECT *, unnest(range(1, len(w) - 2)) AS i FROM p)",
+        },
+    ),
     "with_ordinal": _query(f"SELECT {KEY}, instruction, ordinal FROM pos", ("pos",)),
     "slice_head": _query(f"SELECT {KEY}, prompt FROM prm ORDER BY {KEY} LIMIT 200", ("prm",)),
     "slice_range": _query("SELECT * EXCLUDE (ordinal) FROM pos WHERE ordinal >= 200 AND ordinal < 400", ("pos",)),

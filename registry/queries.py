@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrow.functions.ordering import with_ordinal, with_shuffled_position
-from tallyrow.operators import batching, contracts, intervals, lm, objectives, pairing, per_token, preference, reports, reward, rollouts, slices, templates, tokens
+from tallyrow.operators import batching, contracts, intervals, leakage, lm, objectives, pairing, per_token, preference, reports, reward, rollouts, slices, templates, tokens
 from tallyrow.plans.files import FILES, write_files
 from tallyrow.plans.preference import completion_logprobs, completion_token_logprobs, score_pairs
 from tallyrow.plans.rollout import score_groups, score_sequences
@@ -24,6 +24,8 @@ GENERATIONS = 4
 N_TRAIN, N_VAL = 150, 50
 # Share of the rows that train where a query splits the whole table.
 TRAIN_PERCENT = 75
+# Words of a passage that training and held-out texts may share.
+PASSAGE_WORDS = 4
 # Pairs drawn from each group of rated documents; the share of all rows that makes a group a large one.
 PAIRS_PER_GROUP = 4
 GROUP_SHARE = 0.03
@@ -56,8 +58,10 @@ def sft(spark: SparkSession, sf_dir: str) -> DataFrame:
     return templates.format_sft(instructions(spark, sf_dir))
 
 
-def vocabulary(spark: SparkSession, sf_dir: str) -> tokens.Vocabulary:
-    return tokens.load_vocab(tokens.fit_vocab(sft(spark, sf_dir), "text", VOCAB_WORDS))
+def vocabulary(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> tokens.Vocabulary:
+    """The vocabulary of the training texts of ``rows``, the instructions unless given (stored ones where they are read again)."""
+    texts = sft(spark, sf_dir) if rows is None else templates.format_sft(rows)
+    return tokens.load_vocab(tokens.fit_vocab(texts, "text", VOCAB_WORDS))
 
 
 def joined(ids: str, name: str | None = None):
@@ -65,14 +69,14 @@ def joined(ids: str, name: str | None = None):
     return F.array_join(F.col(ids).cast("array<string>"), ",").alias(name or ids)
 
 
-def completions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def completions(spark: SparkSession, sf_dir: str, rows: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Prompts and the completions table a generator would have returned.
 
     Prompts stand in a ring in md5 order; generation g of a prompt is the answer
     given g places further on.
     """
-    rows = templates.build_prompt(instructions(spark, sf_dir))
-    ring = written(with_shuffled_position(rows, list(KEY), SEED, name="prompt_id"), "ring")
+    asked = templates.build_prompt(instructions(spark, sf_dir) if rows is None else rows).select(*KEY, "prompt", "output")
+    ring = written(with_shuffled_position(asked, list(KEY), SEED, name="prompt_id"), "ring")
     prompts = ring.select("prompt_id", "prompt")
     count = ring.count()
     wanted = rollouts.fan_out(ring.select("prompt_id"), GENERATIONS)
@@ -84,18 +88,18 @@ def completions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]
     return prompts, given
 
 
-def scored_completions(spark: SparkSession, sf_dir: str, *kept: str) -> DataFrame:
+def scored_completions(spark: SparkSession, sf_dir: str, *kept: str, rows: DataFrame | None = None) -> DataFrame:
     """Sequence key, reward, value and the columns named, stored: every use reads it more than once."""
-    rows = rollouts.attach_completions(*completions(spark, sf_dir))
-    featured = reward.response_features(rows, "prompt", "completion")
+    given = rollouts.attach_completions(*completions(spark, sf_dir, rows))
+    featured = reward.response_features(given, "prompt", "completion")
     scored = reward.linear_score(reward.linear_score(featured, REWARD_WEIGHTS), VALUE_WEIGHTS, "value")
     return written(scored.select(*SEQUENCE, "reward", "value", *kept), "scored")
 
 
-def language_models(spark: SparkSession, sf_dir: str):
-    """(vocabulary, policy model of the training texts, reference model of the documents)."""
-    vocab = vocabulary(spark, sf_dir)
-    policy = lm.fit_bigram(tokens.tokenize(sft(spark, sf_dir), vocab, "text"), vocab.size)
+def language_models(spark: SparkSession, sf_dir: str, rows: DataFrame):
+    """(vocabulary, policy model of the training texts of ``rows``, reference model of the documents)."""
+    vocab = vocabulary(spark, sf_dir, rows)
+    policy = lm.fit_bigram(tokens.tokenize(templates.format_sft(rows), vocab, "text"), vocab.size)
     reference = lm.fit_bigram(tokens.tokenize(documents(spark, sf_dir), vocab, "text"), vocab.size)
     return vocab, policy, reference
 
@@ -212,6 +216,13 @@ def split_overlap(spark, sf_dir):
     return contracts.split_overlap(train, held_out, KEY, "output")
 
 
+def passage_overlap(spark, sf_dir):
+    """Passages of each held-out training text that the training part holds as well."""
+    rows = written(slices.split_by_share(stored_instructions(spark, sf_dir), KEY, TRAIN_PERCENT), "splits")
+    train, held_out = tables.select_split(rows, "train"), tables.select_split(rows, "validation")
+    return leakage.shared_passages(train, held_out, KEY, "output", PASSAGE_WORDS)
+
+
 # ---- slices ----
 
 
@@ -305,13 +316,14 @@ def detokenize(spark, sf_dir):
 
 
 def ppo_tokens(spark, sf_dir):
-    prompts = templates.build_prompt(instructions(spark, sf_dir))
-    ids = tokens.prompt_tokens(prompts, vocabulary(spark, sf_dir), keep=KEY)
+    rows = stored_instructions(spark, sf_dir)
+    ids = tokens.prompt_tokens(templates.build_prompt(rows), vocabulary(spark, sf_dir, rows), keep=KEY)
     return ids.select(*KEY, joined("input_ids"))
 
 
 def value_tokens(spark, sf_dir):
-    ids = tokens.value_tokens(preference.value_examples(instructions(spark, sf_dir)), vocabulary(spark, sf_dir))
+    rows = stored_instructions(spark, sf_dir)
+    ids = tokens.value_tokens(preference.value_examples(rows), vocabulary(spark, sf_dir, rows))
     return ids.select(*KEY, joined("input_ids"), joined("attention_mask"), "labels")
 
 
@@ -326,7 +338,8 @@ def epoch_batches(spark, sf_dir):
 
 
 def pad_batches(spark, sf_dir):
-    ids = tokens.prompt_tokens(templates.build_prompt(instructions(spark, sf_dir)), vocabulary(spark, sf_dir), keep=KEY)
+    rows = stored_instructions(spark, sf_dir)
+    ids = tokens.prompt_tokens(templates.build_prompt(rows), vocabulary(spark, sf_dir, rows), keep=KEY)
     batches = written(batching.assign_batches(ids, KEY, epochs=1, batch_size=4, seed=SEED), "batches")
     padded = batching.pad_batches(batches, "input_ids", "batch_id", KEY, tokens.Specials().pad_id)
     return padded.select(*KEY, "batch_id", joined("input_ids"), joined("attention_mask"))
@@ -356,16 +369,18 @@ def completion_text(spark, sf_dir):
 
 
 def score_inputs(spark, sf_dir):
-    rows = rollouts.completion_text(rollouts.attach_completions(*completions(spark, sf_dir)))
-    ids = tokens.truncate(tokens.tokenize(rows, vocabulary(spark, sf_dir), "text"), "input_ids", 512)
+    rows = stored_instructions(spark, sf_dir)
+    texts = rollouts.completion_text(rollouts.attach_completions(*completions(spark, sf_dir, rows)))
+    ids = tokens.truncate(tokens.tokenize(texts, vocabulary(spark, sf_dir, rows), "text"), "input_ids", 512)
     ids = written(ids.select(*SEQUENCE, "input_ids"), "ids")
     padded = batching.pad_batches(ids, "input_ids", "prompt_id", "gen_id", tokens.Specials().pad_id)
     return padded.select(*SEQUENCE, joined("input_ids"), joined("attention_mask"))
 
 
 def strip_prompt(spark, sf_dir):
-    pairs = preference.reward_pairs(instructions(spark, sf_dir))
-    vocab = vocabulary(spark, sf_dir)
+    rows = stored_instructions(spark, sf_dir)
+    pairs = preference.reward_pairs(rows)
+    vocab = vocabulary(spark, sf_dir, rows)
     ids = tokens.tokenize(rollouts.strip_prompt(pairs, "chosen"), vocab, "chosen")
     ids = tokens.tokenize(ids, vocab, "prompt", name="prompt_ids")
     stripped = rollouts.strip_prompt_ids(ids, "input_ids", "prompt_ids")
@@ -392,8 +407,9 @@ def value_advantage(spark, sf_dir):
 
 
 def kl_reward(spark, sf_dir):
-    vocab, policy, reference = language_models(spark, sf_dir)
-    scored = scored_completions(spark, sf_dir, "prompt", "completion")
+    rows = stored_instructions(spark, sf_dir)
+    vocab, policy, reference = language_models(spark, sf_dir, rows)
+    scored = scored_completions(spark, sf_dir, "prompt", "completion", rows=rows)
     aligned = completion_logprobs(scored, SEQUENCE, vocab, policy, reference)
     rows = objectives.kl_reward(scored.select(*SEQUENCE, "reward").join(aligned, list(SEQUENCE)))
     return rows.select(*SEQUENCE, "n_tokens", *(F.round(c, 5).alias(c) for c in ("reward", "kl", "kl_reward")))
@@ -401,8 +417,9 @@ def kl_reward(spark, sf_dir):
 
 def token_returns(spark, sf_dir):
     """One row per token of every completion: its penalty, its reward and what it and the tokens after it earn."""
-    vocab, policy, reference = language_models(spark, sf_dir)
-    scored = scored_completions(spark, sf_dir, "prompt", "completion")
+    rows = stored_instructions(spark, sf_dir)
+    vocab, policy, reference = language_models(spark, sf_dir, rows)
+    scored = scored_completions(spark, sf_dir, "prompt", "completion", rows=rows)
     aligned = completion_token_logprobs(scored, SEQUENCE, vocab, policy, reference)
     rows = per_token.token_rewards(scored.select(*SEQUENCE, "reward").join(aligned, list(SEQUENCE)))
     rows = rows.withColumn("earned", per_token.returns("rewards"))
@@ -422,8 +439,9 @@ def bigram_fit(spark, sf_dir):
 
 
 def seq_logprob(spark, sf_dir):
-    vocab = vocabulary(spark, sf_dir)
-    policy = lm.fit_bigram(tokens.tokenize(sft(spark, sf_dir), vocab, "text"), vocab.size)
+    rows = stored_instructions(spark, sf_dir)
+    vocab = vocabulary(spark, sf_dir, rows)
+    policy = lm.fit_bigram(tokens.tokenize(templates.format_sft(rows), vocab, "text"), vocab.size)
     ids = written(tokens.tokenize(documents(spark, sf_dir), vocab, "text").select("doc_id", "input_ids"), "ids")
     scored = lm.sequence_logprob(ids, policy, "doc_id")
     return scored.select("doc_id", F.round("logprob", 5).alias("logprob"), "n_tokens")
@@ -440,10 +458,10 @@ def lm_eval(spark, sf_dir):
 
 
 def dpo_metrics(spark, sf_dir):
-    vocab, policy, reference = language_models(spark, sf_dir)
-    pairs = preference.reward_pairs(instructions(spark, sf_dir), include_prompt=False)
-    rows = score_pairs(pairs, KEY, vocab, policy, reference)
-    metrics = objectives.dpo_summary(rows)
+    rows = stored_instructions(spark, sf_dir)
+    vocab, policy, reference = language_models(spark, sf_dir, rows)
+    pairs = preference.reward_pairs(rows, include_prompt=False)
+    metrics = objectives.dpo_summary(score_pairs(pairs, KEY, vocab, policy, reference))
     return metrics.select("pairs", *(F.round(c, 6).alias(c) for c in ("loss", "margin", "accuracy")))
 
 
@@ -481,27 +499,29 @@ def value_metrics(spark, sf_dir):
     return metrics.select("rows", F.round("mse", 6).alias("mse"))
 
 
-def _reward_model(spark, sf_dir):
-    return reward.fit_reward(preference.reward_pairs(instructions(spark, sf_dir)))
+def _reward_model(rows):
+    return reward.fit_reward(preference.reward_pairs(rows))
 
 
 def reward_fit(spark, sf_dir):
-    model = _reward_model(spark, sf_dir)
-    pairs = preference.reward_pairs(instructions(spark, sf_dir), include_prompt=False)
+    rows = stored_instructions(spark, sf_dir)
+    model = _reward_model(rows)
+    pairs = preference.reward_pairs(rows, include_prompt=False)
     for side in ("chosen", "rejected"):
         pairs = reward.score_reward(model, pairs, completion=side, name=f"{side}_score")
     return reward.preference_metrics(pairs)
 
 
 def reward_scores(spark, sf_dir):
-    rows = rollouts.attach_completions(*completions(spark, sf_dir))
-    return reward.score_reward(_reward_model(spark, sf_dir), rows).select(*SEQUENCE, "reward")
+    rows = stored_instructions(spark, sf_dir)
+    given = rollouts.attach_completions(*completions(spark, sf_dir, rows))
+    return reward.score_reward(_reward_model(rows), given).select(*SEQUENCE, "reward")
 
 
 def model_roundtrip(spark, sf_dir):
     """How far scores of the saved reward model, vocabulary and language model are from those of the fitted ones."""
     rows = stored_instructions(spark, sf_dir)
-    answers = written(rollouts.attach_completions(*completions(spark, sf_dir)), "rollouts")
+    answers = written(rollouts.attach_completions(*completions(spark, sf_dir, rows)), "rollouts")
     path = scratch_path(spark, "models")
     fitted = reward.fit_reward(preference.reward_pairs(rows), f"{path}/reward")
     texts = written(templates.format_sft(rows), "texts")
@@ -521,21 +541,22 @@ def model_roundtrip(spark, sf_dir):
     return both.select(*SEQUENCE, *(F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")).alias(f"{c}_difference") for c in ("reward", "logprob")))
 
 
-def _value_model(spark, sf_dir):
-    reward_model = _reward_model(spark, sf_dir)
-    examples = preference.value_examples(instructions(spark, sf_dir), keep_prompt=True)
+def _value_model(rows):
+    reward_model = _reward_model(rows)
+    examples = preference.value_examples(rows, keep_prompt=True)
     return reward.fit_value(examples, reward_model), reward_model, examples
 
 
 def value_fit(spark, sf_dir):
-    value_model, reward_model, examples = _value_model(spark, sf_dir)
+    value_model, reward_model, examples = _value_model(stored_instructions(spark, sf_dir))
     return reward.value_metrics(reward.score_value(value_model, reward_model, examples))
 
 
 def value_scores(spark, sf_dir):
-    value_model, reward_model, _ = _value_model(spark, sf_dir)
-    rows = rollouts.completion_text(rollouts.attach_completions(*completions(spark, sf_dir)))
-    return reward.score_value(value_model, reward_model, rows).select(*SEQUENCE, "value")
+    rows = stored_instructions(spark, sf_dir)
+    value_model, reward_model, _ = _value_model(rows)
+    texts = rollouts.completion_text(rollouts.attach_completions(*completions(spark, sf_dir, rows)))
+    return reward.score_value(value_model, reward_model, texts).select(*SEQUENCE, "value")
 
 
 # Share of the pairs it was fitted on that a reward model must put in the right order.
@@ -569,16 +590,18 @@ def model_facts(spark, sf_dir):
 
 def grpo_scores(spark, sf_dir):
     """Fitted rewards of every group: its size and the mean of its advantages, which is 0."""
-    prompts, given = completions(spark, sf_dir)
-    scored = score_groups(prompts, given, _reward_model(spark, sf_dir))
+    rows = stored_instructions(spark, sf_dir)
+    prompts, given = completions(spark, sf_dir, rows)
+    scored = score_groups(prompts, given, _reward_model(rows))
     return scored.groupBy("prompt_id").agg(F.count(F.lit(1)).alias("n"), F.round(F.abs(F.avg("advantage")), 6).alias("mean_advantage"))
 
 
 def ppo_scores(spark, sf_dir):
     """Every completion scored with fitted models: its penalty, and how far its advantage is from penalised reward less value."""
-    value_model, reward_model, _ = _value_model(spark, sf_dir)
-    vocab, policy, reference = language_models(spark, sf_dir)
-    prompts, given = completions(spark, sf_dir)
+    rows = stored_instructions(spark, sf_dir)
+    value_model, reward_model, _ = _value_model(rows)
+    vocab, policy, reference = language_models(spark, sf_dir, rows)
+    prompts, given = completions(spark, sf_dir, rows)
     scored = score_sequences(prompts, given, reward_model, value_model, vocab, policy, reference)
     gap = F.col("raw_reward") - 0.05 * F.col("kl") - F.col("value") - F.col("advantage")
     return scored.select(*SEQUENCE, F.round("kl", 5).alias("kl"), F.round(F.abs(gap), 9).alias("gap"))
@@ -599,6 +622,7 @@ QUERIES: dict[str, Query] = {
     "length_report": length_report,
     "length_percentiles": length_percentiles,
     "split_overlap": split_overlap,
+    "passage_overlap": passage_overlap,
     "with_ordinal": ordinal,
     "slice_head": slice_head,
     "slice_range": slice_range,
