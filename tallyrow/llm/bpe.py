@@ -56,7 +56,7 @@ from pyspark.sql import DataFrame
 from tallyrow.llm.words import blocks
 
 # Words and automaton steps that a worker remembers.
-MOST_WORDS, MOST_STEPS = 1 << 18, 1 << 20
+MOST_WORDS, MOST_STEPS = 1 << 18, 1 << 18
 # Characters of a long text that are normalised and split at a time.
 PIECE = 1 << 18
 
