@@ -79,7 +79,8 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neighbours.near_duplicates(_table(spark, sf_dir, "embeddings"))
+    """Without the measured recall, which SQL cannot know."""
+    return neighbours.near_duplicates(_table(spark, sf_dir, "embeddings")).drop("recall", "recall_links")
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,4 +276,47 @@ OP12_SQL = """
     select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
 """
 
-ORACLES: dict[str, str] = {"op3_mix": OP3_SQL, "op9_warc": OP9_SQL, "op12_collocations": OP12_SQL}
+OP4_SQL = """
+    with recursive docs as (
+      select doc_id, coalesce(text, '') as text, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as low
+      from documents
+    ),
+    texts as (
+      select min(doc_id) as id, text, regexp_extract_all(any_value(low), '[^\\x20\\x09-\\x0D]+') as words from docs group by text
+    ),
+    shingles as materialized (
+      select distinct id, unnest(case when len(words) < 5 then [array_to_string(words, ' ')]
+        else list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) end) as s
+      from texts where len(words) > 0
+    ),
+    sizes as (select id, count(*) as n from shingles group by id),
+    links as materialized (
+      select p.a, p.b from (select x.id as a, y.id as b, count(*) as c from shingles x join shingles y on x.s = y.s and x.id <> y.id group by all) p
+      join sizes m on m.id = p.a join sizes k on k.id = p.b where 5 * c >= 4 * (m.n + k.n - c)
+    ),
+    reach as (select id, id as member from texts union select r.id, l.b from reach r join links l on l.a = r.member),
+    classes as (select id, min(member) as class_id from reach group by id)
+    select doc_id, class_id from docs join texts using (text) join classes using (id)
+"""
+
+OP7_SQL = """
+    with recursive vectors as (
+      select vec_id, label, list_transform(embedding, lambda x: x::double) as v from embeddings
+    ),
+    sized as (select *, list_max(list_transform(v, lambda x: abs(x))) as most from vectors),
+    valid as materialized (
+      select vec_id, label, list_transform(v, lambda x: x / most) as e from sized
+      where label is not null and len(v) > 0 and list_bool_and(list_transform(v, lambda x: coalesce(isfinite(x), false))) and most > 0
+    ),
+    links as materialized (
+      select x.vec_id as a, y.vec_id as b from valid x join valid y on x.label = y.label and x.vec_id <> y.vec_id and len(x.e) = len(y.e)
+      where list_cosine_similarity(x.e, y.e) >= 0.98
+    ),
+    reach as (select vec_id, vec_id as member from vectors union select r.vec_id, l.b from reach r join links l on l.a = r.member),
+    classes as (select vec_id, min(member) as component_id from reach group by vec_id),
+    counted as (select a as vec_id, count(*) as n from links group by a)
+    select vec_id, coalesce(n, 0) as n_links, component_id, vec_id = component_id as kept
+    from classes left join counted using (vec_id)
+"""
+
+ORACLES: dict[str, str] = {"op3_mix": OP3_SQL, "op4_near_duplicates": OP4_SQL, "op7_near_vectors": OP7_SQL, "op9_warc": OP9_SQL, "op12_collocations": OP12_SQL}

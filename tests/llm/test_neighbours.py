@@ -1,10 +1,11 @@
 """Links, components and counts against all pairs compared."""
 
 import numpy as np
+import oracle
 import pytest
 
 from tallyrow.llm import neighbours
-from tallyrow.llm.queries import op7_near_vectors
+from tallyrow.llm.queries import OP7_SQL, op7_near_vectors
 
 
 def brute(rows, least=0.98):
@@ -135,9 +136,10 @@ def test_a_label_without_near_pairs_has_no_recall(spark, monkeypatch):
 
 def test_query_equals_all_pairs_compared(spark, tmp_path):
     rows = vectors(7)
-    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").write.parquet(f"{tmp_path}/embeddings.parquet")
-    got = op7_near_vectors(spark, str(tmp_path)).collect()
-    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in got} == brute(rows)
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").toPandas().to_parquet(f"{tmp_path}/embeddings.parquet")
+    found = op7_near_vectors(spark, str(tmp_path))
+    assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in found.collect()} == brute(rows)
+    assert oracle.difference(found, oracle.connect(str(tmp_path)), OP7_SQL) is None
 
 
 def test_forest_joins_what_links_join():
