@@ -183,6 +183,7 @@ ORACLES: dict[str, str] = {
     ),
     "jsonl_roundtrip": _query("SELECT * FROM pairs", ("pairs",)),
     "read_keyless": _query("SELECT instruction, input, output FROM ins", ("ins",)),
+    "stream_instructions": _query("SELECT * FROM ins", ("ins",)),
     "export_ordered": _query("SELECT ordinal, instruction, input, output FROM pos", ("pos",)),
     "write_counts": _query(
         """

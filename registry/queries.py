@@ -15,6 +15,7 @@ from tallyrow.plans.rollout import score_groups, score_sequences
 from tallyrow.session import scratch_path, written
 from tallyrow.sources import export, lines, sinks, tables
 from tallyrow.sources.dialogue import KEY, instructions_from_turns
+from tallyrow.streaming import dialogue
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +108,18 @@ def language_models(spark: SparkSession, sf_dir: str, rows: DataFrame):
 # ---- sources and sinks ----
 
 
+def stream_instructions(spark, sf_dir):
+    """The turns in files by role, answers first, taken in three batches: a question's answer lies in an earlier one."""
+    folder = scratch_path(spark, "turns")
+    turns = table(spark, sf_dir, "conversations").select("conv_id", F.col("turn").cast("bigint").alias("turn"), "role", "text")
+    for role in ("assistant", "user", "system"):
+        turns.where(F.col("role") == role).write.mode("append").parquet(f"{folder}/in")
+    files = len(spark.read.parquet(f"{folder}/in").inputFiles())
+    taken = dialogue.stream_instructions(spark, f"{folder}/in", f"{folder}/out", f"{folder}/state", files_per_batch=max(1, -(-files // 3)))
+    taken.awaitTermination()
+    return dialogue.streamed_instructions(spark, f"{folder}/out")
+
+
 def read_instructions(spark, sf_dir):
     return instructions(spark, sf_dir)
 
@@ -612,6 +625,7 @@ QUERIES: dict[str, Query] = {
     "select_split": select_split,
     "jsonl_roundtrip": jsonl_roundtrip,
     "read_keyless": read_keyless,
+    "stream_instructions": stream_instructions,
     "export_ordered": export_ordered,
     "write_counts": write_counts,
     "to_jsonl": to_jsonl,

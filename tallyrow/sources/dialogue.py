@@ -36,9 +36,14 @@ def instructions_from_turns(turns: DataFrame) -> DataFrame:
     refused = F.raise_error(F.concat(F.lit("a question or its answer stands more than once: conversation "), F.col("conv_id").cast("string"), F.lit(", turn "), F.col("turn").cast("string")))
     both = F.col("instruction").isNotNull() & F.col("output").isNotNull()
     answered = paired.where(F.when(F.col("_times") > 1, refused.cast("boolean")).otherwise(both)).drop("_times")
-    system = turns.where(F.col("role") == "system").groupBy("conv_id").agg(F.max("text").alias("_system"))
     # Counted on the narrow scan: at least as many rows as will be joined.
     counts = turns.where(asks).groupBy("conv_id").agg(F.count(F.lit(1)).alias("_n"))
-    return lookup_join(answered, system, "conv_id", spread_by="turn", how="left", counts=counts).select(
+    return with_system_text(answered, turns.where(F.col("role") == "system").select("conv_id", "text"), counts)
+
+
+def with_system_text(answered: DataFrame, system: DataFrame, counts: DataFrame | None = None) -> DataFrame:
+    """``answered`` (key, instruction, output) with the system text of its conversation, empty if it has none, as ``input``."""
+    texts = system.groupBy("conv_id").agg(F.max("text").alias("_system"))
+    return lookup_join(answered, texts, "conv_id", spread_by="turn", how="left", counts=counts).select(
         *KEY, "instruction", F.coalesce("_system", F.lit("")).alias("input"), "output"
     )
