@@ -16,7 +16,9 @@ the grammar's judgement. Both read at most ``sample`` labelled texts.
 
 A clause ends at . ! ? ; : | or a line break. Words are runs of letters; A-Z count
 as a-z. Null and empty texts hold no clause and score by the bias alone. Whole
-texts are read.
+texts are read. Repeated rows are scored each; one text of a document is learned. An
+empty table gives no rows; without labels the grammar's own weights stand. A column of
+the table that is named like the score gives way to it.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrow.llm.subwords import labelled
-from tallyrow.llm.words import LETTER, blocks, byte_value, mix64, text_buffer, word_hashes
+from tallyrow.llm.words import LETTER, blocks, byte_value, mix64, others, text_buffer, word_hashes
 from tallyrow.session import written
 
 SAMPLE = 20_000
@@ -347,51 +349,58 @@ def _patterns(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def learn_stems(chosen: DataFrame) -> Stems:
     """Stems that tell toxic texts (label 1) the grammar's own words miss from the others.
 
-    Equal texts count once. The driver gets the patterns of the toxic texts the grammar
-    misses, then how many other texts hold those of them that are frequent enough.
+    Equal texts count once. Patterns are counted in Spark; the driver gets those that at least
+    STEM_TEXTS missed texts hold, then which of these texts holds which of those that
+    other texts hardly hold: never the patterns of whole texts.
     """
+    spark = chosen.sparkSession
     unlike = chosen.where("text is not null").groupBy(F.xxhash64("text").alias("h")).agg(F.first("text").alias("text"), F.max("label").alias("label"))
 
     def missed(batches):
         for batch in blocks(batches):
             rows, _ = counts(batch.column("text"))
             n, hashes, row = _patterns(batch.column("text"))
-            for i in np.setdiff1d(np.arange(batch.num_rows), rows):
-                mine, first = np.unique(hashes[row == i], return_index=True)
-                sizes = n[row == i][first].astype(np.uint8)
-                yield pa.RecordBatch.from_pydict({"hashes": pa.array([mine.tobytes()], pa.binary()), "sizes": pa.array([sizes.tobytes()], pa.binary())})
-
-    found = unlike.where("label > 0").select("text").mapInArrow(missed, "hashes binary, sizes binary").collect()
-    found = sorted((bytes(r["hashes"]), bytes(r["sizes"])) for r in found)
-    toxic = [np.frombuffer(h, np.uint64) for h, _ in found]
-    if not toxic:
+            open_ = ~np.isin(row, rows)
+            n, hashes, row = n[open_], hashes[open_], row[open_]
+            order = np.lexsort((hashes, row))
+            n, hashes, row = n[order], hashes[order], row[order]
+            first = np.flatnonzero(np.r_[True, (hashes[1:] != hashes[:-1]) | (row[1:] != row[:-1])]) if len(row) else order
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("h").take(pa.array(row[first])), pa.array(hashes[first].view(np.int64)), pa.array(n[first], pa.int32())], names=["h", "pattern", "size"]
+            )
+
+    held = written(unlike.where("label > 0").select("h", "text").mapInArrow(missed, "h bigint, pattern bigint, size int"), "toxicity-patterns")
+    often = held.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("size")).where(F.col("n") >= STEM_TEXTS).collect()
+    if not often:
         return ()
-    patterns, place, texts = np.unique(np.concatenate(toxic), return_index=True, return_counts=True)
-    often = texts >= STEM_TEXTS
-    wanted = patterns[often]
-    sizes = np.concatenate([np.frombuffer(n, np.uint8) for _, n in found])[place[often]]
-    lengths = dict(zip(wanted.tolist(), sizes.tolist()))
+    wanted, total, sizes = (np.array([r[name] for r in often], np.int64) for name in ("pattern", "n", "size"))
+    order = np.argsort(wanted.view(np.uint64))
+    wanted, total, sizes = wanted[order].view(np.uint64), total[order], sizes[order]
 
     def elsewhere(batches):
-        total = np.zeros(len(wanted), np.int64)
+        found = np.zeros(len(wanted), np.int64)
         for batch in blocks(batches):
             _, hashes, row = _patterns(batch.column("text"))
             which, at = _found(hashes, wanted)
             pairs = np.unique(row[which] * len(wanted) + at)
-            total += np.bincount(pairs % len(wanted), minlength=len(wanted))
-        yield pa.RecordBatch.from_pydict({"counts": pa.array([total], pa.list_(pa.int64()))})
+            found += np.bincount(pairs % len(wanted), minlength=len(wanted))
+        yield pa.RecordBatch.from_pydict({"counts": pa.array([found], pa.list_(pa.int64()))})
 
     clean = np.zeros(len(wanted), np.int64)
-    if len(wanted):
-        for r in unlike.where("label = 0").select("text").mapInArrow(elsewhere, "counts array<bigint>").collect():
-            clean += np.array(r["counts"])
-    picked = explain([t[np.isin(t, wanted)] for t in toxic], dict(zip(wanted.tolist(), clean.tolist())), lengths)
+    for r in unlike.where("label = 0").select("text").mapInArrow(elsewhere, "counts array<bigint>").collect():
+        clean += np.array(r["counts"])
+    telling = total >= STEM_SHARE * (total + clean)
+    wanted, clean, sizes = wanted[telling], clean[telling], sizes[telling]
+    asked = spark.createDataFrame([(int(p),) for p in wanted.view(np.int64)], "pattern bigint")
+    texts = held.join(F.broadcast(asked), "pattern").groupBy("h").agg(F.collect_list("pattern").alias("patterns")).collect()
+    lengths = dict(zip(wanted.tolist(), sizes.tolist()))
+    picked = explain([np.array(r["patterns"], np.int64).view(np.uint64) for r in texts], dict(zip(wanted.tolist(), clean.tolist())), lengths)
     return tuple((lengths[h], h) for h in picked)
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, sample: int = SAMPLE) -> Weights:
     """Stems and weights from the labelled documents for whose key ``learn`` holds; the grammar's own if there are none."""
-    chosen = written(labelled(docs, labels, label, learn, sample).dropDuplicates(["doc_id"]), "toxicity-sample")
+    chosen = written(labelled(docs, labels, label, learn, sample), "toxicity-sample")
     stems = learn_stems(chosen)
 
     def run(batches: Iterator[pa.RecordBatch]):
@@ -422,7 +431,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str, learn: Column, sample: i
 
 def score(docs: DataFrame, weights: Weights, name: str = "score", keep: bool = False) -> DataFrame:
     """``docs`` with the probability of toxicity as ``name``; the text goes unless ``keep``."""
-    kept = [c for c in docs.columns if c != "text"]
+    kept = others(docs, "text", name)
     fields = [*kept, "text"] if keep else kept
     schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in fields), f"`{name}` double"])
 

@@ -26,7 +26,8 @@ With 32 bands of 5 a pair of similarity 0.8 shares no bucket with probability
 Null texts count as empty; empty texts are equal. Texts of white space alone have no
 shingles: they are in a class with equal texts only. Null doc_ids are no documents
 and get no row. Repeated doc_ids: the rows of an id are one document, whose text is
-the one with the smallest md5. An empty table gives an empty result.
+the one with the smallest md5 (``deduplicated`` compares the others too). An empty table
+gives an empty result.
 """
 
 from __future__ import annotations
@@ -283,7 +284,35 @@ def classes(
     return single.select("doc_id", "digest").join(of_text, "digest").select("doc_id", "class_id")
 
 
+# Numbers from here on stand for texts that have no id of their own.
+_ASIDE = 1 << 62
+
+
+def _identified(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``_item``, the same for rows of equal id and text alone.
+
+    It is the doc_id for the text of smallest md5 of an id; further texts of an id and
+    texts without one get a number above all ids by a hash of both.
+    """
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    facts = docs.where("doc_id is not null").select("doc_id", digest.alias("_d")).groupBy("doc_id").agg(F.min("_d").alias("_first"), F.max("_d").alias("_last"))
+    several = written(facts.where("_first != _last").select("doc_id", "_first"), "dart-several")
+    aside = F.lit(_ASIDE) + F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), digest), 2)
+    other = F.col("doc_id").isNull() | (F.col("_first").isNotNull() & (digest != F.col("_first")))
+    return docs.join(several, "doc_id", "left").withColumn("_item", F.when(other, aside).otherwise(F.col("doc_id"))).select(*docs.columns, "_item")
+
+
 def deduplicated(docs: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` that are first of their class; rows without an id stay."""
-    dropped = written(classes(docs, **options).where("doc_id != class_id").select("doc_id"), "dart-dropped")
-    return docs.join(dropped, "doc_id", "left_anti")
+    """One row of each class of ``docs``: of its smallest doc_id, or of a text without one if it has only those.
+
+    A row is known by its id and text: further texts of a doc_id and rows without one are compared
+    like all others, and of rows equal in both the one with the smallest JSON stays.
+    """
+    items = written(_identified(docs), "dart-items")
+    found = classes(items.select(F.col("_item").alias("doc_id"), "text"), **options)
+    dropped = written(found.where("doc_id != class_id").select(F.col("doc_id").alias("_item")), "dart-dropped")
+    kept = items.join(dropped, "_item", "left_anti")
+    again = written(kept.groupBy("_item").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_item"), "dart-again")
+    row = F.struct(*docs.columns)
+    single = kept.join(again, "_item", "left_semi").groupBy("_item").agg(F.min_by(row, F.to_json(row)).alias("_s")).select("_s.*")
+    return kept.join(again, "_item", "left_anti").select(*docs.columns).unionByName(single)

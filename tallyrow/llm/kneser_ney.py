@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrow.llm import shards as sh
-from tallyrow.llm.words import blocks, counted, mix64, text_buffer, word_hashes
+from tallyrow.llm.words import blocks, counted, mix64, others, text_buffer, word_hashes
 
 END = np.uint64(0x5EED0E4D0F7E8715)
 START_ID = np.uint64(0)
@@ -338,9 +338,9 @@ def fit(docs: DataFrame, text: str = "text") -> KneserNey:
 
 
 def score(docs: DataFrame, model: KneserNey, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with each text's token counts and log10 probabilities."""
-    kept = [c for c in docs.columns if c != text]
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != text), SCORE_FIELDS])
+    """``docs`` without the text, with each text's token counts and log10 probabilities, which replace columns of their names."""
+    kept = others(docs, text, *(f.split()[0] for f in SCORE_FIELDS.split(", ")))
+    schema = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept), SCORE_FIELDS])
 
     def run(batches):
         for batch in blocks(batches):

@@ -27,11 +27,10 @@ from pyspark.sql import functions as F
 
 from tallyrow.session import written
 
-# Columns were once merged beyond these; pack() counts every length, a test still names them.
-EXACT = 1024
-STEPS = 64
 # Documents of one slice of a bucket's order, about.
 SLICE_ROWS = 20_000
+# A slice of so many times SLICE_ROWS documents is cut further. Even slices come nowhere near.
+HOT = 4
 _DIGITS = 15
 
 
@@ -83,7 +82,7 @@ def pack(
 
     ``batch_id`` counts batches within the bucket, ``slot`` places within the batch.
     """
-    rows = written(docs.select(key, tokens), "packing-rows")
+    rows = written(docs.select(key, tokens).withColumn("_row", F.monotonically_increasing_id()), "packing-rows")
     length = F.greatest(F.coalesce(F.col(tokens), F.lit(0)), F.lit(0))
     histogram = rows.groupBy(length.alias("longest")).agg(F.count(F.lit(1)).alias("n")).orderBy("longest").collect()
     bounds = boundaries(np.array([r["longest"] for r in histogram], np.int64), np.array([r["n"] for r in histogram], np.int64), buckets)
@@ -101,17 +100,24 @@ def pack(
         .withColumn("_at", F.conv(F.substring(F.md5(joined), 1, _DIGITS), 16, 10).cast("long"))
         .withColumn("_slice", F.expr(f"_at div {width}"))
     )
-    earlier = Window.partitionBy("bucket").orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = dealt.groupBy("bucket", "_slice").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > HOT * SLICE_ROWS)
+    hot = written(sizes.select("bucket", "_slice", F.expr(f"_n div {SLICE_ROWS}").alias("_parts")), "packing-hot")
+    if hot.head():
+        part = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64("_row"), "_parts")).otherwise(F.lit(0))
+        dealt = dealt.join(hot, ["bucket", "_slice"], "left").withColumn("_part", part).drop("_parts")
+    else:
+        dealt = dealt.withColumn("_part", F.lit(0))
+    earlier = Window.partitionBy("bucket").orderBy("_slice", "_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        dealt.groupBy("bucket", "_slice")
+        dealt.groupBy("bucket", "_slice", "_part")
         .agg(F.count(F.lit(1)).alias("_n"))
-        .select("bucket", "_slice", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+        .select("bucket", "_slice", "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
     )
-    inside = Window.partitionBy("bucket", "_slice").orderBy("_at", key, tokens)
+    inside = Window.partitionBy("bucket", "_slice", "_part").orderBy("_at", key, tokens)
     ranked = dealt.withColumn("_rank", F.row_number().over(inside) - 1)
     per_batch = F.greatest(F.expr(f"{int(budget)}L div greatest(boundary, 1L)"), F.lit(1)).cast("long")
     return (
-        ranked.join(starts, ["bucket", "_slice"])
+        ranked.join(starts, ["bucket", "_slice", "_part"])
         .withColumn("boundary", boundary)
         .withColumn("_place", F.col("_start") + F.col("_rank"))
         .withColumn("_per", per_batch)

@@ -15,7 +15,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def fold(of: int, key: str = "doc_id") -> Column:
-    """The share of ``of`` equal ones that a row falls into."""
+    """The share of ``of`` equal ones that a row falls into. Null for a null key: such rows are in none, neither learned from nor held out."""
     return F.crc32(F.col(key).cast("string")) % of
 
 

@@ -10,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 PIECE = 1 << 18
 
@@ -41,6 +42,11 @@ def byte_value(letters: np.ndarray, place: int) -> np.ndarray:
         return _FOLDED[letters] * _PLACE[place]
 
 
+def others(docs: DataFrame, *names: str) -> list[str]:
+    """The columns of a table but for those of some names, which Spark tells apart whatever their case."""
+    return [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
+
+
 NOT_SPACE = np.ones(256, bool)
 NOT_SPACE[[32, *range(9, 14)]] = False
 LETTER = np.zeros(256, bool)  # letters of any script: every byte of a non-ASCII character counts

@@ -1,5 +1,8 @@
 """Quality, toxicity and language: held-out accuracy, the grammar by example, odd rows."""
 
+import hashlib
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -54,26 +57,69 @@ def test_odd_rows_are_scored(spark):
     docs = odd_docs(spark)
     for label, module in (("quality", subwords), ("toxic", clauses)):
         model = module.fit(docs, labels(spark), label, F.lit(True))
-        rows = module.score(docs.drop("score"), model).collect()
+        rows = module.score(docs, model).collect()
         assert len(rows) == len(ODD) and all(0 <= r["score"] <= 1 for r in rows)
+        assert set(rows[0].asDict()) == set(docs.columns) - {"text"}
         kept = module.score(docs, model, "_p", keep=True)
         assert kept.count() == len(ODD) and set(docs.columns) < set(kept.columns)
-    found = hypervectors.predict(docs.select("doc_id", "text"), hypervectors.fit(docs, F.lit(True))).collect()
-    assert len(found) == len(ODD)
+    found = hypervectors.predict(docs.withColumn("Lang_Pred", F.lit(1)), hypervectors.fit(docs, F.lit(True))).collect()
+    assert len(found) == len(ODD) and all(isinstance(r["score"], float) for r in found)
     assert [(r["lang_pred"], r["score"]) for r in found if r["doc_id"] in (1, 2, 3, 4)] == [("und", 0.0)] * 4
     assert {r["lang_pred"] for r in found if r["doc_id"] in (5, 6, 7)} == {"en"}
 
 
+def test_learned_are_labelled_rows_the_table_holds(spark):
+    docs = spark.createDataFrame([(i, f"t{i}") for i in range(90, 100)] + [(95, "another"), (95, "t95"), (None, "x")], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1) for i in range(1000)] + [(95, 0)], "doc_id long, toxic int")
+    rows = subwords.labelled(docs, marks, "toxic", F.col("doc_id") != 90, 20).collect()
+    assert sorted(r["doc_id"] for r in rows) == list(range(91, 100)) and {r["label"] for r in rows} == {1}
+    smallest = min("t95", "another", key=lambda t: hashlib.md5(t.encode()).hexdigest())
+    assert [r["text"] for r in rows if r["doc_id"] == 95] == [smallest]
+    assert len(subwords.labelled(docs, marks, "toxic", F.lit(True), 4).collect()) == 4
+
+
+def plain_log_odds(model, text):
+    features, n = next(iter(subwords._bags(pa.array([text]), model.bits)))
+    return model.bias + sum(float(model.weights[f]) * int(c) for f, c in zip(features, n)) / max(1, int(n.sum()))
+
+
+def test_queries_score_as_one_text_after_another(spark, sf_dir):
+    """Every row of op5, op6 and op8 against the fitted model applied to that text alone."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    marks = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    texts = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect()}
+    crc = {i: zlib.crc32(str(i).encode()) for i in texts}
+    model = subwords.fit(docs, marks, "quality", fold(3) != 1)
+    rows = op6_quality(spark, sf_dir).collect()
+    assert len(rows) == len(texts)
+    for r in rows:
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-plain_log_odds(model, texts[r["doc_id"]]))), rel=1e-4)
+        assert r["held_out"] == (crc[r["doc_id"]] % 3 == 1) and r["predicted"] == int(r["score"] >= 0.5)
+    weights = clauses.fit(docs, marks, "toxic", fold(5) != 0)
+    for r in op5_toxicity(spark, sf_dir).collect():
+        seen = events(texts[r["doc_id"]], weights.stems)
+        names = [*clauses.FEATURES, *weights.stems]
+        odds = weights.bias + sum(w * np.log1p(seen.get(n, 0)) for n, w in zip(names, weights.features))
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-odds)), rel=1e-4)
+        assert r["held_out"] == (crc[r["doc_id"]] % 5 == 0) and r["predicted"] == int(r["score"] >= 0.5)
+    profiles = hypervectors.fit(docs, fold(5) != 0)
+    for r in op8_language(spark, sf_dir).collect():
+        sums = hypervectors.bundle([texts[r["doc_id"]]], np.zeros(1, int), 1, profiles.directions.shape[1])[0]
+        cosine = [float(np.dot(sums, d) / max(np.linalg.norm(sums), 1e-9)) for d in profiles.directions]
+        assert r["lang_pred"] == profiles.languages[int(np.argmax(cosine))]
+        assert r["score"] == pytest.approx(max(0.0, max(cosine)), abs=1e-5)
+
+
 def test_nothing_to_learn_from(spark):
     docs = odd_docs(spark)
     none = labels(spark).where("false")
-    assert {r["score"] for r in subwords.score(docs.drop("score"), subwords.fit(docs, none, "quality", F.lit(True))).collect()} == {0.5}
+    assert {r["score"] for r in subwords.score(docs, subwords.fit(docs, none, "quality", F.lit(True))).collect()} == {0.5}
     assert clauses.fit(docs, none, "toxic", F.lit(True)).stems == ()
     profiles = hypervectors.fit(docs.where("false"), F.lit(True))
     assert {r["lang_pred"] for r in hypervectors.predict(docs.select("doc_id", "text"), profiles).collect()} == {"und"}
     for module in (subwords, clauses):
         model = module.fit(docs.where("false"), labels(spark), "quality", fold(3) != 1)
-        assert module.score(docs.drop("score").where("false"), model).count() == 0
+        assert module.score(docs.where("false"), model).count() == 0
 
 
 def events(text, stems=()):

@@ -104,6 +104,18 @@ def test_classes_of_the_test_data(spark, sf_dir):
     assert kept == set(got.values())
 
 
+def test_rows_are_known_by_id_and_text(spark):
+    texts = {name: " ".join(f"{name}{i}" for i in range(30)) for name in "ABCDE"}
+    rows = [(1, "A"), (1, "A"), (1, "B"), (2, "A"), (None, "C"), (None, "C"), (None, "A"), (3, "D"), (None, "D"), (4, "E"), (4, "D"), (5, "B")]
+    table = [(i, texts[t], t, n % 2) for n, (i, t) in enumerate(rows)] + [(6, None, None, 0), (7, "", None, 0)]
+    docs = spark.createDataFrame(table, "doc_id long, text string, class_id string, _n int").repartition(4)
+    found = darts.deduplicated(docs)
+    assert found.columns == docs.columns
+    got = [(r["doc_id"], r["class_id"]) for r in found.collect()]
+    assert sorted(got, key=str) == sorted([(1, "A"), (5, "B") if (1, "B") not in got else (1, "B"), (None, "C"), (3, "D"), (4, "E"), (6, None)], key=str)
+    assert len({t for _, t in got}) == len(got)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert darts.classes(docs).collect() == [] and darts.deduplicated(docs).collect() == []

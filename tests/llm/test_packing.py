@@ -53,8 +53,14 @@ def test_batches(spark, monkeypatch):
     check(packing.pack(docs, buckets=6, budget=1000).collect(), lengths, 6, 1000)
 
 
-def test_wide_lengths_stay_within_their_column():
-    assert packing.EXACT == 1024 and packing.STEPS == 64
+def test_rows_that_share_a_key_are_numbered_in_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SLICE_ROWS", 40)
+    lengths = [(None, 3)] * 700 + [(5, 4)] * 500 + [(100 + i, 3) for i in range(400)]
+    docs = spark.createDataFrame(lengths, "doc_id long, n_tokens long").repartition(5)
+    packed = packing.pack(docs, buckets=2, budget=100)
+    check(packed.collect(), lengths, 2, 100)
+    ranks = packed._jdf.queryExecution().optimizedPlan().toString()
+    assert "_part" in ranks and "_parts" in ranks
 
 
 def test_long_lengths_pad_least(spark):
