@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key, key_columns
+from tallyrow.functions.numbers import Numbers, is_mounted, write_numbers
 from tallyrow.functions.skew import HOT_ROWS, lookup_join
 from tallyrow.session import scratch_path
 
@@ -21,6 +24,12 @@ LOG_TYPE = f"decimal(38,{LOG_DECIMALS})"
 # Models of up to this many distinct pairs, some 100 MB in memory, are broadcast.
 BROADCAST_PAIRS = 1_000_000
 
+# Models of more pairs are saved as sorted arrays that tasks map, and no token of a text leaves its task.
+MAPPED_PAIRS = BROADCAST_PAIRS
+
+# Tokens that a task looks up at a time.
+LOOKUP_TOKENS = 1 << 20
+
 BIGRAM_SCHEMA = "prev int, next int, n bigint"
 CONTEXT_SCHEMA = "prev int, c bigint"
 META_SCHEMA = "vocab_size bigint, add_k double"
@@ -97,6 +106,103 @@ def merged_counts(tables: Mapping[str, DataFrame], keys: list[str], count: str)
     return reduce(lambda left, right: left.join(right, keys, "full"), renamed)
 
 
+@dataclass(frozen=True)
+class PairScores:
+    """Log-probabilities of several models in units of the last decimal, to be looked up by pair, else by context."""
+
+    pairs: Numbers
+    contexts: Numbers
+    unseen: tuple[int, ...]
+
+    def get(self, prev: np.ndarray, following: np.ndarray) -> np.ndarray:
+        """One row per pair, one column per model."""
+        keys, place = np.unique((prev << 32) + following, return_inverse=True)
+        known, found = self.pairs.get(keys)
+        rest = np.flatnonzero(~known)
+        before, at = np.unique((keys[rest] + (1 << 31)) >> 32, return_inverse=True)
+        seen, default = self.contexts.get(before)
+        default[~seen] = self.unseen
+        found[rest] = default[at]
+        return found[place]
+
+
+def pair_scores(models: Mapping[str, BigramModel]) -> PairScores:
+    """Saves what every pair and every context of the models is worth, as Spark computes it."""
+    spark = next(iter(models.values())).bigrams.sparkSession
+    nothing = spark.range(1).select(*(F.lit(None).cast("bigint").alias(f"{count}_{name}") for name in models for count in "nc"))
+
+    def units(rows: DataFrame, *keys: Column) -> DataFrame:
+        exact = (token_logprob(name, m).cast("decimal(18,9)") * F.lit(10**LOG_DECIMALS).cast("decimal(10,0)") for name, m in models.items())
+        return rows.select(*keys, *(units.cast("bigint").alias(name) for units, name in zip(exact, models)))
+
+    bigrams = merged_counts({name: m.bigrams for name, m in models.items()}, ["prev", "next"], "n")
+    contexts = merged_counts({name: m.contexts for name, m in models.items()}, ["prev"], "c").where("prev is not null")
+    unread = contexts.select("*", *(F.lit(None).cast("bigint").alias(f"n_{name}") for name in models))
+    pair = (F.col("prev") * F.lit(1 << 32) + F.col("next")).alias("_pair")
+    pairs = units(bigrams.where("prev is not null and next is not null").join(contexts, "prev", "left"), pair)
+    return PairScores(
+        write_numbers(pairs, "_pair", list(models), sum(m.pairs for m in models.values()), "pair-scores"),
+        write_numbers(units(unread, F.col("prev").cast("bigint").alias("_prev")), "_prev", list(models), max(m.vocab_size for m in models.values()), "context-scores"),
+        tuple(units(nothing).first()),
+    )
+
+
+def _scored_lists(scores: PairScores, ids: pa.ListArray, first: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(one row of scores per token, whether it is one, where each list begins and the last ends)."""
+    offsets = np.r_[0, np.cumsum(ids.value_lengths().fill_null(0).to_numpy())]
+    flat = ids.flatten()
+    is_token = flat.is_valid().to_numpy(zero_copy_only=False)
+    numbers = flat.fill_null(0).to_numpy().astype(np.int64)
+    prev, after_id = np.r_[0, numbers[:-1]][: len(numbers)], np.r_[False, is_token[:-1]][: len(numbers)]
+    begun = np.diff(offsets) > 0
+    prev[offsets[:-1][begun]] = first.fill_null(0).to_numpy().astype(np.int64)[begun]
+    after_id[offsets[:-1][begun]] = first.is_valid().to_numpy(zero_copy_only=False)[begun]
+    out = np.zeros((len(numbers), len(scores.unseen)), np.int64)
+    out[is_token] = scores.unseen
+    both = is_token & after_id
+    out[both] = scores.get(prev[both], numbers[both])
+    return out, is_token, offsets
+
+
+def scored_rows(
+    df: DataFrame, models: Mapping[str, BigramModel], names: list[str], ids: str, first: Column, result: Callable, fields: str
+) -> DataFrame:
+    """The key columns and ``fields`` of every row, which ``result`` makes of its tokens' scores; no token leaves its task."""
+    scores = pair_scores(models)
+    schema = ", ".join([*(f"`{n}` {df.schema[n].dataType.simpleString()}" for n in names), fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(batch.column(len(names)).value_lengths().fill_null(0).to_numpy())
+            at = 0
+            while at < batch.num_rows:
+                # As many rows as have no more tokens together, at least one.
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LOOKUP_TOKENS, side="right")))
+                part = batch.slice(at, to - at)
+                made = result(*_scored_lists(scores, part.column(len(names)), part.column(len(names) + 1)))
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], *made.values()], names=[*names, *made])
+                at = to
+
+    return df.select(*names, F.col(ids).cast("array<int>").alias("_ids"), first.cast("int").alias("_before")).mapInArrow(run, schema)
+
+
+def is_mapped(spark: SparkSession, size: int, mapped_pairs: int) -> bool:
+    """Whether models of so many pairs are looked up in mapped arrays."""
+    return size > mapped_pairs and is_mounted(spark)
+
+
+def _totals(models: Mapping[str, BigramModel]) -> Callable:
+    names = list(models)
+
+    def run(scores: np.ndarray, is_token: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
+        def per_list(values: np.ndarray) -> pa.Array:
+            return pa.array(np.diff(np.r_[0, np.cumsum(values)][offsets]), pa.int64())
+
+        return {**{f"_units{i}": per_list(scores[:, i]) for i in range(len(names))}, "n_tokens": per_list(is_token)}
+
+    return run
+
+
 def sequence_logprobs(
     df: DataFrame,
     models: Mapping[str, BigramModel],
@@ -106,6 +212,7 @@ def sequence_logprobs(
     bos_id: int = 0,
     broadcast_pairs: int = BROADCAST_PAIRS,
     hot_rows: int = HOT_ROWS,
+    mapped_pairs: int = MAPPED_PAIRS,
 ) -> DataFrame:
     """(key, <model>_logprob..., n_tokens) of every row; no tokens give 0.0 and 0.
 
@@ -114,14 +221,25 @@ def sequence_logprobs(
     counts are put side by side.
 
     Models of together at most ``broadcast_pairs`` pairs are broadcast with their
-    contexts, of which there are no more, and the text's pairs never leave their
-    task. Larger ones are joined: each row's equal pairs are first counted, then
-    shuffled by pair and by context, hot ones (say, after unknown) dealt over
-    several tasks. That reads the ids more than once: give a stored table rather
-    than ids still to be computed.
+    contexts, of which there are no more; those of more than ``mapped_pairs`` are
+    saved as sorted arrays, which the tasks map. Either way the text's pairs never
+    leave their task.
+
+    Models in between, and all larger ones if the shared folder is not mounted, are
+    joined: each row's equal pairs are first counted, then shuffled by pair and by
+    context, hot ones (say, after unknown) dealt over several tasks. That reads the
+    ids more than once: give a stored table rather than ids still to be computed.
     """
     names = key_columns(key)
-    pairs = df.select(*names, F.inline_outer(_bigrams(ids, F.lit(bos_id) if first is None else first)))
+    before = F.lit(bos_id) if first is None else first
+    size = sum(m.pairs for m in models.values())
+    if is_mapped(df.sparkSession, size, mapped_pairs):
+        fields = ", ".join([*(f"_units{i} bigint" for i in range(len(models))), "n_tokens bigint"])
+        scored = scored_rows(df, models, names, ids, before, _totals(models), fields)
+        unit = F.lit(f"1e-{LOG_DECIMALS}").cast(f"decimal({LOG_DECIMALS},{LOG_DECIMALS})")
+        sums = (F.sum(F.col(f"_units{i}").cast("decimal(19,0)") * unit).cast("double").alias(f"{name}_logprob") for i, name in enumerate(models))
+        return scored.groupBy(*names).agg(*sums, F.sum("n_tokens").alias("n_tokens"))
+    pairs = df.select(*names, F.inline_outer(_bigrams(ids, before)))
     bigrams = merged_counts({name: m.bigrams for name, m in models.items()}, ["prev", "next"], "n")
     contexts = merged_counts({name: m.contexts for name, m in models.items()}, ["prev"], "c")
 
@@ -130,7 +248,7 @@ def sequence_logprobs(
         return F.coalesce(F.sum(term).cast("double"), F.lit(0.0)).alias(f"{name}_logprob")
 
     pair = ["prev", "next"]
-    if sum(m.pairs for m in models.values()) <= broadcast_pairs:
+    if size <= broadcast_pairs:
         counted = pairs.withColumn("_times", F.lit(1)).join(F.broadcast(bigrams), pair, "left").join(F.broadcast(contexts), "prev", "left")
     else:
         pairs = pairs.groupBy(*names, *pair).agg(F.count(F.lit(1)).alias("_times"))

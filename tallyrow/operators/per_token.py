@@ -4,12 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key, key_columns
 from tallyrow.functions.skew import HOT_ROWS, lookup_join
-from tallyrow.operators.lm import BROADCAST_PAIRS, BigramModel, merged_counts, placed_bigrams, token_logprob
+from tallyrow.operators.lm import (
+    BROADCAST_PAIRS,
+    LOG_DECIMALS,
+    MAPPED_PAIRS,
+    BigramModel,
+    is_mapped,
+    merged_counts,
+    placed_bigrams,
+    scored_rows,
+    token_logprob,
+)
+
+
+def _listed(models: int):
+    def run(scores: np.ndarray, is_token: np.ndarray, offsets: np.ndarray) -> dict[str, pa.Array]:
+        ends = pa.array(np.r_[0, np.cumsum(is_token)][offsets], pa.int32())
+        logprobs = scores[is_token] / 10.0**LOG_DECIMALS
+        return {f"_list{i}": pa.ListArray.from_arrays(ends, np.ascontiguousarray(logprobs[:, i])) for i in range(models)}
+
+    return run
+
+
+def _mapped_logprobs(df: DataFrame, models: Mapping[str, BigramModel], names: list[str], ids: str, first: Column) -> DataFrame:
+    lists = [f"_list{i}" for i in range(len(models))]
+    scored = scored_rows(df, models, names, ids, first, _listed(len(models)), ", ".join(f"{c} array<double>" for c in lists))
+    parts = scored.groupBy(*names).agg(F.collect_list(F.struct(*lists)).alias("_parts"))
+
+    def merged(name: str) -> Column:
+        """What rows of one key make together: their tokens by place."""
+        placed = F.flatten(F.transform("_parts", lambda p: F.transform(F.arrays_zip(*(p[c] for c in lists)), lambda t, i: F.struct(i.alias("pos"), *(t[c] for c in lists)))))
+        return F.array_sort(placed)[name]
+
+    def only(name: str) -> Column:
+        return F.when(F.size("_parts") == 1, F.col("_parts")[0][name]).otherwise(merged(name))
+
+    return parts.select(*names, *(only(c).alias(f"{model}_logprobs") for c, model in zip(lists, models)))
 
 
 def token_logprobs(
@@ -21,19 +58,24 @@ def token_logprobs(
     bos_id: int = 0,
     broadcast_pairs: int = BROADCAST_PAIRS,
     hot_rows: int = HOT_ROWS,
+    mapped_pairs: int = MAPPED_PAIRS,
 ) -> DataFrame:
     """(key, <model>_logprobs...): one array per model, as long as the row's ids; no ids give empty arrays.
 
     The sums of the arrays are the totals of `lm.sequence_logprobs`, to which ``first`` and the limits are the same.
-    Keys must be unique. Larger models are joined, hot pairs dealt over several tasks; the arrays of one row
-    meet again by its key. The ids are read more than once then: give a stored table.
+    Keys must be unique. Models that are neither broadcast nor mapped are joined, hot pairs dealt over several tasks; the
+    arrays of one row meet again by its key. The ids are read more than once then: give a stored table.
     """
     names = key_columns(key)
-    pairs = df.select(*names, F.inline_outer(placed_bigrams(ids, F.lit(bos_id) if first is None else first)))
+    before = F.lit(bos_id) if first is None else first
+    size = sum(m.pairs for m in models.values())
+    if is_mapped(df.sparkSession, size, mapped_pairs):
+        return _mapped_logprobs(df, models, names, ids, before)
+    pairs = df.select(*names, F.inline_outer(placed_bigrams(ids, before)))
     bigrams = merged_counts({name: m.bigrams for name, m in models.items()}, ["prev", "next"], "n")
     contexts = merged_counts({name: m.contexts for name, m in models.items()}, ["prev"], "c")
     pair = ["prev", "next"]
-    if sum(m.pairs for m in models.values()) <= broadcast_pairs:
+    if size <= broadcast_pairs:
         scored = pairs.join(F.broadcast(bigrams), pair, "left").join(F.broadcast(contexts), "prev", "left")
     else:
         with_pair = lookup_join(pairs, bigrams, pair, spread_by=[*names, "pos"], how="left", hot_rows=hot_rows)

@@ -247,3 +247,25 @@ def test_slopes_are_nothing_at_the_fit_and_something_elsewhere(spark):
     assert reward.value_slope(value, model, examples)[1] < 1e-4
     assert reward.value_slope(value, model, examples.selectExpr("prompt", "text", "1 - label as label"))[1] > 1e-2
     assert reward.reward_slope(model, pairs.limit(0)) == (0, 0.0)
+
+
+def test_mapped_models_score_alike_without_shuffling_tokens(spark, model):
+    rows = [*HELD_OUT, (2, [2, 3, None, 4]), (None, [4, 4]), (7, None), (8, [2] * 40)]
+    df = spark.createDataFrame([(k, ids, None if k == 4 else 3) for k, ids in rows], f"{IDS}, last int")
+    other = lm.fit_bigram(df.where("k = 8"), V, add_k=0.5)
+    score = lambda **options: lm.sequence_logprobs(df, {"policy": model, "reference": other}, "k", first=F.col("last"), **options)
+    small, mapped = score(), score(mapped_pairs=0)
+    by_key = lambda frame: sorted(frame.collect(), key=str)
+    plan = mapped._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1  # of one row's sums
+    assert by_key(small) == by_key(mapped) and small.dtypes == mapped.dtypes
+
+
+def test_a_mapped_model_takes_rows_in_parts(spark, model, monkeypatch):
+    df = spark.createDataFrame([(k, [2, 3, 4, 5][: k % 5] * (k % 3)) for k in range(50)], IDS).coalesce(1)
+    want = sorted(lm.sequence_logprob(df, model, "k").collect())
+    scores = lm.pair_scores({"model": model})
+    assert scores.pairs.held and scores.pairs.get(lm.np.asarray([-1, 1 << 40]))[0].tolist() == [False, False]
+    monkeypatch.setattr(lm, "LOOKUP_TOKENS", 5)
+    got = lm.sequence_logprobs(df, {"model": model}, "k", mapped_pairs=0)
+    assert sorted(tuple(r) for r in got.collect()) == [tuple(r) for r in want]

@@ -52,3 +52,11 @@ def test_returns_and_advantages_equal_loops(spark, discount, decay):
             g.insert(0, total)
             a.insert(0, ahead)
         assert row.g == pytest.approx(g) and row.a == pytest.approx(a)
+
+
+def test_mapped_models_give_the_same_arrays(scored):
+    models, rows = scored
+    rows = rows.union(rows.where("k < 2")).withColumn("last", F.when(F.col("k") != 4, F.lit(3)))
+    want, got = (per_token.token_logprobs(rows, models, "k", first=F.col("last"), **o) for o in ({}, {"mapped_pairs": 0}))
+    assert sorted(got.collect()) == sorted(want.collect()) and got.dtypes == want.dtypes
+    assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
