@@ -96,15 +96,30 @@ def token_rewards(df: DataFrame, beta: float = 0.05, reward: str = "reward") ->
     return df.withColumn("kl", kl).withColumn("rewards", paid)
 
 
+# Tokens of a row that are folded into an array of their own: appending copies what stands there already.
+FOLDED_TOKENS = 32
+
+
 def returns(rewards: str | Column, discount: float = 1.0) -> Column:
-    """What each token and those after it earn: a fold from the last token back, discounted once a step."""
-    start = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("out"))
+    """What each token and those after it earn: a fold from the last token back, discounted once a step.
+
+    Tokens are folded in parts, each going on from the sum of the one before, so that a long row costs its length.
+    """
+    backward = F.reverse(rewards)
+    size = F.lit(FOLDED_TOKENS)
+    # One part more than there need be: an empty array has no other.
+    parts = F.transform(F.sequence(F.lit(0), F.floor(F.size(rewards) / size).cast("int")), lambda i: F.slice(backward, i * size + 1, size))
 
     def step(state: Column, earned: Column) -> Column:
         total = earned + F.lit(float(discount)) * state["sum"]
         return F.struct(total.alias("sum"), F.array_append(state["out"], total).alias("out"))
 
-    return F.reverse(F.aggregate(F.reverse(rewards), start, step, lambda state: state["out"]))
+    def part(state: Column, earned: Column) -> Column:
+        folded = F.aggregate(earned, F.struct(state["sum"].alias("sum"), F.array().cast("array<double>").alias("out")), step)
+        return F.struct(folded["sum"].alias("sum"), F.array_append(state["out"], folded["out"]).alias("out"))
+
+    start = F.struct(F.lit(0.0).alias("sum"), F.array().cast("array<array<double>>").alias("out"))
+    return F.reverse(F.aggregate(parts, start, part, lambda state: F.flatten(state["out"])))
 
 
 def advantages(rewards: Column, values: Column, discount: float = 1.0, decay: float = 1.0) -> Column:

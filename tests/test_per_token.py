@@ -60,3 +60,22 @@ def test_mapped_models_give_the_same_arrays(scored):
     want, got = (per_token.token_logprobs(rows, models, "k", first=F.col("last"), **o) for o in ({}, {"mapped_pairs": 0}))
     assert sorted(got.collect()) == sorted(want.collect()) and got.dtypes == want.dtypes
     assert "Join" not in got._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("n", [0, 1, 31, 32, 33, 64, 1000])
+def test_long_rows_are_folded_in_parts(spark, n):
+    rewards = [((i * 37) % 101) / 100 for i in range(n)]
+    earned, total = [], 0.0
+    for r in reversed(rewards):
+        total = r + 0.9 * total
+        earned.insert(0, total)
+    row = spark.createDataFrame([(rewards,)], "r array<double>").select(per_token.returns("r", 0.9).alias("e")).first()
+    assert row.e == earned
+
+
+def test_a_fold_copies_no_more_than_its_part(spark, monkeypatch):
+    appended = []
+    plain = F.array_append
+    monkeypatch.setattr(F, "array_append", lambda out, x: appended.append(out) or plain(out, x))
+    per_token.returns("r")
+    assert len(appended) == 2  # to a part, and of parts
