@@ -581,12 +581,14 @@ def model_facts(spark, sf_dir):
     nothing earns nothing, a regression with an intercept is right on average, and most pairs come out in order."""
     rows = stored_instructions(spark, sf_dir)
     pairs, apart = (preference.reward_pairs(rows, include_prompt=opened) for opened in (True, False))
-    reward_model = reward.fit_reward(pairs)
-    examples = written(preference.value_examples(rows, keep_prompt=True), "examples")
-    value_model = reward.fit_value(examples, reward_model)
+    pair_rows = reward.stored_pair_rows(pairs)
+    reward_model = reward.fit_reward(pairs, rows=pair_rows)
+    examples = preference.value_examples(rows, keep_prompt=True)
+    value_rows = reward.stored_value_rows(examples, reward_model)
+    value_model = reward.fit_value(examples, reward_model, rows=value_rows)
     nothing = rows.select(F.lit("").alias("prompt"), F.lit("").alias("completion"))
     silent = reward.score_reward(reward_model, nothing).agg(F.count(F.lit(1)), F.max(F.abs("reward"))).first()
-    values = reward.score_value(value_model, reward_model, examples)
+    values = reward.fitted_values(value_model, value_rows)
     mean = values.agg(F.count(F.lit(1)), F.abs(F.avg(F.col("value") - F.col("label")))).first()
     for side in ("chosen", "rejected"):
         apart = reward.score_reward(reward_model, apart, completion=side, name=f"{side}_score")
@@ -594,8 +596,8 @@ def model_facts(spark, sf_dir):
     facts = [
         ("reward of nothing", *silent),
         ("mean value less mean label", *mean),
-        ("slope of the reward loss", *reward.reward_slope(reward_model, pairs)),
-        ("slope of the value loss", *reward.value_slope(value_model, reward_model, examples)),
+        ("slope of the reward loss", *reward.reward_slope(reward_model, pairs, rows=pair_rows)),
+        ("slope of the value loss", *reward.value_slope(value_model, reward_model, examples, rows=value_rows)),
         ("accuracy short of its floor", order["pairs"], max(0.0, ACCURACY_FLOOR - (order["accuracy"] or 0.0))),
     ]
     return spark.createDataFrame([(name, n, round(float(error or 0.0), 4) + 0.0) for name, n, error in facts], "fact string, rows bigint, error double")

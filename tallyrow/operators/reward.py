@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 import numpy as np
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import HashingTF, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tallyrow.functions.text import shared_words, words
 from tallyrow.operators.rollouts import without_prompt
-from tallyrow.session import scratch_path
+from tallyrow.session import scratch_path, written
 
 HASH_BUCKETS = 1024
 
@@ -78,7 +78,7 @@ def _saved(model: PipelineModel, path: str) -> PipelineModel:
 
 
 def fit_reward(
-    pairs: DataFrame, path: str | None = None, buckets: int = HASH_BUCKETS, reg: float = 0.01, max_iter: int = 50
+    pairs: DataFrame, path: str | None = None, buckets: int = HASH_BUCKETS, reg: float = 0.01, max_iter: int = 50, rows: DataFrame | None = None
 ) -> PipelineModel:
     """Bradley-Terry fit: P(chosen over rejected) = sigma(score(chosen) - score(rejected)).
 
@@ -87,18 +87,36 @@ def fit_reward(
     Both sides' features go side by side into a logistic regression without
     intercept, each pair once in either order. By that symmetry the optimum
     gives the two sides opposite weights, so the model is a difference of scores.
+    ``rows`` are the pairs' `stored_pair_rows` where they are used again.
     """
-    rows = _pair_rows(pairs)
-    stages_a, inputs_a = _side_stages("a", buckets)
-    stages_b, inputs_b = _side_stages("b", buckets)
-    assembler = VectorAssembler(inputCols=inputs_a + inputs_b, outputCol="features")
+    rows = stored_pair_rows(pairs, buckets) if rows is None else rows
     regression = LogisticRegression(
         featuresCol="features", labelCol="label", fitIntercept=False, regParam=reg, maxIter=max_iter, standardization=False, tol=1e-9
     )
-    model = Pipeline(stages=[*stages_a, *stages_b, assembler, regression]).fit(rows)
+    model = PipelineModel([*_pair_stages(buckets), regression.fit(rows)])
     return _saved(model, path or scratch_path(pairs.sparkSession, "reward-model"))
 
 
+def _pair_stages(buckets: int) -> list:
+    stages_a, inputs_a = _side_stages("a", buckets)
+    stages_b, inputs_b = _side_stages("b", buckets)
+    return [*stages_a, *stages_b, VectorAssembler(inputCols=inputs_a + inputs_b, outputCol="features")]
+
+
+def _value_stages(buckets: int) -> list:
+    stages, inputs = _side_stages("v", buckets)
+    return [*stages, VectorAssembler(inputCols=[*inputs, "reward_score"], outputCol="features")]
+
+
+def _stored_features(stages: list, rows: DataFrame, label: str) -> DataFrame:
+    return written(PipelineModel(stages).transform(rows).select("features", "label"), label)
+
+
+def stored_pair_rows(pairs: DataFrame, buckets: int = HASH_BUCKETS) -> DataFrame:
+    """Features and labels that the reward model is fitted on, made once: MLlib reads them more than once."""
+    return _stored_features(_pair_stages(buckets), _pair_rows(pairs), "pair-rows")
+
+
 def _pair_rows(pairs: DataFrame) -> DataFrame:
     """Both sides' features of each pair in either order, with the label that the first is the chosen one."""
     prompt = F.col("prompt")
@@ -136,15 +154,17 @@ def _slope(scored: DataFrame, error: Column, weights: Sequence[float], reg: floa
     return n, float(np.abs((up - down) / n + reg * scale * np.asarray(weights)).max())
 
 
-def reward_slope(model: PipelineModel, pairs: DataFrame, reg: float = 0.01) -> tuple[int, float]:
+def reward_slope(model: PipelineModel, pairs: DataFrame, reg: float = 0.01, rows: DataFrame | None = None) -> tuple[int, float]:
     """(rows, largest entry of the gradient) of the reward fit's loss at the fitted weights: at its minimum every entry is 0."""
-    scored = model.transform(_pair_rows(pairs)).withColumn("_p", vector_to_array("probability")[1])
+    scored = (model.transform(_pair_rows(pairs)) if rows is None else model.stages[-1].transform(rows)).withColumn("_p", vector_to_array("probability")[1])
     return _slope(scored, F.col("_p") - F.col("label"), model.stages[-1].coefficients.toArray(), reg, False)
 
 
-def value_slope(model: PipelineModel, reward_model: PipelineModel, examples: DataFrame, reg: float = 0.01) -> tuple[int, float]:
+def value_slope(
+    model: PipelineModel, reward_model: PipelineModel, examples: DataFrame, reg: float = 0.01, rows: DataFrame | None = None
+) -> tuple[int, float]:
     """The same of the value regression, whose penalty MLlib divides by the deviation of the labels."""
-    scored = model.transform(_value_rows(examples, reward_model))
+    scored = model.transform(_value_rows(examples, reward_model)) if rows is None else model.stages[-1].transform(rows)
     reg /= scored.agg(F.stddev_pop("label")).first()[0] or 1.0
     return _slope(scored, F.col("prediction") - F.col("label"), model.stages[-1].coefficients.toArray(), reg, True)
 
@@ -169,19 +189,25 @@ def fit_value(
     buckets: int = HASH_BUCKETS,
     reg: float = 0.01,
     max_iter: int = 50,
+    rows: DataFrame | None = None,
 ) -> PipelineModel:
     """Regression of ``label`` on the response, started from the reward model.
 
     ``examples`` has prompt, text, label. The reward score is one of the
-    features, so the fit only learns what the reward leaves open.
+    features, so the fit only learns what the reward leaves open. ``rows`` are the
+    examples' `stored_value_rows` where they are used again.
     """
-    stages, inputs = _side_stages("v", buckets)
-    assembler = VectorAssembler(inputCols=[*inputs, "reward_score"], outputCol="features")
+    rows = stored_value_rows(examples, reward_model, buckets) if rows is None else rows
     regression = LinearRegression(featuresCol="features", labelCol="label", regParam=reg, maxIter=max_iter)
-    model = Pipeline(stages=[*stages, assembler, regression]).fit(_value_rows(examples, reward_model))
+    model = PipelineModel([*_value_stages(buckets), regression.fit(rows)])
     return _saved(model, path or scratch_path(examples.sparkSession, "value-model"))
 
 
+def stored_value_rows(examples: DataFrame, reward_model: PipelineModel, buckets: int = HASH_BUCKETS) -> DataFrame:
+    """The same of the value model."""
+    return _stored_features(_value_stages(buckets), _value_rows(examples, reward_model), "value-rows")
+
+
 def _value_rows(df: DataFrame, reward_model: PipelineModel) -> DataFrame:
     response = without_prompt(F.col("text"), F.col("prompt"))
     scored = score_reward(reward_model, df.withColumn("_response", response), "prompt", "_response", "reward_score")
@@ -196,6 +222,11 @@ def score_value(model: PipelineModel, reward_model: PipelineModel, df: DataFrame
     return scored.select(*df.columns, F.col("prediction").alias(name))
 
 
+def fitted_values(model: PipelineModel, rows: DataFrame) -> DataFrame:
+    """(label, value) of the examples whose `stored_value_rows` are given."""
+    return model.stages[-1].transform(rows).select("label", F.col("prediction").alias("value"))
+
+
 def preference_metrics(df: DataFrame, chosen: str = "chosen_score", rejected: str = "rejected_score") -> DataFrame:
     """One row: pairs, share of pairs whose chosen side scores higher, mean margin."""
     margin = F.col(chosen) - F.col(rejected)

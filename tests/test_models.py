@@ -269,3 +269,24 @@ def test_a_mapped_model_takes_rows_in_parts(spark, model, monkeypatch):
     monkeypatch.setattr(lm, "LOOKUP_TOKENS", 5)
     got = lm.sequence_logprobs(df, {"model": model}, "k", mapped_pairs=0)
     assert sorted(tuple(r) for r in got.collect()) == [tuple(r) for r in want]
+
+
+def test_fits_read_features_made_once(spark, monkeypatch):
+    rows = [(i, f"ask {i % 3}", f"good word{i % 5} ask", f"bad w{i % 4}") for i in range(24)]
+    pairs = spark.createDataFrame(rows, "k int, prompt string, chosen string, rejected string")
+    made = []
+    written = reward.written
+    monkeypatch.setattr(reward, "written", lambda df, label: made.append((label, df.columns)) or written(df, label))
+    features = reward.stored_pair_rows(pairs)
+    model = reward.fit_reward(pairs, rows=features)
+    examples = preference.value_examples(pairs.selectExpr("cast(k as bigint) conv_id", "cast(0 as bigint) turn", "prompt instruction", "'' input", "chosen output"), keep_prompt=True)
+    values = reward.stored_value_rows(examples, model)
+    value_model = reward.fit_value(examples, model, rows=values)
+    assert made == [("pair-rows", ["features", "label"]), ("value-rows", ["features", "label"])]
+    n, slope = reward.reward_slope(model, pairs)
+    assert reward.reward_slope(model, pairs, rows=features) == (n, pytest.approx(slope, abs=1e-9)) and n == 48 and slope < 1e-3
+    n, slope = reward.value_slope(value_model, model, examples)
+    assert reward.value_slope(value_model, model, examples, rows=values) == (n, pytest.approx(slope, abs=1e-9)) and n == 48
+    fitted, scored = reward.fitted_values(value_model, values), reward.score_value(value_model, model, examples)
+    by_value = lambda frame: sorted((round(r.label, 9), round(r.value, 9)) for r in frame.collect())
+    assert by_value(fitted) == by_value(scored)
