@@ -532,25 +532,28 @@ def reward_scores(spark, sf_dir):
 
 
 def model_roundtrip(spark, sf_dir):
-    """How far scores of the saved reward model, vocabulary and language model are from those of the fitted ones."""
+    """How far scores of the saved reward model, vocabulary and language model are from those of the fitted ones.
+
+    Prompts and completions are put together and read once, by both sides: only keys, rewards and ids are stored.
+    """
     rows = stored_instructions(spark, sf_dir)
-    answers = written(rollouts.attach_completions(*completions(spark, sf_dir, rows)), "rollouts")
     path = scratch_path(spark, "models")
     fitted = reward.fit_reward(preference.reward_pairs(rows), f"{path}/reward")
-    texts = written(templates.format_sft(rows), "texts")
-    vocab = tokens.load_vocab(tokens.fit_vocab(texts, "text", VOCAB_WORDS))
+    texts = templates.format_sft(rows)
+    vocab = tokens.load_vocab(written(tokens.fit_vocab(texts, "text", VOCAB_WORDS), "vocab"))
     tokens.save_vocab(vocab, f"{path}/vocab")
     policy = lm.fit_bigram(tokens.tokenize(texts, vocab, "text"), vocab.size, f"{path}/policy", add_k=0.25)
-
-    def scores(model, words, language, name):
-        rewards = reward.score_reward(model, answers, name=f"{name}_reward").select(*SEQUENCE, f"{name}_reward")
-        ids = written(tokens.tokenize(answers, words, "completion").select(*SEQUENCE, "input_ids"), "ids")
-        logprobs = lm.sequence_logprobs(ids, {name: language}, SEQUENCE).select(*SEQUENCE, f"{name}_logprob")
-        return rewards.join(logprobs, list(SEQUENCE))
-
-    before = scores(fitted, vocab, policy, "a")
-    after = scores(reward.load_model(f"{path}/reward"), tokens.read_vocab(spark, f"{path}/vocab"), lm.BigramModel.load(spark, f"{path}/policy"), "b")
-    both = before.join(after, list(SEQUENCE))
+    sides = {
+        "a": (fitted, vocab, policy),
+        "b": (reward.load_model(f"{path}/reward"), tokens.read_vocab(spark, f"{path}/vocab"), lm.BigramModel.load(spark, f"{path}/policy")),
+    }
+    both = rollouts.attach_completions(*completions(spark, sf_dir, rows))
+    for name, (model, words, _) in sides.items():
+        both = tokens.tokenize(reward.score_reward(model, both, name=f"{name}_reward"), words, "completion", name=f"{name}_ids")
+    both = scored = written(both.select(*SEQUENCE, *(f"{name}_{c}" for name in sides for c in ("reward", "ids"))), "scored")
+    for name, (_, _, language) in sides.items():
+        logprobs = lm.sequence_logprobs(scored, {name: language}, SEQUENCE, f"{name}_ids").select(*SEQUENCE, f"{name}_logprob")
+        both = both.join(logprobs, list(SEQUENCE))
     return both.select(*SEQUENCE, *(F.abs(F.col(f"a_{c}") - F.col(f"b_{c}")).alias(f"{c}_difference") for c in ("reward", "logprob")))
 
 

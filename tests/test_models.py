@@ -4,6 +4,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from registry import queries
 from tallyrow.operators import lm, objectives, preference, reward, rollouts, tokens
 from tallyrow.session import scratch_path
 
@@ -290,3 +291,14 @@ def test_fits_read_features_made_once(spark, monkeypatch):
     fitted, scored = reward.fitted_values(value_model, values), reward.score_value(value_model, model, examples)
     by_value = lambda frame: sorted((round(r.label, 9), round(r.value, 9)) for r in frame.collect())
     assert by_value(fitted) == by_value(scored)
+
+
+def test_a_roundtrip_stores_no_text_twice(spark, sf_dir, monkeypatch):
+    """Prompts stand once in the ring, not once more per completion; training texts are made of the stored instructions."""
+    stored = []
+    written = queries.written
+    monkeypatch.setattr(queries, "written", lambda df, label: stored.append(set(df.columns)) or written(df, label))
+    found = queries.model_roundtrip(spark, sf_dir).collect()
+    assert {(r.reward_difference, r.logprob_difference) for r in found} == {(0.0, 0.0)}
+    assert len(found) == len({(r.prompt_id, r.gen_id) for r in found}) == 4 * queries.instructions(spark, sf_dir).count()
+    assert [c for c in stored if "text" in c or {"gen_id", "prompt"} <= c or {"gen_id", "completion"} <= c] == []
