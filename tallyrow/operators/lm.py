@@ -30,6 +30,9 @@ MAPPED_PAIRS = BROADCAST_PAIRS
 # Tokens that a task looks up at a time.
 LOOKUP_TOKENS = 1 << 20
 
+# Tokens whose pairs a task counts at a time, some 100 MB with what sorting takes.
+COUNTED_TOKENS = 1 << 22
+
 BIGRAM_SCHEMA = "prev int, next int, n bigint"
 CONTEXT_SCHEMA = "prev int, c bigint"
 META_SCHEMA = "vocab_size bigint, add_k double"
@@ -64,23 +67,63 @@ def _bigrams(ids: str, first: Column) -> Column:
     return F.zip_with(shifted, F.col(ids), lambda p, n: F.struct(p.alias("prev"), n.alias("next")))
 
 
+def _followed(ids: pa.ListArray, first: pa.Array) -> tuple[np.ndarray, ...]:
+    """Of every token: the id before it, its own, whether either is one; and where each list begins and the last ends."""
+    offsets = np.r_[0, np.cumsum(ids.value_lengths().fill_null(0).to_numpy())]
+    flat = ids.flatten()
+    is_token = flat.is_valid().to_numpy(zero_copy_only=False)
+    numbers = flat.fill_null(0).to_numpy().astype(np.int64)
+    prev, after_id = np.r_[0, numbers[:-1]][: len(numbers)], np.r_[False, is_token[:-1]][: len(numbers)]
+    begun = np.diff(offsets) > 0
+    prev[offsets[:-1][begun]] = first.fill_null(0).to_numpy().astype(np.int64)[begun]
+    after_id[offsets[:-1][begun]] = first.is_valid().to_numpy(zero_copy_only=False)[begun]
+    return prev, numbers, after_id, is_token, offsets
+
+
+def _row_parts(batch: pa.RecordBatch, column: int, tokens: int) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of as many rows as have no more ``tokens`` together in a column of lists, at least one."""
+    ends = np.cumsum(batch.column(column).value_lengths().fill_null(0).to_numpy())
+    at = 0
+    while at < batch.num_rows:
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + tokens, side="right")))
+        yield batch.slice(at, to - at)
+        at = to
+
+
+def _pair_counts(bos_id: int) -> Callable:
+    """Counts the pairs of a task's lists, those with a null as they come."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _row_parts(batch, 0, COUNTED_TOKENS):
+                prev, following, after_id, is_token, _ = _followed(part.column(0), pa.array(np.full(part.num_rows, bos_id)))
+                both = is_token & after_id
+                keys, n = np.unique((prev[both] << 32) + following[both], return_counts=True)
+                before = (keys + (1 << 31)) >> 32
+                columns = [
+                    pa.array(np.r_[before, prev[~both]].astype(np.int32), mask=np.r_[np.zeros(len(keys), bool), ~after_id[~both]]),
+                    pa.array(np.r_[keys - (before << 32), following[~both]].astype(np.int32), mask=np.r_[np.zeros(len(keys), bool), ~is_token[~both]]),
+                    pa.array(np.r_[n, np.ones(len(prev) - both.sum(), np.int64)], pa.int64()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["prev", "next", "n"])
+
+    return run
+
+
 def fit_bigram(
     df: DataFrame, vocab_size: int, path: str | None = None, ids: str = "input_ids", bos_id: int = 0, add_k: float = 0.1
 ) -> BigramModel:
     """Counts bigrams and saves the counts to ``path``, a fresh one below the shared folder unless given.
 
-    Pairs are formed inside each row and combined before the shuffle, so a pair
-    that makes up a third of the text is one row per map task.
+    Pairs are formed and counted in arrays of many rows' ids, and combined once more
+    before the shuffle, so a pair that makes up a third of the text is one row per map task.
     """
     if add_k <= 0:
         raise ValueError("add_k must be positive: an unseen pair needs a probability")
     spark = df.sparkSession
     path = path or scratch_path(spark, "bigram-model")
-    counts = (
-        df.select(F.inline(_bigrams(ids, F.lit(bos_id))))
-        .groupBy("prev", "next")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    listed = df.select(F.col(ids).cast("array<int>").alias("_ids"))
+    counts = listed.mapInArrow(_pair_counts(bos_id), BIGRAM_SCHEMA).groupBy("prev", "next").agg(F.sum("n").alias("n"))
     counts.write.mode("overwrite").parquet(f"{path}/bigrams")
     totals = spark.read.schema(BIGRAM_SCHEMA).parquet(f"{path}/bigrams").groupBy("prev").agg(F.sum("n").alias("c"))
     totals.write.mode("overwrite").parquet(f"{path}/contexts")
@@ -149,14 +192,7 @@ def pair_scores(models: Mapping[str, BigramModel]) -> PairScores:
 
 def _scored_lists(scores: PairScores, ids: pa.ListArray, first: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(one row of scores per token, whether it is one, where each list begins and the last ends)."""
-    offsets = np.r_[0, np.cumsum(ids.value_lengths().fill_null(0).to_numpy())]
-    flat = ids.flatten()
-    is_token = flat.is_valid().to_numpy(zero_copy_only=False)
-    numbers = flat.fill_null(0).to_numpy().astype(np.int64)
-    prev, after_id = np.r_[0, numbers[:-1]][: len(numbers)], np.r_[False, is_token[:-1]][: len(numbers)]
-    begun = np.diff(offsets) > 0
-    prev[offsets[:-1][begun]] = first.fill_null(0).to_numpy().astype(np.int64)[begun]
-    after_id[offsets[:-1][begun]] = first.is_valid().to_numpy(zero_copy_only=False)[begun]
+    prev, numbers, after_id, is_token, offsets = _followed(ids, first)
     out = np.zeros((len(numbers), len(scores.unseen)), np.int64)
     out[is_token] = scores.unseen
     both = is_token & after_id
@@ -173,15 +209,9 @@ def scored_rows(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ends = np.cumsum(batch.column(len(names)).value_lengths().fill_null(0).to_numpy())
-            at = 0
-            while at < batch.num_rows:
-                # As many rows as have no more tokens together, at least one.
-                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + LOOKUP_TOKENS, side="right")))
-                part = batch.slice(at, to - at)
+            for part in _row_parts(batch, len(names), LOOKUP_TOKENS):
                 made = result(*_scored_lists(scores, part.column(len(names)), part.column(len(names) + 1)))
                 yield pa.RecordBatch.from_arrays([*part.columns[: len(names)], *made.values()], names=[*names, *made])
-                at = to
 
     return df.select(*names, F.col(ids).cast("array<int>").alias("_ids"), first.cast("int").alias("_before")).mapInArrow(run, schema)
 

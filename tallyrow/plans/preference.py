@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyrow.functions.keys import Key, key_columns
-from tallyrow.functions.text import WORD_PATTERN
 from tallyrow.operators.lm import BigramModel, sequence_logprobs
 from tallyrow.operators.objectives import dpo_terms
 from tallyrow.operators.per_token import token_logprobs
@@ -16,10 +15,13 @@ from tallyrow.sources.tables import spread
 
 SIDES = ("chosen", "rejected")
 
+# The last word of a text, tried at the beginnings of words alone, without giving back what it took.
+LAST_WORD = r"(?<![^ \n\t\r])([^ \n\t\r]++)[ \n\t\r]*+$"
+
 
 def completion_ids(rows: DataFrame, key: Key, vocab: Vocabulary, completion: str = "completion") -> DataFrame:
     """(key, input_ids, _first) of each completion, stored; ``_first`` is its prompt's last token."""
-    last = rows.withColumn("_last", F.regexp_extract(F.coalesce("prompt", F.lit("")), f"({WORD_PATTERN})[ \\n\\t\\r]*$", 1))
+    last = rows.withColumn("_last", F.regexp_extract(F.coalesce("prompt", F.lit("")), LAST_WORD, 1))
     ids = tokenize(tokenize(last, vocab, completion), vocab, "_last", name="_last_id").select(
         *key_columns(key), "input_ids", F.coalesce(F.get("_last_id", F.lit(0)), F.lit(vocab.specials.eos)).alias("_first")
     )

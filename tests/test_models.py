@@ -1,4 +1,5 @@
 import math
+import time
 from collections import Counter
 
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from registry import queries
 from tallyrow.operators import lm, objectives, preference, reward, rollouts, tokens
+from tallyrow.plans.preference import LAST_WORD, completion_ids
 from tallyrow.session import scratch_path
 
 TRAIN = [(1, [2, 3, 2]), (2, [3]), (3, []), (4, [2, 2, 3, 4])]
@@ -302,3 +304,35 @@ def test_a_roundtrip_stores_no_text_twice(spark, sf_dir, monkeypatch):
     assert {(r.reward_difference, r.logprob_difference) for r in found} == {(0.0, 0.0)}
     assert len(found) == len({(r.prompt_id, r.gen_id) for r in found}) == 4 * queries.instructions(spark, sf_dir).count()
     assert [c for c in stored if "text" in c or {"gen_id", "prompt"} <= c or {"gen_id", "completion"} <= c] == []
+
+
+# Two null lists, null ids inside, negative and largest ids.
+ODD = [(1, [2, None, 3]), (2, None), (3, []), (4, [None]), (5, [-5, 2**31 - 1, -5, 2**31 - 1]), (6, None), (7, [2, 2, 2, 2, 2, 2])]
+
+
+@pytest.mark.parametrize("tokens_at_once", [1, 5, 1 << 22])
+def test_pairs_are_counted_before_they_leave_their_task(spark, monkeypatch, tokens_at_once):
+    monkeypatch.setattr(lm, "COUNTED_TOKENS", tokens_at_once)
+    df = spark.createDataFrame(ODD, IDS).coalesce(1)
+    want = counts([(k, ids) for k, ids in ODD if ids], bos=7)
+    found = lm.fit_bigram(df, V, bos_id=7).bigrams.collect()
+    assert {(r.prev, r.next): r.n for r in found} == dict(want) and len(found) == len(want)
+    formed = df.select("input_ids").mapInArrow(lm._pair_counts(7), lm.BIGRAM_SCHEMA)
+    assert formed.count() < sum(want.values()) and formed.agg(F.sum("n")).first()[0] == sum(want.values())
+
+
+def test_no_texts_make_a_model_of_no_pairs(spark):
+    found = lm.fit_bigram(spark.createDataFrame([], IDS), V)
+    assert found.pairs == 0 and found.bigrams.count() == found.contexts.count() == 0
+
+
+def test_the_last_word_of_a_prompt_is_found_in_one_pass(spark):
+    texts = ["", " ", "a", " a b ", "a b\n", "a\r\n", "b ", "a b  ", "a b\n ", "é  日本\t\r", "a\u0085 ", "a\n b\u0085\n", "x" * 50 + " y"]
+    df = spark.createDataFrame([(t,) for t in texts], "prompt string")
+    plain = F.regexp_extract("prompt", r"([^ \n\t\r]+)[ \n\t\r]*$", 1)
+    assert df.where(plain != F.regexp_extract("prompt", LAST_WORD, 1)).count() == 0
+    vocab = tokens.load_vocab(spark.createDataFrame([("end", 2)], "tok string, id int"))
+    long = spark.range(4).selectExpr("id k", "concat(repeat('x', 400000), ' end ', cast(id as string), ' end') prompt", "'end' completion")
+    begun = time.monotonic()
+    assert {r._first for r in completion_ids(long, "k", vocab).collect()} == {2}
+    assert time.monotonic() - begun < 20
